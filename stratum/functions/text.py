@@ -118,7 +118,59 @@ def strip_accents(c: Column | str) -> Column:
 
 def keep_upper_alnum(c: Column | str) -> Column:
     """Delete (not replace) every character outside ``[A-Z0-9 ]``."""
-    return F.regexp_replace(_col(c), r"[^A-Z0-9 ]", "")
+    return F.regexp_replace(_col(c), r"[^A-Z0-9 ]+", "")
+
+
+_KEEP = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 ")
+
+
+def _simple_upper(c: str) -> str:
+    u = c.upper()
+    if len(u) == 1:
+        return u
+    src, dst = _full_case_expanders("upper")
+    i = src.find(c)
+    return dst[i] if i >= 0 else c
+
+
+@lru_cache(maxsize=None)
+def _fold_map(upper_first: bool) -> tuple[str, str]:
+    """Characters outside ``[A-Z0-9 ]`` that standardisation turns INTO one
+    of them (``É`` -> ``E``; with ``upper_first`` also ``é`` -> ``E``).
+
+    Every other character outside the set ends up deleted, so the whole
+    standardiser is this one ``translate`` followed by one regex delete —
+    no case conversion or full accent map on the hot path.
+    """
+    src, dst = [], []
+    for c in _BMP:
+        if c in _KEEP:
+            continue
+        s = _strip_marks(_simple_upper(c) if upper_first else c)
+        if len(s) == 1 and s in _KEEP:
+            src.append(c)
+            dst.append(s)
+    return "".join(src), "".join(dst)
+
+
+@lru_cache(maxsize=None)
+def _fold_and_delete(upper_first: bool) -> tuple[str, str]:
+    """``translate`` arguments that map (see :func:`_fold_map`) AND delete
+    every other BMP character outside ``[A-Z0-9 ]`` in the same pass."""
+    src, dst = _fold_map(upper_first)
+    mapped = set(src)
+    drop = "".join(c for c in _BMP if c not in _KEEP and c not in mapped)
+    return src + drop, dst
+
+
+def _standardise(c: Column, upper_first: bool) -> Column:
+    # one translate maps and deletes every BMP character; what can remain
+    # outside [A-Z0-9 ] are supplementary-plane characters, 4 bytes each in
+    # UTF-8, so "bytes == characters" proves the string clean and the regex
+    # runs only on the rare rows that still need it.
+    matching, replace = _fold_and_delete(upper_first)
+    y = F.translate(c, matching, replace)
+    return F.when(F.octet_length(y) == F.length(y), y).otherwise(keep_upper_alnum(y))
 
 
 def normalize_name(c: Column | str) -> Column:
@@ -126,8 +178,9 @@ def normalize_name(c: Column | str) -> Column:
 
     Expects upper-cased input (the staging layer does ``upper(trim(x))``):
     ``D'OESTE`` -> ``DOESTE``, ``A-B`` -> ``AB``, ``SÃO`` -> ``SAO``.
+    Same result as ``keep_upper_alnum(strip_accents(c))``, in one pass.
     """
-    return keep_upper_alnum(strip_accents(c))
+    return _standardise(_col(c), upper_first=False)
 
 
 def clean_upper(c: Column | str) -> Column:
@@ -141,8 +194,15 @@ def clean_lower(c: Column | str) -> Column:
 
 
 def normalize_text(c: Column | str) -> Column:
-    """Full text standardisation: trim, upper, strip accents, keep [A-Z0-9 ]."""
-    return normalize_name(clean_upper(c))
+    """Full standardisation ``keep[A-Z0-9 ](strip_accents(upper(trim(x))))``.
+
+    Equal to :func:`normalize_name` of :func:`clean_upper`, computed as trim +
+    one translate: the characters that upper-casing and accent stripping turn
+    into ``[A-Z0-9 ]`` are mapped directly, all others deleted (``ß`` and
+    ligatures included, as the SQL engine's simple case mapping leaves them
+    outside the kept set).
+    """
+    return _standardise(trim_spaces(c), upper_first=True)
 
 
 def _col(c: Column | str) -> Column:

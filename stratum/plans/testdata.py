@@ -84,7 +84,7 @@ def order_fact(spark, d):
 
 def _order_fact_sql(pay_types=("A", "R")) -> str:
     pivots = ",\n".join(
-        f"CAST(SUM(CASE WHEN l_returnflag = '{t}' THEN CAST(l_extendedprice AS DECIMAL(38,2)) ELSE 0 END) AS DOUBLE) AS {t.lower()}_value"
+        f"(CAST(SUM(CASE WHEN l_returnflag = '{t}' THEN CAST(round(l_extendedprice * 100) AS BIGINT) ELSE 0 END) AS DOUBLE) / 100) AS {t.lower()}_value"
         for t in pay_types)
     cols = ", ".join(f"pa.{t.lower()}_value" for t in pay_types)
     return f"""
@@ -92,7 +92,7 @@ WITH pa AS (
   SELECT l_orderkey AS order_id,
          MAX(l_linenumber) AS installments_count,
          {pivots},
-         CAST(SUM(CAST(l_extendedprice AS DECIMAL(38,2))) AS DOUBLE) AS total_payment_value
+         (CAST(SUM(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100) AS total_payment_value
   FROM lineitem WHERE l_returnflag <> 'N' GROUP BY l_orderkey
 ), r AS (
   SELECT l_orderkey AS order_id, l_quantity AS review_score, l_shipdate,
@@ -332,7 +332,7 @@ def geo_centroid(spark, d):
 
 _CENTROID_SQL = """
 SELECT zip AS nation_key,
-       CAST(SUM(CAST(lat AS DECIMAL(38,2))) AS DOUBLE) / COUNT(lat) AS balance_mean,
+       (CAST(SUM(CAST(round(lat * 100) AS BIGINT)) AS DOUBLE) / 100) / COUNT(lat) AS balance_mean,
        MAX(city) AS name_max, COUNT(*) AS n_points
 FROM (SELECT c_nationkey AS zip, c_acctbal AS lat, c_name AS city FROM customer
       UNION ALL SELECT s_nationkey, s_acctbal, s_name FROM supplier)
@@ -448,11 +448,11 @@ WITH s AS (
   FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 ), b AS (
   SELECT c_nationkey AS nation_key, COUNT(*) AS building_customers,
-         CAST(SUM(CAST(c_acctbal AS DECIMAL(38,2))) AS DOUBLE) / COUNT(c_acctbal) AS building_balance_mean
+         (CAST(SUM(CAST(round(c_acctbal * 100) AS BIGINT)) AS DOUBLE) / 100) / COUNT(c_acctbal) AS building_balance_mean
   FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY c_nationkey
 ), p AS (
   SELECT s_nationkey AS nation_key, COUNT(*) AS suppliers,
-         CAST(SUM(CAST(s_acctbal AS DECIMAL(38,2))) AS DOUBLE) AS supplier_balance_total
+         (CAST(SUM(CAST(round(s_acctbal * 100) AS BIGINT)) AS DOUBLE) / 100) AS supplier_balance_total
   FROM supplier GROUP BY s_nationkey
 ), o AS (
   SELECT c.c_nationkey AS nation_key, CAST(COUNT(*) AS BIGINT) AS orders_count
@@ -483,7 +483,7 @@ def unpivot_measures(spark, d):
 
 def _unpivot_sql() -> str:
     wide_cols = ",\n".join(
-        f"CAST(SUM(CASE WHEN l_returnflag = '{f}' THEN CAST({src} AS DECIMAL(38,2)) ELSE 0 END) AS DOUBLE) AS {p}_{f.lower()}"
+        f"(CAST(SUM(CASE WHEN l_returnflag = '{f}' THEN CAST(round({src} * 100) AS BIGINT) ELSE 0 END) AS DOUBLE) / 100) AS {p}_{f.lower()}"
         for p, src in (("qty", "l_quantity"), ("rev", "l_extendedprice")) for f in FLAGS)
     unions = "\nUNION ALL\n".join(
         f"SELECT l_partkey, '{f}' AS return_flag, qty_{f.lower()} AS quantity, rev_{f.lower()} AS revenue FROM wide"
@@ -509,9 +509,9 @@ def pivot_event_values(spark, d):
 
 
 PIVOT_EVENTS_SQL = "SELECT user_id, " + ", ".join(
-    f"CAST(SUM(CASE WHEN event_type = '{t}' THEN CAST(value AS DECIMAL(38,2)) ELSE 0 END) AS DOUBLE) AS {t}_value"
+    f"(CAST(SUM(CASE WHEN event_type = '{t}' THEN CAST(round(value * 100) AS BIGINT) ELSE 0 END) AS DOUBLE) / 100) AS {t}_value"
     for t in EVENT_TYPES) + """,
-       CAST(SUM(CAST(value AS DECIMAL(38,2))) AS DOUBLE) AS total_value, MAX(value) AS max_value
+       (CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100) AS total_value, MAX(value) AS max_value
 FROM events WHERE event_type <> 'error' GROUP BY user_id
 """
 
