@@ -1,0 +1,30 @@
+"""Spreading row-wise work over the cluster."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def input_partitions(df: DataFrame) -> int | None:
+    """Number of partitions the plan starts with (no job is run)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Connect session has no RDD view
+        return None
+
+
+def spread(df: DataFrame, keys: list[str] | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition ``df`` on ``keys`` when it has fewer partitions than
+    the cluster runs tasks in parallel.
+
+    A scan of a few large files (or one parquet row group) yields a handful
+    of tasks, and CPU-heavy per-row expressions (text standardisation,
+    hashing) then run on a few cores.  On a real data set the scan already
+    has far more splits than cores and this is a no-op, so no shuffle is
+    added where it would cost more than it saves.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = input_partitions(df)
+    if n is None or n >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
