@@ -113,3 +113,18 @@ def test_freshness_statuses(spark):
     assert at(dt.datetime(2024, 2, 1, 12)) == "warn"
     assert at(dt.datetime(2024, 2, 3, 12)) == "error"
     assert freshness(df.limit(0), "s", "ts", dt.datetime(2024, 1, 31), pol).first().status == "error"
+
+
+def test_stream_feeds_upsert(spark, tmp):
+    from stratum.streaming.incremental import start_upsert_stream
+    src, out = f"{tmp}/landing", f"{tmp}/fact"
+    schema = "id int, ts date, v string, month string"
+    _rows(spark, [(1, D(2020, 1, 1), "a"), (2, D(2020, 1, 2), "b")]).write.mode("append").parquet(src)
+    from pyspark.sql.types import _parse_datatype_string
+    st = _parse_datatype_string(schema)
+    q = start_upsert_stream(spark, src, st, out, "id", checkpoint=f"{tmp}/ckpt")
+    q.awaitTermination(120)
+    _rows(spark, [(2, D(2020, 1, 3), "B"), (3, D(2020, 1, 4), "c")]).write.mode("append").parquet(src)
+    q = start_upsert_stream(spark, src, st, out, "id", checkpoint=f"{tmp}/ckpt")
+    q.awaitTermination(120)
+    assert sorted((r.id, r.v) for r in spark.read.parquet(out).collect()) == [(1, "a"), (2, "B"), (3, "c")]
