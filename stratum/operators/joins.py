@@ -9,6 +9,21 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+def mark_validated(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Record on the DataFrame object that ``keys`` were proven unique over
+    ``rows`` rows (seeds validated at load time), so later lookups skip the
+    check job.  The mark does not survive transformations."""
+    df._stratum_validated = (tuple(keys), int(rows))
+    return df
+
+
+def validated_rows(df: DataFrame, keys: list[str]) -> int | None:
+    mark = getattr(df, "_stratum_validated", None)
+    if mark and tuple(keys) == mark[0]:
+        return mark[1]
+    return None
+
+
 def key_stats(df: DataFrame, keys: list[str]) -> tuple[int, int]:
     """(rows, largest multiplicity of one key) in one small aggregate job."""
     row = (df.groupBy(*keys).count()

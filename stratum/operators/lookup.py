@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.text import normalize_name
-from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, checked_lookup
+from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, checked_lookup, validated_rows
 
 
 def lookup_override(df: DataFrame, target: str, lookup: DataFrame, key: str, value: str,
@@ -16,14 +16,19 @@ def lookup_override(df: DataFrame, target: str, lookup: DataFrame, key: str, val
     """Replace ``target`` by ``lookup.value`` where ``df[match] == lookup.key``.
 
     ``match`` defaults to ``target`` itself.  Rows without a match keep their
-    value; NULL never matches.  The lookup must be unique on ``key`` (checked)
-    and is broadcast within ``max_broadcast_rows``, so the big side is never
-    shuffled.
+    value; NULL never matches.  The lookup must be unique on ``key`` (checked
+    here with one small job, unless it was validated at load time, see
+    :func:`stratum.operators.joins.mark_validated`) and is broadcast within
+    ``max_broadcast_rows``, so the big side is never shuffled.
     """
     match = match or target
     out = out or target
     lk = lookup.select(F.col(key).alias("__lk_key"), F.col(value).alias("__lk_val"))
-    lk = checked_lookup(lk, "__lk_key", max_broadcast_rows) if checked else lk
+    known = validated_rows(lookup, [key])
+    if known is not None:
+        lk = F.broadcast(lk) if known <= max_broadcast_rows else lk
+    elif checked:
+        lk = checked_lookup(lk, "__lk_key", max_broadcast_rows)
     joined = df.join(lk, F.col(match) == F.col("__lk_key"), "left")
     return (joined.withColumn(out, F.coalesce(F.col("__lk_val"), F.col(target)))
                   .drop("__lk_key", "__lk_val"))

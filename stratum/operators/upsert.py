@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.session import delete_path, hadoop_fs, path_exists
+from stratum.session import delete_path, path_exists
 
 
 def high_water_mark(target: DataFrame, ts_col: str):
@@ -76,68 +76,71 @@ def _partition_filter(parts: list, partition_by: list[str]) -> Column:
 
 def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | list[str], *,
                  ts_col: str | None = None, lookback_days: int = 3,
-                 partition_by: list[str] | None = None, full_refresh: bool = False,
-                 staging_root: str | None = None) -> dict:
+                 partition_by: list[str] | None = None, stable_partition: bool = False,
+                 full_refresh: bool = False, staging_root: str | None = None) -> dict:
     """Apply ``batch`` to the parquet table at ``path``.
 
     * first load or ``full_refresh``: overwrite with the (whole) batch;
-    * otherwise filter the batch by the lookback window, find the partitions
-      it touches (its own, plus those holding older versions of its keys,
-      found by a key-only semi join), rewrite just those partitions.
-
-    The merged partitions are written to a staging folder next to the
-    table first (a path cannot be overwritten while it is read), then
-    swapped in with dynamic partition overwrite.  Returns a small summary.
+    * otherwise filter the batch by the lookback window and rewrite only the
+      partitions it touches: its own, plus those holding older versions of
+      its keys (found by a key-only semi join over the table).  With
+      ``stable_partition=True`` a key never changes partition (the partition
+      derives from an immutable attribute) and that scan is skipped.
+
+    The batch is written once to a staging folder next to the table (so the
+    model is computed once, and lineage is cut), the merge is staged too (a
+    path cannot be overwritten while it is read), then swapped in with a
+    dynamic partition overwrite; partitions that became empty are removed.
+    Returns a small summary.
     """
     keys = [key] if isinstance(key, str) else list(key)
     parts = list(partition_by or [])
-    writer_opts = {}
     if not path_exists(spark, path) or full_refresh:
-        w = batch.write.mode("overwrite")
+        w = batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if parts:
             w = w.partitionBy(*parts)
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
-        try:
-            w.parquet(path)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        w.parquet(path)
         return {"mode": "full", "partitions": None}
 
     target = spark.read.parquet(path)
     if ts_col:
         batch = lookback_filter(batch, target, ts_col, lookback_days)
-
     staging = (staging_root or path.rstrip("/") + "__staging") + f"/{uuid.uuid4().hex}"
-    if parts:
-        # partitions touched: where batch rows go, and where old versions of
-        # their keys live (a key can change partition).  Partition values are
-        # few (one per month, say), so they come to the driver as a filter.
-        mine = batch.select(*parts)
-        moved = target.select(*keys, *parts).join(batch.select(*keys), keys, "left_semi").select(*parts)
-        touched = mine.unionByName(moved).distinct().collect()
-        if not touched:
-            return {"mode": "incremental", "partitions": []}
-        old = target.filter(_partition_filter(touched, parts))
-        merged = merge_keyed(old, batch, keys)
-        merged.write.mode("overwrite").partitionBy(*parts).parquet(staging)
-        staged = spark.read.parquet(staging)
-        staged.write.mode("overwrite").partitionBy(*parts).parquet(path)
-        # a touched partition that ended up empty is not rewritten by the
-        # dynamic overwrite: remove it explicitly.
-        left = {tuple(r[p] for p in parts) for r in staged.select(*parts).distinct().collect()}
-        for r in touched:
-            t = tuple(r[p] for p in parts)
-            if t not in left:
-                sub = "/".join(f"{p}={_part_value(v)}" for p, v in zip(parts, t))
-                delete_path(spark, f"{path.rstrip('/')}/{sub}")
+    batch.write.mode("overwrite").parquet(f"{staging}/batch")
+    batch = spark.read.parquet(f"{staging}/batch")
+
+    if not parts:
+        merge_keyed(target, batch, keys).write.mode("overwrite").parquet(f"{staging}/merged")
+        spark.read.parquet(f"{staging}/merged").write.mode("overwrite") \
+             .option("partitionOverwriteMode", "static").parquet(path)
         delete_path(spark, staging)
-        return {"mode": "incremental", "partitions": [tuple(r) for r in touched]}
+        return {"mode": "incremental", "partitions": None}
 
-    merged = merge_keyed(target, batch, keys)
-    merged.write.mode("overwrite").parquet(staging)
-    spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+    # partition values are few (one per day or month), so they come to the
+    # driver and become a static filter: partition pruning on the target.
+    touched_df = batch.select(*parts)
+    if not stable_partition:
+        moved = target.select(*keys, *parts).join(batch.select(*keys), keys, "left_semi").select(*parts)
+        touched_df = touched_df.unionByName(moved)
+    touched = touched_df.distinct().collect()
+    if not touched:
+        delete_path(spark, staging)
+        return {"mode": "incremental", "partitions": []}
+    old = target.filter(_partition_filter(touched, parts))
+    merge_keyed(old, batch, keys).write.mode("overwrite").partitionBy(*parts).parquet(f"{staging}/merged")
+    staged = spark.read.parquet(f"{staging}/merged")
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(*parts).parquet(path))
+    # a touched partition that ended up empty is not replaced by the
+    # dynamic overwrite: remove it explicitly.
+    left = {tuple(r[p] for p in parts) for r in staged.select(*parts).distinct().collect()}
+    for r in touched:
+        t = tuple(r[p] for p in parts)
+        if t not in left:
+            sub = "/".join(f"{p}={_part_value(v)}" for p, v in zip(parts, t))
+            delete_path(spark, f"{path.rstrip('/')}/{sub}")
     delete_path(spark, staging)
-    return {"mode": "incremental", "partitions": None, **writer_opts}
+    return {"mode": "incremental", "partitions": [tuple(r) for r in touched]}
 
 
 def _part_value(v) -> str:
@@ -145,5 +148,3 @@ def _part_value(v) -> str:
         return "__HIVE_DEFAULT_PARTITION__"
     return str(v)
 
-
-__all__ = ["high_water_mark", "lookback_filter", "merge_keyed", "upsert_table", "hadoop_fs"]

@@ -138,7 +138,8 @@ def _build_incremental(ctx: BuildContext, m: Model, full_refresh: bool) -> dict:
     since_lit = F.lit(since.isoformat(sep=" ") if isinstance(since, dt.datetime) else since.isoformat())
     since_col = since_lit.cast("timestamp_ntz") if isinstance(since, dt.datetime) else since_lit.cast("date")
     batch = m.fn(ctx, since=since_col)
-    info = upsert_table(ctx.spark, batch, path, m.unique_key, partition_by=m.partition_by)
+    info = upsert_table(ctx.spark, batch, path, m.unique_key, partition_by=m.partition_by,
+                        stable_partition=m.stable_partition)
     return {**info, "since": str(since)}
 
 

@@ -36,6 +36,7 @@ from stratum.operators.quality import (AcceptedRange, AcceptedValues, MeanConsis
 from stratum.operators.reshape import exact_sum, pivot_sum, unpivot_groups
 from stratum.operators.star import centroid, existence_flag, rekey
 from stratum.operators.upsert import lookback_filter, merge_keyed
+from stratum.sources.seeds import seed_frame
 
 TOKEN_SQL = f"'{NULL_TOKEN}'"
 
@@ -228,9 +229,9 @@ def lookup_cascade(spark, d):
     n = bounded_broadcast(table(spark, d, "nation").select("n_nationkey", "n_name"), 10_000)
     base = (c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
              .select("c_custkey", "c_mktsegment", clean_upper("n_name").alias("city_raw")))
-    typo = spark.createDataFrame(TYPO_ROWS, "original_city string, fixed_city string")
-    zips = spark.createDataFrame(ZIP_ROWS, "zip_code_prefix string, city_associated string")
-    muni = spark.createDataFrame(MUNI_ROWS, "locality string, municipality string")
+    typo = seed_frame(spark, TYPO_ROWS, "original_city string, fixed_city string", "original_city")
+    zips = seed_frame(spark, ZIP_ROWS, "zip_code_prefix string, city_associated string", "zip_code_prefix")
+    muni = seed_frame(spark, MUNI_ROWS, "locality string, municipality string", "locality")
     out = correct_names(base, "city_raw", "c_mktsegment", typo, zips, muni, out="city")
     return out.select(F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment"), "city")
 
@@ -392,7 +393,7 @@ CATEGORY_OVERRIDES = [("LUXURY", "luxury goods"), ("ECONOMY", "economy line")]
 
 
 def category_seed_left(spark, d):
-    seed = spark.createDataFrame(CATEGORY_ROWS, "raw_category string, business_area string")
+    seed = seed_frame(spark, CATEGORY_ROWS, "raw_category string, business_area string", "raw_category")
     part = table(spark, d, "part")
     translation = (part.select(clean_upper("p_type").alias("local_name"),
                                clean_lower("p_type").alias("english_name"))

@@ -20,8 +20,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Overwrite semantics are never taken from the session: every write states
+# ``partitionOverwriteMode`` itself (full replace = static, upsert = dynamic).
 
 
 def build_session(master: str | None = None, app: str = "stratum",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from stratum.operators.joins import key_stats
+from stratum.operators.joins import key_stats, mark_validated
 from stratum.session import path_exists
 
 
@@ -85,4 +85,15 @@ def load_seed(spark: SparkSession, spec: SeedSpec, seeds_dir: str | None) -> Dat
     nulls = df.filter(F.col(spec.key).isNull()).limit(1).count()
     if dup > 1 or nulls:
         raise SeedError(f"seed {spec.name}: key {spec.key} must be unique and not null")
-    return df
+    return mark_validated(df, [spec.key], n)
+
+
+def seed_frame(spark: SparkSession, rows: list[tuple], schema: str, key: str) -> DataFrame:
+    """A seed given as literal rows: the key is checked on the driver (the
+    rows are already there), no Spark job is needed."""
+    names = [c.strip().split()[0] for c in schema.split(",")]
+    i = names.index(key)
+    keys = [r[i] for r in rows]
+    if len(set(keys)) != len(keys) or any(k is None for k in keys):
+        raise SeedError(f"seed rows: key {key} must be unique and not null")
+    return mark_validated(spark.createDataFrame(rows, schema), [key], len(rows))

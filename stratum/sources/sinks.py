@@ -10,7 +10,7 @@ from stratum.sources.config import PipelineConfig
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Full replace of a table (snapshot materialisation)."""
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
