@@ -211,3 +211,27 @@ def freshness(spark: SparkSession, cfg: PipelineConfig, as_of: dt.datetime) -> D
     srcs = [(s.name, read_source(spark, cfg, s), s.loaded_at, s.freshness)
             for s in ALL_SOURCES.values() if s.freshness is not None and s.loaded_at]
     return freshness_report(srcs, as_of)
+
+
+class LazyContext(BuildContext):
+    """Resolve every model as a lazy DataFrame over given source frames (no
+    writes): the whole model graph becomes one Catalyst plan per output."""
+
+    def __init__(self, spark: SparkSession, sources, seeds=None):
+        super().__init__(spark, PipelineConfig(source_base="", target_base=""), {m.name for m in MODELS})
+        self._sources = sources
+        self._seeds = seeds
+
+    def source(self, name: str) -> DataFrame:
+        return self._sources(name)
+
+    def seed(self, name: str) -> DataFrame:
+        if name not in self.seeds:
+            df = self._seeds(name) if self._seeds is not None else None
+            self.seeds[name] = df if df is not None else load_seed(self.spark, SEEDS[name], None)
+        return self.seeds[name]
+
+    def ref(self, name: str) -> DataFrame:
+        if name not in self.frames:
+            self.frames[name] = MODEL_INDEX[name].fn(self)
+        return self.frames[name]

@@ -24,7 +24,7 @@ from stratum.operators.lookup import correct_names
 from stratum.operators.quality import (AcceptedRange, AcceptedValues, MeanConsistency, NotNull,
                                        RatioConsistency, Relationships, RowRule, SumConsistency,
                                        Tolerance, Unique)
-from stratum.operators.reshape import pivot_sum, unpivot_groups
+from stratum.operators.reshape import exact_sum, pivot_sum, unpivot_groups
 from stratum.operators.star import centroid
 from stratum.sources.ingest import mirror
 from stratum.sources.specs import ALL_SOURCES, HDI_YEARS
@@ -224,8 +224,9 @@ def int_customers(ctx):
 def int_geolocation(ctx):
     g = ctx.ref("slv_stg_olist__geolocation")
     g = _cascade(ctx, g, "city", "zip_code_prefix", out="city_final")
+    # averages through exact micro-degree sums: independent of task order
     return centroid(g, "zip_code_prefix", {"latitude_mean": "latitude", "longitude_mean": "longitude"},
-                    {"city": "city_final", "state_id": "state_id"})
+                    {"city": "city_final", "state_id": "state_id"}, exact_scale=6)
 
 
 def int_order_items(ctx):
@@ -345,9 +346,9 @@ def fct_orders(ctx, since=None):
         pay = pay.join(ids, "order_id", "left_semi")
         rev = rev.join(ids, "order_id", "left_semi")
     pa = (pay.filter(F.col("type") != "not_defined").groupBy("order_id")
-             .agg(F.sum("value").alias("total_payment_value"),
+             .agg(exact_sum("value").alias("total_payment_value"),
                   F.max("installments_count").alias("installments_count"),
-                  *pivot_sum("type", PAYMENT_TYPES, "value", suffix="_value")))
+                  *pivot_sum("type", PAYMENT_TYPES, "value", suffix="_value", exact_scale=2)))
     # newest review per order; ties broken by answer time, then review id
     r = latest_per_key(rev.select("order_id", "creation_date", "answer_timestamp", "review_group_id", "score"),
                        ["order_id"], ["creation_date", "answer_timestamp", "review_group_id"], payload=["score"])
