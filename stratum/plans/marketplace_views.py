@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratum.operators.partitioning import spread
 from stratum.plans.testdata import table
 from stratum.sources.seeds import seed_frame
 from stratum.sources.specs import ALL_SOURCES
@@ -137,10 +138,20 @@ def source_sql(name: str, dialect: str = "spark") -> str:
     return sql
 
 
+# the order key of the two large tables: spreading on it (when the scan has
+# few splits) parallelises the per-row staging work and the per-order joins
+_SPREAD_KEYS = {"lineitem": ["l_orderkey"], "orders": ["o_orderkey"]}
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    df = table(spark, sf_dir, name)
+    return spread(df, _SPREAD_KEYS[name]) if name in _SPREAD_KEYS else df
+
+
 def derived_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One marketplace raw table, derived by Spark from the test tables, with
     the declared column names and types of its source spec."""
-    frames = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in SOURCE_SQL[name]}
+    frames = {t: _read(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in SOURCE_SQL[name]}
     sql = SOURCE_SQL[name].replace("{hdi_cols}", _HDI_COLS) if name == "hdi" else SOURCE_SQL[name]
     df = spark.sql(sql, **frames)
     spec = ALL_SOURCES[name]
