@@ -24,6 +24,14 @@ from pyspark.sql import functions as F
 from stratum.session import delete_path, path_exists
 
 
+def clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
+    """Cluster rows by the partition columns before a partitioned write, so
+    each table partition is written by few tasks (not one file per task per
+    partition).  The ``rebalance`` hint lets AQE split a large partition over
+    several tasks and merge small ones."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def high_water_mark(target: DataFrame, ts_col: str):
     """``max(ts_col)`` of the target as a driver-side scalar (one value)."""
     return target.agg(F.max(ts_col).alias("m")).first()["m"]
@@ -64,14 +72,26 @@ def merge_keyed(target: DataFrame, batch: DataFrame, key: str | list[str]) -> Da
 
 
 def _partition_filter(parts: list, partition_by: list[str]) -> Column:
-    cond = F.lit(False)
+    """Predicate selecting the given partitions, flat enough for thousands of
+    values: ``isin`` for one partition column, a balanced OR tree otherwise."""
+    if len(partition_by) == 1:
+        p = partition_by[0]
+        vals = sorted({r[p] for r in parts if r[p] is not None})
+        cond = F.col(p).isin(vals) if vals else F.lit(False)
+        if any(r[p] is None for r in parts):
+            cond = cond | F.col(p).isNull()
+        return cond
+    terms = []
     for row in parts:
-        c = F.lit(True)
+        c = None
         for p in partition_by:
             v = row[p]
-            c = c & (F.col(p).isNull() if v is None else (F.col(p) == F.lit(v)))
-        cond = cond | c
-    return cond
+            t = F.col(p).isNull() if v is None else (F.col(p) == F.lit(v))
+            c = t if c is None else (c & t)
+        terms.append(c)
+    while len(terms) > 1:
+        terms = [terms[i] | terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0] if terms else F.lit(False)
 
 
 def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | list[str], *,
@@ -96,7 +116,7 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | li
     keys = [key] if isinstance(key, str) else list(key)
     parts = list(partition_by or [])
     if not path_exists(spark, path) or full_refresh:
-        w = batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        w = clustered(batch, parts).write.mode("overwrite").option("partitionOverwriteMode", "static")
         if parts:
             w = w.partitionBy(*parts)
         w.parquet(path)
@@ -127,7 +147,8 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | li
         delete_path(spark, staging)
         return {"mode": "incremental", "partitions": []}
     old = target.filter(_partition_filter(touched, parts))
-    merge_keyed(old, batch, keys).write.mode("overwrite").partitionBy(*parts).parquet(f"{staging}/merged")
+    clustered(merge_keyed(old, batch, keys), parts).write.mode("overwrite").partitionBy(*parts) \
+        .parquet(f"{staging}/merged")
     staged = spark.read.parquet(f"{staging}/merged")
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*parts).parquet(path))

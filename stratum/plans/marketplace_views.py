@@ -163,3 +163,17 @@ def derived_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def derived_seed(spark: SparkSession, name: str) -> DataFrame:
     rows, schema, key = SEED_ROWS[name]
     return seed_frame(spark, rows, schema, key)
+
+
+def materialize(spark: SparkSession, sf_dir: str, cfg) -> None:
+    """Write every derived raw table under ``cfg.source_base`` and the seed
+    rows as CSV under ``cfg.seeds_dir``, so :func:`stratum.plans.runner.run`
+    can build the warehouse from them like from ingested files."""
+    from stratum.sources.specs import ALL_SOURCES as specs
+
+    for name in SOURCE_SQL:
+        derived_source(spark, sf_dir, name).write.mode("overwrite").parquet(
+            cfg.source_path(specs[name].namespace, name))
+    for name in SEED_ROWS:
+        derived_seed(spark, name).coalesce(1).write.mode("overwrite").option("header", "true") \
+            .csv(f"{cfg.seeds_dir.rstrip('/')}/{name}.csv")

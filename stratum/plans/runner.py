@@ -17,6 +17,7 @@ next layer.  Freshness is separate and never blocks.
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
@@ -68,7 +69,7 @@ class BuildContext:
             p = self.path(m)
             if not path_exists(self.spark, p):
                 raise FileNotFoundError(f"model {name} is not built yet ({p}); include it in the selection")
-            df = self.spark.read.parquet(p)
+            df = _read_model(self, m)
         else:
             df = m.fn(self)
             if name in SHARED_VIEWS:
@@ -92,6 +93,7 @@ class RunResult:
     built: list[str] = field(default_factory=list)
     reports: list[DataFrame] = field(default_factory=list)
     incremental: dict = field(default_factory=dict)
+    seconds: dict = field(default_factory=dict)
 
     def report(self) -> DataFrame | None:
         out = None
@@ -121,23 +123,34 @@ def ingest(spark: SparkSession, cfg: PipelineConfig, marketplace_dir: str, state
             + load_csvs(spark, cfg, state_stats_dir, STATE_STATS))
 
 
+def _with_layout(m: Model, df: DataFrame) -> DataFrame:
+    for name, expr in m.partition_cols.items():
+        df = df.withColumn(name, expr())
+    return df
+
+
+def _read_model(ctx: BuildContext, m: Model) -> DataFrame:
+    df = ctx.spark.read.parquet(ctx.path(m))
+    return df.drop(*m.partition_cols) if m.partition_cols else df
+
+
 def _build_incremental(ctx: BuildContext, m: Model, full_refresh: bool) -> dict:
     path = ctx.path(m)
     exists = path_exists(ctx.spark, path)
     if full_refresh or not exists:
-        df = m.fn(ctx)
+        df = _with_layout(m, m.fn(ctx))
         info = upsert_table(ctx.spark, df, path, m.unique_key, full_refresh=True, partition_by=m.partition_by)
         return {**info, "since": None}
     target = ctx.spark.read.parquet(path)
     hw = high_water_mark(target, m.lookback_col)
     if hw is None:  # empty target: first load (documented deviation)
-        df = m.fn(ctx)
+        df = _with_layout(m, m.fn(ctx))
         return {**upsert_table(ctx.spark, df, path, m.unique_key, full_refresh=True,
                                partition_by=m.partition_by), "since": None}
     since = hw - dt.timedelta(days=m.lookback_days)
     since_lit = F.lit(since.isoformat(sep=" ") if isinstance(since, dt.datetime) else since.isoformat())
     since_col = since_lit.cast("timestamp_ntz") if isinstance(since, dt.datetime) else since_lit.cast("date")
-    batch = m.fn(ctx, since=since_col)
+    batch = _with_layout(m, m.fn(ctx, since=since_col))
     info = upsert_table(ctx.spark, batch, path, m.unique_key, partition_by=m.partition_by,
                         stable_partition=m.stable_partition)
     return {**info, "since": str(since)}
@@ -160,12 +173,13 @@ def run(spark: SparkSession, cfg: PipelineConfig, select: Iterable[str] | None =
             layer_models = [m for m in models if m.layer == layer]
             reports = []
             for m in layer_models:
+                t0 = time.perf_counter()
                 if m.materialized == "table":
-                    write_table(m.fn(ctx), ctx.path(m), m.partition_by)
-                    ctx.frames[m.name] = spark.read.parquet(ctx.path(m))
+                    write_table(_with_layout(m, m.fn(ctx)), ctx.path(m), m.partition_by)
+                    ctx.frames[m.name] = _read_model(ctx, m)
                 elif m.materialized == "incremental":
                     res.incremental[m.name] = _build_incremental(ctx, m, full_refresh)
-                    ctx.frames[m.name] = spark.read.parquet(ctx.path(m))
+                    ctx.frames[m.name] = _read_model(ctx, m)
                 else:
                     ctx.ref(m.name)
                 res.built.append(m.name)
@@ -173,6 +187,7 @@ def run(spark: SparkSession, cfg: PipelineConfig, select: Iterable[str] | None =
                     checks = m.checks(ctx)
                     if checks:
                         reports.append(evaluate(ctx.frames[m.name], checks, m.name))
+                res.seconds[m.name] = round(time.perf_counter() - t0, 3)
             if reports:
                 rep = reports[0]
                 for r in reports[1:]:

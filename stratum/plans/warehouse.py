@@ -43,6 +43,9 @@ class Model:
     tags: tuple = ()
     partition_by: list[str] = field(default_factory=list)
     stable_partition: bool = False      # a key never changes partition
+    # layout-only columns added at write time (and dropped on read), e.g. the
+    # month of the date key; they are not part of the model's output
+    partition_cols: dict = field(default_factory=dict)
 
 
 # --------------------------------------------------------------------- bronze
@@ -532,12 +535,14 @@ MODELS: list[Model] = [
               NotNull(f"not_null_{c}", c) for c in ("zip_code_prefix", "state_id")] + [
               _rel(ctx, "state_id", "dim_states")]),
     Model("dim_products", "gold", dim_products, "table", checks=lambda ctx: _nn_unique("product_id")),
-    # facts are partitioned by their date key, so an incremental run rewrites
-    # only the days it touches; an order's purchase date never changes.
+    # facts are partitioned by the month of their date key, so an incremental
+    # run rewrites only the months it touches; a purchase date never changes.
     Model("fct_orders", "gold", fct_orders, "incremental", unique_key="order_id", lookback_col="approved_at",
-          checks=_fct_orders_checks, partition_by=["order_date_id"], stable_partition=True),
+          checks=_fct_orders_checks, partition_by=["order_month"], stable_partition=True,
+          partition_cols={"order_month": lambda: F.date_format("order_date_id", "yyyy-MM")}),
     Model("fct_order_items", "gold", fct_order_items, "incremental", unique_key="order_item_id",
-          lookback_col="shipping_date_id", checks=_fct_items_checks, partition_by=["shipping_date_id"]),
+          lookback_col="shipping_date_id", checks=_fct_items_checks, partition_by=["shipping_month"],
+          partition_cols={"shipping_month": lambda: F.date_format("shipping_date_id", "yyyy-MM")}),
 ]
 
 MODEL_INDEX = {m.name: m for m in MODELS}

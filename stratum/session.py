@@ -8,6 +8,7 @@ on ``local[*]`` and on a many-executor deployment.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -84,10 +85,16 @@ def hadoop_fs(spark: SparkSession, path: str):
     return fs, p
 
 
+def _qualify(path: str) -> str:
+    """Relative local paths become absolute; anything with a scheme
+    (``file:``, ``s3a://``, ``hdfs://``) or already absolute is kept."""
+    if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", path) or path.startswith("/"):
+        return path
+    return os.path.abspath(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path and not path.startswith("/"):
-        path = os.path.abspath(path)
-    fs, p = hadoop_fs(spark, path)
+    fs, p = hadoop_fs(spark, _qualify(path))
     return bool(fs.exists(p))
 
 

@@ -10,6 +10,8 @@ from stratum.sources.config import PipelineConfig
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Full replace of a table (snapshot materialisation)."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)  # few files per table partition
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
