@@ -34,7 +34,7 @@ from stratum.operators.quality import (AcceptedRange, AcceptedValues, MeanConsis
                                        RatioConsistency, Relationships, RowRule, SumConsistency,
                                        Tolerance, Unique, evaluate)
 from stratum.operators.reshape import exact_sum, pivot_sum, unpivot_groups
-from stratum.operators.star import centroid, existence_flag, rekey
+from stratum.operators.star import centroid, rekey
 from stratum.operators.upsert import lookback_filter, merge_keyed
 from stratum.sources.seeds import seed_frame
 

@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from stratum.operators.partitioning import spread
 from stratum.operators.upsert import _partition_filter
