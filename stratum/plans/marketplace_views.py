@@ -89,8 +89,8 @@ FROM {part} WHERE p_type <> 'PROMO'""",
 SELECT {_REGION_STATE} AS UF, r.r_name AS State, min(n.n_name) AS Capital,
        CASE r.r_name WHEN 'AMERICA' THEN 'Southeast' WHEN 'ASIA' THEN 'Northeast' ELSE 'Central' END AS Region,
        CAST(count(*) * 1000 AS DOUBLE) AS Area, CAST(count(*) * 100000 AS BIGINT) AS Population,
-       100.0 AS Demographic_Density, CAST(count(*) AS BIGINT) AS Cities_count, CAST(count(*) AS DOUBLE) AS GDP,
-       0.2 AS GDP_rate, 0.1 AS Poverty, CAST(min(n.n_nationkey) AS DOUBLE) AS Latitude,
+       CAST(100.0 AS DOUBLE) AS Demographic_Density, CAST(count(*) AS BIGINT) AS Cities_count, CAST(count(*) AS DOUBLE) AS GDP,
+       CAST(0.2 AS DOUBLE) AS GDP_rate, CAST(0.1 AS DOUBLE) AS Poverty, CAST(min(n.n_nationkey) AS DOUBLE) AS Latitude,
        CAST(max(n.n_nationkey) AS DOUBLE) AS Longitude
 FROM {{region}} r JOIN {{nation}} n ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name""",
     "airports": f"""
@@ -101,7 +101,7 @@ GROUP BY r.r_name""",
 SELECT {_REGION_STATE} AS UF, CAST(count(*) AS BIGINT) AS ICU_beds,
        CAST(sum(CASE WHEN c.c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END) AS BIGINT) AS Public_beds,
        CAST(sum(CASE WHEN c.c_mktsegment = 'BUILDING' THEN 0 ELSE 1 END) AS BIGINT) AS Private_beds,
-       0.1 AS Public_beds_per_citizen, 0.4 AS Private_beds_per_citizen
+       CAST(0.1 AS DOUBLE) AS Public_beds_per_citizen, CAST(0.4 AS DOUBLE) AS Private_beds_per_citizen
 FROM {{customer}} c JOIN {{nation}} n ON c.c_nationkey = n.n_nationkey JOIN {{region}} r ON n.n_regionkey = r.r_regionkey
 GROUP BY r.r_name""",
     "hdi": f"""
