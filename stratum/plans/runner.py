@@ -104,7 +104,8 @@ class RunResult:
 
 def selection(select: Iterable[str] | None = None, exclude: Iterable[str] | None = None) -> list[Model]:
     """Models matching names, layers (``bronze``, ``silver`` = both silver
-    layers, ``gold``) or tags; ``always_build`` models are always in."""
+    layers, ``gold``), tags or a materialisation (``incremental``);
+    ``always_build`` models are always in."""
     if select is None:
         chosen = list(MODELS)
     else:
@@ -112,7 +113,7 @@ def selection(select: Iterable[str] | None = None, exclude: Iterable[str] | None
         if "silver" in sel:
             sel |= {"silver_staging", "silver_intermediate"}
         chosen = [m for m in MODELS if m.name in sel or m.layer in sel or sel & set(m.tags)
-                  or "always_build" in m.tags]
+                  or m.materialized in sel or "always_build" in m.tags]
     ex = set(exclude or [])
     return [m for m in chosen if m.name not in ex and m.layer not in ex]
 
@@ -250,3 +251,19 @@ class LazyContext(BuildContext):
         if name not in self.frames:
             self.frames[name] = MODEL_INDEX[name].fn(self)
         return self.frames[name]
+
+
+# --------------------------------------------------------------------- jobs
+def standard_job(spark: SparkSession, cfg: PipelineConfig, gate: bool = True) -> RunResult:
+    """Build every model, incremental models incrementally, checks gating."""
+    return run(spark, cfg, gate=gate)
+
+
+def full_refresh_job(spark: SparkSession, cfg: PipelineConfig, gate: bool = True) -> RunResult:
+    """Rebuild only the incremental models from scratch (drift repair)."""
+    return run(spark, cfg, select=["incremental"], full_refresh=True, gate=gate, source_checks=False)
+
+
+def freshness_job(spark: SparkSession, cfg: PipelineConfig, as_of: dt.datetime | None = None) -> DataFrame | None:
+    """Source freshness report only; never blocks a build."""
+    return freshness(spark, cfg, as_of or dt.datetime.utcnow().replace(microsecond=0))

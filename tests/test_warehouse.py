@@ -153,6 +153,16 @@ def test_selection_and_config():
         resolve_target(targets, "qa")
 
 
+def test_jobs(built):
+    spark, cfg, *_ = built
+    names = [m.name for m in runner.selection(["incremental"])]
+    assert names == ["dim_date", "fct_orders", "fct_order_items"]
+    res = runner.full_refresh_job(spark, cfg, gate=False)
+    assert set(res.incremental) == {"fct_orders", "fct_order_items"}
+    assert all(v["mode"] == "full" for v in res.incremental.values())
+    assert runner.freshness_job(spark, cfg, dt.datetime(2017, 8, 3)).count() == 2
+
+
 def test_missing_csv_is_rejected(spark, tmp):
     cfg = PipelineConfig(source_base=f"{tmp}/src", target_base=f"{tmp}/wh")
     with pytest.raises(FileNotFoundError):
