@@ -52,17 +52,3 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str], *,
         cols.append(F.col(count_as))
     cols += [F.col(c) for c in g.columns[len(keys) + len(aggs):]]
     return g.select(*cols)
-
-
-def rank_filter_window(df: DataFrame, keys: list[str], order_by: list[Column],
-                       rank_col: str = "rn", keep: int | None = 1) -> DataFrame:
-    """Window form: ``row_number() OVER (PARTITION BY keys ORDER BY order_by)``.
-
-    Kept for the cases that need the rank itself or more than one row per
-    key; prefer :func:`latest_per_key` for the top row.
-    """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*keys).orderBy(*order_by)
-    out = df.withColumn(rank_col, F.row_number().over(w))
-    return out.filter(F.col(rank_col) <= keep).drop(rank_col) if keep else out
