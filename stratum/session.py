@@ -59,14 +59,18 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged writes.
 
-    Uses the cluster's ``spark.checkpoint.dir``.  Only when the session has
-    none (local tests) a private folder is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``.  Only a local-mode session
+    (tests) without one gets a private temporary folder; on a cluster a
+    machine-local folder would not be visible to the executors, so a missing
+    setting is an error there.
     """
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d.rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (cluster session)")
         d = tempfile.mkdtemp(prefix="stratum-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
