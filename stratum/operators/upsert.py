@@ -153,19 +153,25 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | li
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*parts).parquet(path))
     # a touched partition that ended up empty is not replaced by the
-    # dynamic overwrite: remove it explicitly.
-    left = {tuple(r[p] for p in parts) for r in staged.select(*parts).distinct().collect()}
+    # dynamic overwrite: remove it explicitly (the staged folders say which
+    # partitions the merge produced; no job needed).
     for r in touched:
-        t = tuple(r[p] for p in parts)
-        if t not in left:
-            sub = "/".join(f"{p}={_part_value(v)}" for p, v in zip(parts, t))
+        sub = "/".join(f"{_escape(spark, p)}={_part_value(spark, r[p])}" for p in parts)
+        if not path_exists(spark, f"{staging}/merged/{sub}"):
             delete_path(spark, f"{path.rstrip('/')}/{sub}")
     delete_path(spark, staging)
     return {"mode": "incremental", "partitions": [tuple(r) for r in touched]}
 
 
-def _part_value(v) -> str:
+def _escape(spark: SparkSession, text: str) -> str:
+    """Escape a partition name or value the way Spark names folders."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(text)
+
+
+def _part_value(spark: SparkSession, v) -> str:
     if v is None:
         return "__HIVE_DEFAULT_PARTITION__"
-    return str(v)
-
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    return _escape(spark, str(v))

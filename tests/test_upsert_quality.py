@@ -128,3 +128,15 @@ def test_stream_feeds_upsert(spark, tmp):
     q = start_upsert_stream(spark, src, st, out, "id", checkpoint=f"{tmp}/ckpt")
     q.awaitTermination(120)
     assert sorted((r.id, r.v) for r in spark.read.parquet(out).collect()) == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_upsert_removes_emptied_partition_with_odd_names(spark, tmp):
+    path = f"{tmp}/odd"
+    df = spark.createDataFrame([(1, "a/b:c", "x"), (2, "plain", "y")], "id int, p string, v string")
+    upsert_table(spark, df, path, "id", partition_by=["p"])
+    moved = spark.createDataFrame([(1, "plain", "x2")], "id int, p string, v string")
+    upsert_table(spark, moved, path, "id", partition_by=["p"])
+    out = spark.read.parquet(path)
+    assert sorted((r.id, r.p, r.v) for r in out.collect()) == [(1, "plain", "x2"), (2, "plain", "y")]
+    import os
+    assert sorted(d for d in os.listdir(path) if not d.startswith(("_", "."))) == ["p=plain"]
