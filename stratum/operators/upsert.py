@@ -128,6 +128,9 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | li
     staging = (staging_root or path.rstrip("/") + "__staging") + f"/{uuid.uuid4().hex}"
     batch.write.mode("overwrite").parquet(f"{staging}/batch")
     batch = spark.read.parquet(f"{staging}/batch")
+    if not batch.take(1):  # nothing new inside the window: leave the table alone
+        delete_path(spark, staging)
+        return {"mode": "incremental", "partitions": []}
 
     if not parts:
         merge_keyed(target, batch, keys).write.mode("overwrite").parquet(f"{staging}/merged")

@@ -140,3 +140,10 @@ def test_upsert_removes_emptied_partition_with_odd_names(spark, tmp):
     assert sorted((r.id, r.p, r.v) for r in out.collect()) == [(1, "plain", "x2"), (2, "plain", "y")]
     import os
     assert sorted(d for d in os.listdir(path) if not d.startswith(("_", "."))) == ["p=plain"]
+
+
+def test_upsert_empty_batch_is_noop(spark, tmp):
+    path = f"{tmp}/t"
+    upsert_table(spark, _rows(spark, [(1, D(2020, 1, 1), "a")]), path, "id")
+    info = upsert_table(spark, _rows(spark, [(2, D(2019, 1, 1), "old")]), path, "id", ts_col="ts")
+    assert info["partitions"] == [] and [r.id for r in spark.read.parquet(path).collect()] == [1]
