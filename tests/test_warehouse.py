@@ -173,3 +173,15 @@ def test_freshness_job(built):
     spark, cfg, *_ = built
     rep = {r.source_name: r.status for r in runner.freshness(spark, cfg, dt.datetime(2017, 8, 3, 0, 0)).collect()}
     assert rep == {"orders": "pass", "order_reviews": "error"}
+
+
+def test_command_line(built, capsys):
+    from stratum.__main__ import main
+    spark, cfg, *_ = built
+    args = ["--source-base", cfg.source_base, "--target-base", cfg.target_base, "--seeds-dir", cfg.seeds_dir]
+    assert main(["full-refresh", *args, "--no-gate"], spark=spark) == 0
+    assert "built 3 models" in capsys.readouterr().out
+    assert main(["freshness", *args, "--as-of", "2017-08-03T00:00:00"], spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "orders: pass" in out and "order_reviews: error" in out
+    assert main(["ingest", *args], spark=spark) == 2
