@@ -168,8 +168,12 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | li
 
 def _escape(spark: SparkSession, text: str) -> str:
     """Escape a partition name or value the way Spark names folders."""
-    jvm = spark.sparkContext._jvm
-    return jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(text)
+    try:
+        jvm = spark.sparkContext._jvm
+        return jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(text)
+    except Exception:  # noqa: BLE001 - no JVM view (e.g. Connect): same rule in Python
+        specials = set('"#%\'*/:=?\\\x7f{[]^')
+        return "".join(f"%{ord(c):02X}" if c in specials or ord(c) < 0x20 else c for c in text)
 
 
 def _part_value(spark: SparkSession, v) -> str:
