@@ -148,33 +148,22 @@ class RatioConsistency:
     join_on: str | None = None
     severity: str = "error"
 
-    def _source(self, df: DataFrame) -> DataFrame:
+    def _source(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        ratio = F.col(self.column).alias("ratio")
+        num = F.col(self.numerator).cast("double").alias("num")
         if self.join_to is not None and self.join_on:
-            m = df.select(self.join_on, F.col(self.column).alias("ratio"),
-                          F.col(self.numerator).cast("double").alias("num"))
+            m = df.select(*keep, self.join_on, ratio, num)
             e = self.join_to.select(self.join_on, F.col(self.denominator).cast("double").alias("den"))
             return m.join(e, self.join_on, "inner")
-        return df.select(F.col(self.column).alias("ratio"),
-                         F.col(self.denominator).cast("double").alias("den"),
-                         F.col(self.numerator).cast("double").alias("num"))
+        return df.select(*keep, ratio, F.col(self.denominator).cast("double").alias("den"), num)
 
     def rows(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        src = self._source(df) if not keep else self._source_keep(df, keep)
-        r = src.withColumn("recomputed_ratio",
-                           (F.col("num") / F.nullif(F.col("den"), F.lit(0.0))) * F.lit(self.scale))
+        """Violating rows as ``(*keep, ratio, recomputed_ratio)``."""
+        r = self._source(df, keep).withColumn(
+            "recomputed_ratio", (F.col("num") / F.nullif(F.col("den"), F.lit(0.0))) * F.lit(self.scale))
         return (r.filter(F.abs(F.col("ratio") - F.col("recomputed_ratio")) > F.lit(self.tolerance))
                  .select(*keep, "ratio", "recomputed_ratio"))
 
-    def _source_keep(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        if self.join_to is not None and self.join_on:
-            m = df.select(*keep, self.join_on, F.col(self.column).alias("ratio"),
-                          F.col(self.numerator).cast("double").alias("num"))
-            e = self.join_to.select(self.join_on, F.col(self.denominator).cast("double").alias("den"))
-            return m.join(e, self.join_on, "inner")
-        return df.select(*keep, F.col(self.column).alias("ratio"),
-                         F.col(self.denominator).cast("double").alias("den"),
-                         F.col(self.numerator).cast("double").alias("num"))
-
     def is_row_level(self) -> bool:
         return self.join_to is None
 
