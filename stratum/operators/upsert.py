@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.session import delete_path, path_exists
+from stratum.session import delete_path, hadoop_fs, path_exists
 
 
 def clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
@@ -71,13 +71,19 @@ def merge_keyed(target: DataFrame, batch: DataFrame, key: str | list[str]) -> Da
     return kept.unionByName(batch)
 
 
-def _partition_filter(parts: list, partition_by: list[str]) -> Column:
+def _partition_filter(parts: list, partition_by: list[str], types: dict | None = None) -> Column:
     """Predicate selecting the given partitions, flat enough for thousands of
-    values: ``isin`` for one partition column, a balanced OR tree otherwise."""
+    values: ``isin`` for one partition column, a balanced OR tree otherwise.
+    Values may be typed or folder text; with ``types`` they are cast to the
+    column's type."""
+    def lit(p, v):
+        c = F.lit(v)
+        return c.cast(types[p]) if types and p in types else c
+
     if len(partition_by) == 1:
         p = partition_by[0]
-        vals = sorted({r[p] for r in parts if r[p] is not None})
-        cond = F.col(p).isin(vals) if vals else F.lit(False)
+        vals = sorted({r[p] for r in parts if r[p] is not None}, key=str)
+        cond = F.col(p).isin([lit(p, v) for v in vals]) if vals else F.lit(False)
         if any(r[p] is None for r in parts):
             cond = cond | F.col(p).isNull()
         return cond
@@ -86,7 +92,7 @@ def _partition_filter(parts: list, partition_by: list[str]) -> Column:
         c = None
         for p in partition_by:
             v = row[p]
-            t = F.col(p).isNull() if v is None else (F.col(p) == F.lit(v))
+            t = F.col(p).isNull() if v is None else (F.col(p) == lit(p, v))
             c = t if c is None else (c & t)
         terms.append(c)
     while len(terms) > 1:
@@ -126,44 +132,80 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | li
     if ts_col:
         batch = lookback_filter(batch, target, ts_col, lookback_days)
     staging = (staging_root or path.rstrip("/") + "__staging") + f"/{uuid.uuid4().hex}"
-    batch.write.mode("overwrite").parquet(f"{staging}/batch")
-    batch = spark.read.parquet(f"{staging}/batch")
-    if not batch.take(1):  # nothing new inside the window: leave the table alone
-        delete_path(spark, staging)
-        return {"mode": "incremental", "partitions": []}
 
     if not parts:
+        batch.write.mode("overwrite").parquet(f"{staging}/batch")
+        batch = spark.read.parquet(f"{staging}/batch")
+        if not batch.take(1):  # nothing new inside the window: leave the table alone
+            delete_path(spark, staging)
+            return {"mode": "incremental", "partitions": []}
         merge_keyed(target, batch, keys).write.mode("overwrite").parquet(f"{staging}/merged")
         spark.read.parquet(f"{staging}/merged").write.mode("overwrite") \
              .option("partitionOverwriteMode", "static").parquet(path)
         delete_path(spark, staging)
         return {"mode": "incremental", "partitions": None}
 
-    # partition values are few (one per day or month), so they come to the
-    # driver and become a static filter: partition pruning on the target.
-    touched_df = batch.select(*parts)
-    if not stable_partition:
-        moved = target.select(*keys, *parts).join(batch.select(*keys), keys, "left_semi").select(*parts)
-        touched_df = touched_df.unionByName(moved)
-    touched = touched_df.distinct().collect()
-    if not touched:
+    # The batch is staged partitioned like the table: its partitions are then
+    # read from the folder names (no job), and an empty batch has none.
+    schema = batch.schema
+    clustered(batch, parts).write.mode("overwrite").partitionBy(*parts).parquet(f"{staging}/batch")
+    touched = _list_partitions(spark, f"{staging}/batch", parts)
+    if not touched:  # nothing new inside the window: leave the table alone
         delete_path(spark, staging)
         return {"mode": "incremental", "partitions": []}
-    old = target.filter(_partition_filter(touched, parts))
+    batch = spark.read.schema(schema).parquet(f"{staging}/batch")
+    if not stable_partition:
+        # older versions of the batch keys may sit in other partitions; the
+        # partition values are few (one per day or month), so they come to
+        # the driver
+        moved = target.select(*keys, *parts).join(batch.select(*keys), keys, "left_semi").select(*parts)
+        for r in moved.distinct().collect():
+            vals = {p: None if r[p] is None else _text(r[p]) for p in parts}
+            touched.setdefault(_sub(spark, parts, vals), vals)
+    types = dict((f.name, f.dataType) for f in target.schema.fields)
+    old = target.filter(_partition_filter(list(touched.values()), parts, types))
     clustered(merge_keyed(old, batch, keys), parts).write.mode("overwrite").partitionBy(*parts) \
         .parquet(f"{staging}/merged")
-    staged = spark.read.parquet(f"{staging}/merged")
+    staged = spark.read.schema(schema).parquet(f"{staging}/merged")
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*parts).parquet(path))
     # a touched partition that ended up empty is not replaced by the
     # dynamic overwrite: remove it explicitly (the staged folders say which
     # partitions the merge produced; no job needed).
-    for r in touched:
-        sub = "/".join(f"{_escape(spark, p)}={_part_value(spark, r[p])}" for p in parts)
+    for sub in touched:
         if not path_exists(spark, f"{staging}/merged/{sub}"):
             delete_path(spark, f"{path.rstrip('/')}/{sub}")
     delete_path(spark, staging)
-    return {"mode": "incremental", "partitions": [tuple(r) for r in touched]}
+    return {"mode": "incremental", "partitions": sorted(tuple(v[p] for p in parts) for v in touched.values())}
+
+
+def _text(v) -> str:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    return str(v)
+
+
+def _sub(spark: SparkSession, parts: list[str], vals: dict) -> str:
+    return "/".join(f"{_escape(spark, p)}={_part_value(spark, vals[p])}" for p in parts)
+
+
+def _list_partitions(spark: SparkSession, folder: str, parts: list[str]) -> dict[str, dict]:
+    """Partition folders written under ``folder``: ``{sub_path: {col: text value or None}}``."""
+    fs, base = hadoop_fs(spark, folder)
+    pattern = base.toString() + "".join(f"/{_escape(spark, p)}=*" for p in parts)
+    jvm = spark.sparkContext._jvm
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)) or []
+    out = {}
+    for st in found:
+        if not st.isDirectory():
+            continue
+        comps = st.getPath().toString().rstrip("/").split("/")[-len(parts):]
+        vals = {}
+        for p, comp in zip(parts, comps):
+            raw = comp.split("=", 1)[1]
+            vals[p] = None if raw == "__HIVE_DEFAULT_PARTITION__" else _unescape(spark, raw)
+        out["/".join(comps)] = vals
+    return out
 
 
 def _escape(spark: SparkSession, text: str) -> str:
@@ -176,6 +218,15 @@ def _escape(spark: SparkSession, text: str) -> str:
         return "".join(f"%{ord(c):02X}" if c in specials or ord(c) < 0x20 else c for c in text)
 
 
+def _unescape(spark: SparkSession, text: str) -> str:
+    try:
+        jvm = spark.sparkContext._jvm
+        return jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(text)
+    except Exception:  # noqa: BLE001
+        import urllib.parse
+        return urllib.parse.unquote(text)
+
+
 def _part_value(spark: SparkSession, v) -> str:
     if v is None:
         return "__HIVE_DEFAULT_PARTITION__"
