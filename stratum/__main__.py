@@ -5,9 +5,8 @@
     full-refresh  rebuild the incremental models from scratch
     freshness     source freshness report (never fails the command)
 
-Paths come from flags or from ``$STRATUM_TARGET``-named defaults the caller
-passes in; nothing is read from or written to the driver's local disk
-unless a local path is given.
+All locations are flags (use shared storage on a cluster); scratch space
+is the session's ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations

@@ -147,3 +147,19 @@ def test_upsert_empty_batch_is_noop(spark, tmp):
     upsert_table(spark, _rows(spark, [(1, D(2020, 1, 1), "a")]), path, "id")
     info = upsert_table(spark, _rows(spark, [(2, D(2019, 1, 1), "old")]), path, "id", ts_col="ts")
     assert info["partitions"] == [] and [r.id for r in spark.read.parquet(path).collect()] == [1]
+
+
+def test_partitioned_writes_are_rebalanced(spark):
+    from stratum.operators.upsert import clustered
+    df = spark.range(10).withColumn("m", F.lit("2020-01"))
+    plan = clustered(df, ["m"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+    assert clustered(df, []) is df
+
+
+def test_freshness_report_skips_sources_without_policy(spark):
+    from stratum.operators.freshness import freshness_report
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 30),)], "ts timestamp_ntz")
+    rep = freshness_report([("a", df, "ts", FreshnessPolicy()), ("b", df, "ts", None),
+                            ("c", df, "ts", FreshnessPolicy(None, None))], dt.datetime(2024, 1, 30, 12))
+    assert [(r.source_name, r.status) for r in rep.collect()] == [("a", "pass")]
