@@ -38,7 +38,7 @@ from stratum.sources.specs import ALL_SOURCES, MARKETPLACE, STATE_STATS
 from stratum.plans.warehouse import MODEL_INDEX, MODELS, SOURCE_CHECKS, Model
 
 # views read by more than one model are persisted for the run
-SHARED_VIEWS = {"slv_int_olist__geolocation", "slv_int_ibge__states"}
+SHARED_VIEWS = {"slv_int_market__geolocation", "slv_int_ibge__states"}
 
 
 class BuildContext:
@@ -118,10 +118,13 @@ def selection(select: Iterable[str] | None = None, exclude: Iterable[str] | None
     return [m for m in chosen if m.name not in ex and m.layer not in ex]
 
 
-def ingest(spark: SparkSession, cfg: PipelineConfig, marketplace_dir: str, state_stats_dir: str) -> list[str]:
-    """Load both raw catalogs (CSV -> parquet under ``cfg.source_base``)."""
-    return (load_csvs(spark, cfg, marketplace_dir, MARKETPLACE)
-            + load_csvs(spark, cfg, state_stats_dir, STATE_STATS))
+def ingest(spark: SparkSession, cfg: PipelineConfig, marketplace_dir: str, state_stats_dir: str,
+           filenames: dict[str, str] | None = None) -> list[str]:
+    """Load both raw catalogs (CSV -> parquet under ``cfg.source_base``);
+    ``filenames`` maps table names to the drop's file names when they are not
+    ``{name}.csv``."""
+    return (load_csvs(spark, cfg, marketplace_dir, MARKETPLACE, filenames)
+            + load_csvs(spark, cfg, state_stats_dir, STATE_STATS, filenames))
 
 
 def _with_layout(m: Model, df: DataFrame) -> DataFrame:

@@ -101,7 +101,7 @@ def stg_states(ctx):
 
 
 def stg_customers(ctx):
-    b = ctx.ref("brz_olist__customers")
+    b = ctx.ref("brz_market__customers")
     return b.select(trim_spaces("customer_id").alias("customer_basket_id"),
                     trim_spaces("customer_unique_id").alias("customer_id"),
                     trim_spaces("customer_zip_code_prefix").alias("zip_code_prefix"),
@@ -109,7 +109,7 @@ def stg_customers(ctx):
 
 
 def stg_geolocation(ctx):
-    b = ctx.ref("brz_olist__geolocation")
+    b = ctx.ref("brz_market__geolocation")
     return b.select(trim_spaces("geolocation_zip_code_prefix").alias("zip_code_prefix"),
                     F.col("geolocation_lat").alias("latitude"), F.col("geolocation_lng").alias("longitude"),
                     clean_upper("geolocation_city").alias("city"),
@@ -117,7 +117,7 @@ def stg_geolocation(ctx):
 
 
 def stg_order_items(ctx):
-    b = ctx.ref("brz_olist__order_items")
+    b = ctx.ref("brz_market__order_items")
     return b.select(trim_spaces("order_id").alias("order_id"),
                     to_int("order_item_id").alias("item_sequence_number"),
                     trim_spaces("product_id").alias("product_id"), trim_spaces("seller_id").alias("seller_id"),
@@ -126,7 +126,7 @@ def stg_order_items(ctx):
 
 
 def stg_order_payments(ctx):
-    b = ctx.ref("brz_olist__order_payments")
+    b = ctx.ref("brz_market__order_payments")
     return b.select(trim_spaces("order_id").alias("order_id"),
                     to_int("payment_sequential").alias("sequence_number"),
                     clean_lower("payment_type").alias("type"),
@@ -135,7 +135,7 @@ def stg_order_payments(ctx):
 
 
 def stg_order_reviews(ctx):
-    b = ctx.ref("brz_olist__order_reviews")
+    b = ctx.ref("brz_market__order_reviews")
     return b.select(trim_spaces("review_id").alias("review_id"), trim_spaces("order_id").alias("order_id"),
                     to_int("review_score").alias("score"),
                     clean_lower("review_comment_title").alias("comment_title"),
@@ -145,7 +145,7 @@ def stg_order_reviews(ctx):
 
 
 def stg_orders(ctx):
-    b = ctx.ref("brz_olist__orders")
+    b = ctx.ref("brz_market__orders")
     # the recode sees the raw value: ' canceled' is not recoded
     status = F.when(F.col("order_status") == "canceled", F.lit("cancelled")).otherwise(F.col("order_status"))
     ts = lambda c: F.col(c).cast("timestamp_ntz")
@@ -160,13 +160,13 @@ def stg_orders(ctx):
 
 
 def stg_product_category(ctx):
-    b = ctx.ref("brz_olist__category_translation")
+    b = ctx.ref("brz_market__category_translation")
     return b.select(clean_lower("product_category_name").alias("local_name"),
                     clean_lower("product_category_name_english").alias("english_name"))
 
 
 def stg_products(ctx):
-    b = ctx.ref("brz_olist__products")
+    b = ctx.ref("brz_market__products")
     return b.select(trim_spaces("product_id").alias("product_id"),
                     clean_lower("product_category_name").alias("local_category_name"),
                     to_int("product_name_lenght").alias("name_lenght"),
@@ -177,7 +177,7 @@ def stg_products(ctx):
 
 
 def stg_sellers(ctx):
-    b = ctx.ref("brz_olist__sellers")
+    b = ctx.ref("brz_market__sellers")
     # the postcode is passed through untouched (no trim), as in the source model
     return b.select(trim_spaces("seller_id").alias("seller_id"),
                     F.col("seller_zip_code_prefix").alias("zip_code_prefix"),
@@ -211,10 +211,10 @@ def _cascade(ctx, df, name_col, zip_col, out="city"):
 
 
 def int_customers(ctx):
-    c = ctx.ref("slv_stg_olist__customers")
+    c = ctx.ref("slv_stg_market__customers")
     c = _cascade(ctx, c, "city", "zip_code_prefix", out="city").select(
         "customer_basket_id", "customer_id", "zip_code_prefix", "city", "state_id")
-    o = ctx.ref("slv_stg_olist__orders").select("customer_basket_id", "purchase_timestamp")
+    o = ctx.ref("slv_stg_market__orders").select("customer_basket_id", "purchase_timestamp")
     joined = c.join(o, "customer_basket_id", "inner")
     # newest record per customer (NULL timestamps last), total joined records;
     # the basket id breaks ties, then the location columns
@@ -225,7 +225,7 @@ def int_customers(ctx):
 
 
 def int_geolocation(ctx):
-    g = ctx.ref("slv_stg_olist__geolocation")
+    g = ctx.ref("slv_stg_market__geolocation")
     g = _cascade(ctx, g, "city", "zip_code_prefix", out="city_final")
     # averages through exact micro-degree sums: independent of task order
     return centroid(g, "zip_code_prefix", {"latitude_mean": "latitude", "longitude_mean": "longitude"},
@@ -233,25 +233,25 @@ def int_geolocation(ctx):
 
 
 def int_order_items(ctx):
-    s = ctx.ref("slv_stg_olist__order_items")
+    s = ctx.ref("slv_stg_market__order_items")
     return s.select(surrogate_key("order_id", "item_sequence_number").alias("order_item_id"), *s.columns)
 
 
 def int_order_payments(ctx):
-    s = ctx.ref("slv_stg_olist__order_payments")
+    s = ctx.ref("slv_stg_market__order_payments")
     return s.select(surrogate_key("order_id", "sequence_number").alias("order_payment_id"), *s.columns)
 
 
 def int_order_reviews(ctx):
-    s = ctx.ref("slv_stg_olist__order_reviews")
+    s = ctx.ref("slv_stg_market__order_reviews")
     d = s.select(F.col("review_id").alias("review_group_id"), "order_id", "score", "comment_title",
                  "comment_text", "creation_date", "answer_timestamp").distinct()
     return d.select(surrogate_key("review_group_id", "order_id").alias("order_review_id"), *d.columns)
 
 
 def int_orders(ctx):
-    o = ctx.ref("slv_stg_olist__orders")
-    c = ctx.ref("slv_stg_olist__customers").select("customer_basket_id", "customer_id")
+    o = ctx.ref("slv_stg_market__orders")
+    c = ctx.ref("slv_stg_market__customers").select("customer_basket_id", "customer_id")
     j = o.join(c, "customer_basket_id", "inner")
     return j.select("order_id", "customer_id", "status", "purchase_timestamp", "approved_at",
                     "delivered_carrier_date", "delivered_customer_date", "estimated_delivery_date")
@@ -266,7 +266,7 @@ CATEGORY_NAME_OVERRIDES = [
 
 def int_product_category(ctx):
     seed = ctx.seed("category_map")
-    pc = ctx.ref("slv_stg_olist__product_category")
+    pc = ctx.ref("slv_stg_market__product_category")
     j = seed.join(pc, seed["raw_category"] == pc["local_name"], "left")
     eng = F.col("english_name")
     for k, v in reversed(CATEGORY_NAME_OVERRIDES):
@@ -275,31 +275,31 @@ def int_product_category(ctx):
 
 
 def int_sellers(ctx):
-    s = ctx.ref("slv_stg_olist__sellers")
+    s = ctx.ref("slv_stg_market__sellers")
     return _cascade(ctx, s, "city", "zip_code_prefix", out="city").select(
         "seller_id", "zip_code_prefix", "city", "state_id")
 
 
 # ------------------------------------------------------------------- gold
 def dim_customers(ctx):
-    c = ctx.ref("slv_int_olist__customers")
-    g = ctx.ref("slv_int_olist__geolocation").select("zip_code_prefix", F.col("latitude_mean").alias("latitude"),
+    c = ctx.ref("slv_int_market__customers")
+    g = ctx.ref("slv_int_market__geolocation").select("zip_code_prefix", F.col("latitude_mean").alias("latitude"),
                                                       F.col("longitude_mean").alias("longitude"))
     return c.join(g, "zip_code_prefix", "left").select(
         "customer_id", "zip_code_prefix", "city", "state_id", "latitude", "longitude", "total_orders")
 
 
 def dim_sellers(ctx):
-    s = ctx.ref("slv_int_olist__sellers")
-    g = ctx.ref("slv_int_olist__geolocation").select("zip_code_prefix", F.col("latitude_mean").alias("latitude"),
+    s = ctx.ref("slv_int_market__sellers")
+    g = ctx.ref("slv_int_market__geolocation").select("zip_code_prefix", F.col("latitude_mean").alias("latitude"),
                                                       F.col("longitude_mean").alias("longitude"))
     return s.join(g, "zip_code_prefix", "left").select(
         "seller_id", "zip_code_prefix", "city", "state_id", "latitude", "longitude")
 
 
 def dim_products(ctx):
-    p = ctx.ref("slv_stg_olist__products")
-    pc = ctx.ref("slv_int_olist__product_category")
+    p = ctx.ref("slv_stg_market__products")
+    pc = ctx.ref("slv_int_market__product_category")
     pc = bounded_broadcast(pc, 1_000_000)
     j = p.join(pc, p["local_category_name"] == pc["local_name"], "left")
     return j.select("product_id", F.col("english_name").alias("category_name"), "business_area", "name_lenght",
@@ -340,9 +340,9 @@ def fct_orders(ctx, since=None):
     """Order fact.  ``since`` (incremental runs) restricts to orders approved
     at or after it; payments and reviews are then semi-joined to those order
     ids *before* they are aggregated, so only touched orders are aggregated."""
-    o = ctx.ref("slv_int_olist__orders")
-    pay = ctx.ref("slv_int_olist__order_payments")
-    rev = ctx.ref("slv_int_olist__order_reviews")
+    o = ctx.ref("slv_int_market__orders")
+    pay = ctx.ref("slv_int_market__order_payments")
+    rev = ctx.ref("slv_int_market__order_reviews")
     if since is not None:
         o = o.filter(F.col("approved_at") >= since)
         ids = o.select("order_id")
@@ -367,7 +367,7 @@ def fct_orders(ctx, since=None):
 
 
 def fct_order_items(ctx, since=None):
-    i = ctx.ref("slv_int_olist__order_items")
+    i = ctx.ref("slv_int_market__order_items")
     f = i.select("order_item_id", "order_id", "product_id", "seller_id",
                  F.to_date("shipping_limit_date").alias("shipping_date_id"), "item_sequence_number",
                  "price", "freight_value", (F.col("price") + F.col("freight_value")).alias("total_item_value"))
@@ -463,7 +463,7 @@ def _fct_items_checks(ctx):
 MODELS: list[Model] = [
     # bronze: 1:1 mirrors, materialised
     *[Model(f"brz_ibge__{s}", "bronze", _bronze(s), "table") for s in ("airports", "hdi", "icu_beds", "states")],
-    *[Model(f"brz_olist__{s}", "bronze", _bronze(s), "table") for s in (
+    *[Model(f"brz_market__{s}", "bronze", _bronze(s), "table") for s in (
         "category_translation", "customers", "geolocation", "order_items", "order_payments", "order_reviews",
         "orders", "products", "sellers")],
     # silver staging
@@ -477,43 +477,43 @@ MODELS: list[Model] = [
     Model("slv_stg_ibge__states", "silver_staging", stg_states,
           checks=lambda ctx: [RatioConsistency("ratio_density", "demographic_density_per_km2", "population",
                                                "area_km2")]),
-    Model("slv_stg_olist__customers", "silver_staging", stg_customers, "ephemeral"),
-    Model("slv_stg_olist__geolocation", "silver_staging", stg_geolocation, "ephemeral"),
-    Model("slv_stg_olist__orders", "silver_staging", stg_orders,
-          checks=lambda ctx: [_rel(ctx, "customer_basket_id", "slv_stg_olist__customers")]),
-    Model("slv_stg_olist__products", "silver_staging", stg_products),
-    Model("slv_stg_olist__sellers", "silver_staging", stg_sellers, "ephemeral"),
-    Model("slv_stg_olist__order_items", "silver_staging", stg_order_items,
-          checks=lambda ctx: [_rel(ctx, "order_id", "slv_stg_olist__orders"),
-                              _rel(ctx, "product_id", "slv_stg_olist__products"),
-                              _rel(ctx, "seller_id", "slv_stg_olist__sellers")]),
-    Model("slv_stg_olist__order_payments", "silver_staging", stg_order_payments,
-          checks=lambda ctx: [_rel(ctx, "order_id", "slv_stg_olist__orders")]),
-    Model("slv_stg_olist__order_reviews", "silver_staging", stg_order_reviews,
-          checks=lambda ctx: [_rel(ctx, "order_id", "slv_stg_olist__orders")]),
-    Model("slv_stg_olist__product_category", "silver_staging", stg_product_category, "ephemeral"),
+    Model("slv_stg_market__customers", "silver_staging", stg_customers, "ephemeral"),
+    Model("slv_stg_market__geolocation", "silver_staging", stg_geolocation, "ephemeral"),
+    Model("slv_stg_market__orders", "silver_staging", stg_orders,
+          checks=lambda ctx: [_rel(ctx, "customer_basket_id", "slv_stg_market__customers")]),
+    Model("slv_stg_market__products", "silver_staging", stg_products),
+    Model("slv_stg_market__sellers", "silver_staging", stg_sellers, "ephemeral"),
+    Model("slv_stg_market__order_items", "silver_staging", stg_order_items,
+          checks=lambda ctx: [_rel(ctx, "order_id", "slv_stg_market__orders"),
+                              _rel(ctx, "product_id", "slv_stg_market__products"),
+                              _rel(ctx, "seller_id", "slv_stg_market__sellers")]),
+    Model("slv_stg_market__order_payments", "silver_staging", stg_order_payments,
+          checks=lambda ctx: [_rel(ctx, "order_id", "slv_stg_market__orders")]),
+    Model("slv_stg_market__order_reviews", "silver_staging", stg_order_reviews,
+          checks=lambda ctx: [_rel(ctx, "order_id", "slv_stg_market__orders")]),
+    Model("slv_stg_market__product_category", "silver_staging", stg_product_category, "ephemeral"),
     # silver intermediate
     Model("slv_int_ibge__human_development_index", "silver_intermediate", int_human_development_index,
           checks=lambda ctx: _nn_unique("hdi_id")),
     Model("slv_int_ibge__intensive_care_unit_beds", "silver_intermediate", int_intensive_care_unit_beds,
           checks=lambda ctx: _nn_unique("state_id")),
     Model("slv_int_ibge__states", "silver_intermediate", int_states, checks=lambda ctx: _nn_unique("state_id")),
-    Model("slv_int_olist__customers", "silver_intermediate", int_customers,
+    Model("slv_int_market__customers", "silver_intermediate", int_customers,
           checks=lambda ctx: _nn_unique("customer_id")),
-    Model("slv_int_olist__orders", "silver_intermediate", int_orders,
-          checks=lambda ctx: _nn_unique("order_id") + [_rel(ctx, "customer_id", "slv_int_olist__customers")]),
-    Model("slv_int_olist__product_category", "silver_intermediate", int_product_category,
+    Model("slv_int_market__orders", "silver_intermediate", int_orders,
+          checks=lambda ctx: _nn_unique("order_id") + [_rel(ctx, "customer_id", "slv_int_market__customers")]),
+    Model("slv_int_market__product_category", "silver_intermediate", int_product_category,
           checks=lambda ctx: _nn_unique("local_name") + [NotNull("not_null_english_name", "english_name")]),
-    Model("slv_int_olist__geolocation", "silver_intermediate", int_geolocation,
+    Model("slv_int_market__geolocation", "silver_intermediate", int_geolocation,
           checks=lambda ctx: _nn_unique("zip_code_prefix")),
-    Model("slv_int_olist__order_items", "silver_intermediate", int_order_items,
+    Model("slv_int_market__order_items", "silver_intermediate", int_order_items,
           checks=lambda ctx: _nn_unique("order_item_id")),
-    Model("slv_int_olist__order_payments", "silver_intermediate", int_order_payments,
+    Model("slv_int_market__order_payments", "silver_intermediate", int_order_payments,
           checks=lambda ctx: _nn_unique("order_payment_id") + [
               AcceptedValues("accepted_type", "type", values=PAYMENT_TYPE_VALUES)]),
-    Model("slv_int_olist__order_reviews", "silver_intermediate", int_order_reviews,
+    Model("slv_int_market__order_reviews", "silver_intermediate", int_order_reviews,
           checks=lambda ctx: _nn_unique("order_review_id")),
-    Model("slv_int_olist__sellers", "silver_intermediate", int_sellers, checks=lambda ctx: _nn_unique("seller_id")),
+    Model("slv_int_market__sellers", "silver_intermediate", int_sellers, checks=lambda ctx: _nn_unique("seller_id")),
     # gold
     Model("dim_date", "gold", dim_date, "table", tags=("always_build",),
           checks=lambda ctx: _nn_unique("date_id") + [

@@ -19,14 +19,17 @@ def read_csv(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
 
 
 def load_csvs(spark: SparkSession, cfg: PipelineConfig, raw_dir: str,
-              specs: Iterable[SourceSpec]) -> list[str]:
+              specs: Iterable[SourceSpec], filenames: dict[str, str] | None = None) -> list[str]:
     """Load every spec's CSV from ``raw_dir`` into ``{source_base}/{namespace}/{name}``.
 
-    All files are checked first; a missing one raises ``FileNotFoundError``
-    before anything is written.  Each table is replaced as a whole.
+    ``filenames`` maps logical table names to the file names of the drop
+    (default: the spec's ``{name}.csv``).  All files are checked first; a
+    missing one raises ``FileNotFoundError`` before anything is written.
+    Each table is replaced as a whole.
     """
     specs = list(specs)
-    paths = {s.name: f"{raw_dir.rstrip('/')}/{s.filename}" for s in specs}
+    names = filenames or {}
+    paths = {s.name: f"{raw_dir.rstrip('/')}/{names.get(s.name, s.filename)}" for s in specs}
     for s in specs:
         if not path_exists(spark, paths[s.name]):
             raise FileNotFoundError(f"Missing file: {paths[s.name]}")

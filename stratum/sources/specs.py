@@ -40,38 +40,39 @@ class SourceSpec:
 
 DAILY = FreshnessPolicy(warn_after=dt.timedelta(hours=24), error_after=dt.timedelta(days=2))
 
-# Marketplace sources (file names are parameters of the catalog, not logic).
+# Marketplace sources.  File names default to ``{name}.csv``; a raw drop
+# with other names is read through the ``filenames`` mapping of ingestion.
 MARKETPLACE = [
-    SourceSpec("orders", "olist_orders_dataset.csv", _schema(
+    SourceSpec("orders", "orders.csv", _schema(
         ("order_id", S), ("customer_id", S), ("order_status", S), ("order_purchase_timestamp", TS),
         ("order_approved_at", TS), ("order_delivered_carrier_date", TS),
         ("order_delivered_customer_date", TS), ("order_estimated_delivery_date", TS)),
-        "raw_olist", loaded_at="order_purchase_timestamp", freshness=DAILY),
-    SourceSpec("order_items", "olist_order_items_dataset.csv", _schema(
+        "raw_market", loaded_at="order_purchase_timestamp", freshness=DAILY),
+    SourceSpec("order_items", "order_items.csv", _schema(
         ("order_id", S), ("order_item_id", I), ("product_id", S), ("seller_id", S),
-        ("shipping_limit_date", TS), ("price", D), ("freight_value", D)), "raw_olist"),
-    SourceSpec("order_payments", "olist_order_payments_dataset.csv", _schema(
+        ("shipping_limit_date", TS), ("price", D), ("freight_value", D)), "raw_market"),
+    SourceSpec("order_payments", "order_payments.csv", _schema(
         ("order_id", S), ("payment_sequential", I), ("payment_type", S), ("payment_installments", I),
-        ("payment_value", D)), "raw_olist"),
-    SourceSpec("order_reviews", "olist_order_reviews_dataset.csv", _schema(
+        ("payment_value", D)), "raw_market"),
+    SourceSpec("order_reviews", "order_reviews.csv", _schema(
         ("review_id", S), ("order_id", S), ("review_score", I), ("review_comment_title", S),
         ("review_comment_message", S), ("review_creation_date", TS), ("review_answer_timestamp", TS)),
-        "raw_olist", loaded_at="review_creation_date", freshness=DAILY),
-    SourceSpec("customers", "olist_customers_dataset.csv", _schema(
+        "raw_market", loaded_at="review_creation_date", freshness=DAILY),
+    SourceSpec("customers", "customers.csv", _schema(
         ("customer_id", S), ("customer_unique_id", S), ("customer_zip_code_prefix", S),
-        ("customer_city", S), ("customer_state", S)), "raw_olist"),
-    SourceSpec("sellers", "olist_sellers_dataset.csv", _schema(
+        ("customer_city", S), ("customer_state", S)), "raw_market"),
+    SourceSpec("sellers", "sellers.csv", _schema(
         ("seller_id", S), ("seller_zip_code_prefix", S), ("seller_city", S), ("seller_state", S)),
-        "raw_olist"),
-    SourceSpec("products", "olist_products_dataset.csv", _schema(
+        "raw_market"),
+    SourceSpec("products", "products.csv", _schema(
         ("product_id", S), ("product_category_name", S), ("product_name_lenght", D),
         ("product_description_lenght", D), ("product_photos_qty", D), ("product_weight_g", D),
-        ("product_length_cm", D), ("product_height_cm", D), ("product_width_cm", D)), "raw_olist"),
-    SourceSpec("geolocation", "olist_geolocation_dataset.csv", _schema(
+        ("product_length_cm", D), ("product_height_cm", D), ("product_width_cm", D)), "raw_market"),
+    SourceSpec("geolocation", "geolocation.csv", _schema(
         ("geolocation_zip_code_prefix", S), ("geolocation_lat", D), ("geolocation_lng", D),
-        ("geolocation_city", S), ("geolocation_state", S)), "raw_olist"),
-    SourceSpec("category_translation", "product_category_name_translation.csv", _schema(
-        ("product_category_name", S), ("product_category_name_english", S)), "raw_olist"),
+        ("geolocation_city", S), ("geolocation_state", S)), "raw_market"),
+    SourceSpec("category_translation", "category_translation.csv", _schema(
+        ("product_category_name", S), ("product_category_name_english", S)), "raw_market"),
 ]
 
 HDI_YEARS = (2017, 2010, 2000, 1991)

@@ -15,7 +15,7 @@ import os
 NBSP = " "
 
 MARKETPLACE = {
-    "olist_customers_dataset.csv": (
+    "customers.csv": (
         ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"],
         [
             ["b1", "u1", "01307", "são paulo", "SP"],
@@ -27,7 +27,7 @@ MARKETPLACE = {
             ["b7", "u5", "55555", f"{NBSP}abrantes{NBSP}", "BA"],
             ["b8", "u6", "66666", "Santa-Rita", "PB"],
         ]),
-    "olist_orders_dataset.csv": (
+    "orders.csv": (
         ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
          "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date"],
         [
@@ -47,7 +47,7 @@ MARKETPLACE = {
             ["o9", "b8", "processing", "2017-08-02 09:00:00", "2017-08-02 10:00:00", "", "",
              "2017-08-22 00:00:00"],
         ]),
-    "olist_order_items_dataset.csv": (
+    "order_items.csv": (
         ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"],
         [
             ["o1", "1", "p1", "s1", "2017-01-12 00:00:00", "100.00", "10.50"],
@@ -57,7 +57,7 @@ MARKETPLACE = {
             ["o7", "1", "p2", "s2", "2017-07-03 00:00:00", "15.50", "4.99"],
             ["o8", "1", "p4", "s1", "2017-08-03 00:00:00", "9.90", "1.00"],
         ]),
-    "olist_order_payments_dataset.csv": (
+    "order_payments.csv": (
         ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"],
         [
             ["o1", "1", "credit_card", "3", "60.00"],
@@ -71,7 +71,7 @@ MARKETPLACE = {
             ["o7", "2", "debit_card", "1", "5.49"],
             ["o8", "1", "boleto", "1", "10.90"],
         ]),
-    "olist_order_reviews_dataset.csv": (
+    "order_reviews.csv": (
         ["review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
          "review_creation_date", "review_answer_timestamp"],
         [
@@ -82,7 +82,7 @@ MARKETPLACE = {
             ["r3", "o5", "3", "ok", "", "2017-05-08 00:00:00", "2017-05-09 09:00:00"],
             ["r4", "o4", "2", "ruim", "atrasou", "2017-02-05 00:00:00", "2017-02-07 09:00:00"],
         ]),
-    "olist_products_dataset.csv": (
+    "products.csv": (
         ["product_id", "product_category_name", "product_name_lenght", "product_description_lenght",
          "product_photos_qty", "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"],
         [
@@ -91,14 +91,14 @@ MARKETPLACE = {
             ["p3", "", "10", "100", "", "", "", "", ""],
             ["p4", "unknown_cat", "12", "150", "3", "100", "10", "5", "5"],
         ]),
-    "olist_sellers_dataset.csv": (
+    "sellers.csv": (
         ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
         [
             ["s1", "01307", "sao paulo", "SP"],
             ["s2", "04004", "são paulo", "SP"],
             ["s3", "99999", "salvador", "BA"],
         ]),
-    "olist_geolocation_dataset.csv": (
+    "geolocation.csv": (
         ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng", "geolocation_city",
          "geolocation_state"],
         [
@@ -112,7 +112,7 @@ MARKETPLACE = {
             ["55555", "-12.7", "-38.3", "abrantes", "BA"],
             ["66666", "-7.1", "-34.9", "santa rita", "PB"],
         ]),
-    "product_category_name_translation.csv": (
+    "category_translation.csv": (
         ["product_category_name", "product_category_name_english"],
         [["beleza_saude", "health_beauty"], ["cama_mesa_banho", "bed_bath_table"]]),
 }

@@ -94,14 +94,14 @@ def test_reports_flag_planted_violations(built):
     bad = {(r.table_name, r.check_name) for r in res.report().filter("status = 'error'").collect()}
     for want in [("source.orders", "accepted_order_status"),
                  ("slv_stg_ibge__intensive_care_unit_beds", "icu_beds_sum"),
-                 ("slv_stg_olist__orders", "relationships_customer_basket_id_slv_stg_olist__customers"),
-                 ("slv_int_olist__order_payments", "accepted_type"),
+                 ("slv_stg_market__orders", "relationships_customer_basket_id_slv_stg_market__customers"),
+                 ("slv_int_market__order_payments", "accepted_type"),
                  ("fct_orders", "payment_breakdown_matches_total"),
                  ("fct_orders", "delivery_date_after_purchase"),
                  ("fct_orders", "range_days_to_deliver")]:
         assert want in bad
     ok = {(r.table_name, r.check_name) for r in res.report().filter("status = 'pass'").collect()}
-    assert ("slv_int_olist__order_reviews", "unique_order_review_id") in ok
+    assert ("slv_int_market__order_reviews", "unique_order_review_id") in ok
     assert ("slv_stg_ibge__states", "ratio_density") in ok           # zero area -> NULL ratio passes
 
 
@@ -123,10 +123,10 @@ def test_incremental_equals_full_refresh_inside_window(built, tmp):
     cfg = PipelineConfig(source_base=src, target_base=wh, seeds_dir=paths["seeds"])
     raw = f"{tmp}/raw"
     shutil.copytree(paths["marketplace"], raw)
-    rows = list(csv.reader(open(f"{raw}/olist_order_payments_dataset.csv")))
+    rows = list(csv.reader(open(f"{raw}/order_payments.csv")))
     rows = [r if r[0] != "o9" else r for r in rows] + [["o9", "1", "credit_card", "2", "77.00"]]
     rows = [r if not (r[0] == "o1" and r[1] == "1") else ["o1", "1", "credit_card", "3", "61.00"] for r in rows]
-    with open(f"{raw}/olist_order_payments_dataset.csv", "w", newline="") as fh:
+    with open(f"{raw}/order_payments.csv", "w", newline="") as fh:
         csv.writer(fh).writerows(rows)
     from stratum.sources.ingest import load_csvs
     from stratum.sources.specs import MARKETPLACE
