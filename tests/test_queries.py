@@ -8,10 +8,13 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from stratum.plans import testdata, warehouse_queries
 
 SF = os.environ.get("STRATUM_TEST_SF", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
 
+NAMES = sorted([*testdata.QUERIES, *warehouse_queries.QUERIES])
+
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
 
 
@@ -38,7 +41,7 @@ def _rows(cols, recs):
     return sorted(tuple(_norm(r[i]) for i in order) for r in recs)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
@@ -51,7 +54,7 @@ def test_query_matches_oracle(spark, duck, name):
     assert _rows(df.columns, got) == _rows(cols, want)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_no_python_udf_in_plan(spark, name):
     plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for udf_node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
