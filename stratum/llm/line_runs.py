@@ -23,8 +23,8 @@ from __future__ import annotations
 
 import hashlib
 
-import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,9 +118,10 @@ def batch_drops(lines: DataFrame, store: RunStore) -> DataFrame:
 
 @F.arrow_udf(T.StructType().add("text", T.StringType()).add("n_lines", T.LongType()).add("n_dropped", T.LongType()))
 def _without(text: pa.Array, drops: pa.Array, min_chars: pa.Array) -> pa.Array:
-    kept, total, gone, at = [], [], [], 0
+    chunks, total, gone, at = [pa.array([], pa.string())], [], [], 0
     least = min_chars[0].as_py() if len(min_chars) else 0
     for block in text_blocks(text):
+        kept = []
         for raw, drop in zip(text_bytes(block), drops.slice(at, len(block)).to_pylist()):
             lines = raw.split(b"\n")
             stay = lines
@@ -130,11 +131,11 @@ def _without(text: pa.Array, drops: pa.Array, min_chars: pa.Array) -> pa.Array:
             total.append(len(lines))
             gone.append(len(lines) - len(stay))
             kept.append(raw if stay is lines else b"\n".join(stay))
+        own = pa.array(kept, pa.binary()).cast(pa.string())
+        # a null text has nothing to lose
+        chunks.append(pc.if_else(pc.is_null(block), pa.scalar(None, pa.string()), own) if block.null_count else own)
         at += len(block)
-    out = pa.array(kept, pa.binary()).cast(pa.string())
-    same = np.asarray([t is None for t in text.to_pylist()] if text.null_count else np.zeros(len(text), bool))
-    if same.any():  # a null text has nothing to lose
-        out = pa.array([None if n else v for n, v in zip(same, out.to_pylist())], pa.string())
+    out = pa.concat_arrays(chunks)
     return pa.StructArray.from_arrays([out, pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
                                       ["text", "n_lines", "n_dropped"])
 

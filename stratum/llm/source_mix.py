@@ -133,7 +133,7 @@ class Mix:
         """Per row of ``docs``: doc (its id), source_no, size and the words the
         mix takes of it, repeats counted."""
         rows = self.placed(self.slim)
-        uses = self.slots.groupBy("source_no", "block_no").agg(F.count("*").alias("uses"))
+        uses = self.slots.groupBy("source_no", "block_no").agg(F.count("*").alias("uses")).hint("merge")
         lo, hi = self.span()
         words = rows.where("size > 0").withColumn("local", F.explode(self.local_blocks())) \
             .withColumn("words", hi - lo).withColumn("block_no", F.col("base") + F.col("local")) \
@@ -155,7 +155,8 @@ class Mix:
             F.struct(*[F.col("row")[c].alias(c) for c in names if c != "text"]).alias("row"), "source_no",
             (F.col("base") + F.col("p.local")).alias("block_no"), F.col("p.at").alias("piece"),
             F.col("p.words").alias("words"), F.col("p.text").alias("text"))
-        out = pieces.join(self.slots, ["source_no", "block_no"])
+        # slots grow with the corpus: never broadcast, whatever the planner guesses of their size
+        out = pieces.join(self.slots.hint("merge"), ["source_no", "block_no"])
         taken = [c for c in names if c != "text"]
         return out.select(F.col("shard").alias(free_name(names, "shard")), F.col("slot").alias(free_name(names, "slot")),
                           F.col("piece").alias(free_name(names, "piece")), *[F.col("row")[c].alias(c) for c in taken],
@@ -166,8 +167,10 @@ class Mix:
                          .add("words", T.IntegerType()).add("text", T.StringType())))
 def _pieces(texts: pa.Array, first: pa.Array, block: pa.Array) -> pa.Array:
     """A text cut at its bucket's block borders; ``at``: where in the block."""
-    width, at, out = (block[0].as_py() if len(block) else 1), 0, []
+    kind = pa.list_(pa.struct([("local", pa.int64()), ("at", pa.int32()), ("words", pa.int32()), ("text", pa.string())]))
+    width, at, chunks = (block[0].as_py() if len(block) else 1), 0, [pa.array([], kind)]
     for part in text_blocks(texts):
+        out = []
         for text, start in zip(text_bytes(part), first.slice(at, len(part)).to_pylist()):
             words, pieces, done = text.split(), [], 0
             while done < len(words):
@@ -176,9 +179,9 @@ def _pieces(texts: pa.Array, first: pa.Array, block: pa.Array) -> pa.Array:
                 pieces.append({"local": local, "at": offset, "words": len(own), "text": b" ".join(own).decode()})
                 done += len(own)
             out.append(pieces)
+        chunks.append(pa.array(out, kind))
         at += len(part)
-    kind = pa.list_(pa.struct([("local", pa.int64()), ("at", pa.int32()), ("words", pa.int32()), ("text", pa.string())]))
-    return pa.array(out, kind)
+    return pa.concat_arrays(chunks)
 
 
 def _sized(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -195,7 +198,7 @@ def _dealt(rows: DataFrame, number: DataFrame) -> DataFrame:
         .withColumn("bucket", F.expr("pmod(tie, buckets)")).drop("name", "source", "buckets")
 
 
-def plan_mix(docs: DataFrame, block: int = 64, shards: int = 256, bucket_rows: int = 10_000, seed: int = 11,
+def plan_mix(docs: DataFrame, block: int = 64, shards: int = 256, bucket_rows: int = 2000, seed: int = 11,
              budget: float = 1.5, max_passes: float = 2.0) -> Mix:
     """Pack ``docs`` (doc_id, source, text, further columns) and draw the mix.
     ``shards``: output shards; ``bucket_rows``: mean rows packed together."""
