@@ -13,17 +13,11 @@ def _c(c: Column | str) -> Column:
 def to_int(c: Column | str) -> Column:
     """Integer cast that rounds half to even (3.7 -> 4, 2.5 -> 2), as the SQL
     engine does; Spark's own cast truncates.  Text is read as a number first,
-    so ``'3.7'`` gives 4, and unparsable text gives NULL."""
-    col = _c(c)
-    return F.bround(col.try_cast("double"), 0).cast("int")
+    so ``'3.7'`` gives 4; unparsable text is an error."""
+    return F.bround(_c(c).cast("double"), 0).cast("int")
 
 
 def day_diff(start: Column | str, end: Column | str) -> Column:
     """Calendar days from ``start`` to ``end``: midnights crossed, so
     23:00 -> 01:00 next day is 1 (not ``timestampdiff(DAY)``, which gives 0)."""
     return F.datediff(F.to_date(_c(end)), F.to_date(_c(start)))
-
-
-def shift_days(c: Column | str, days: int) -> Column:
-    """``c + days`` for dates and timestamps (negative to go back)."""
-    return _c(c) + F.expr(f"INTERVAL {int(days)} DAYS")

@@ -7,11 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators.joins import bounded_broadcast
-
-# Largest calendar that is built from one bounds row: 1,000 years of days.
-MAX_DAYS = 366_000
-
 
 def date_parts(d: Column | str) -> list[Column]:
     """Calendar attributes of a date column (ISO week and ISO weekday)."""
@@ -36,8 +31,7 @@ def date_dimension_from(bounds: DataFrame, start: str = "start", end: str = "end
     """One row per day in ``[start, end)`` (end exclusive) for a one-row
     ``bounds`` frame, with :func:`date_parts` and a holiday flag.
 
-    The holiday table is joined as a broadcast only within a row bound; its
-    keys must be distinct (a duplicate date would fan out a day).
+    Holidays are made distinct (a duplicate date would fan out a day).
     """
     days = bounds.select(
         F.explode(F.sequence(F.to_date(F.col(start)), F.date_sub(F.to_date(F.col(end)), 1))).alias("date_id")
@@ -45,7 +39,6 @@ def date_dimension_from(bounds: DataFrame, start: str = "start", end: str = "end
     out = days.select("date_id", *date_parts("date_id"))
     if holidays is not None:
         h = holidays.select(F.col(holiday_col).cast("date").alias("__h")).distinct()
-        h = bounded_broadcast(h, MAX_DAYS)
         out = (out.join(h, F.col("date_id") == F.col("__h"), "left")
                   .withColumn(flag, F.col("__h").isNotNull()).drop("__h"))
     return out
@@ -56,7 +49,5 @@ def date_dimension(spark: SparkSession, start: str | dt.date, end: str | dt.date
     """Calendar between two fixed dates, ``end`` exclusive."""
     s = dt.date.fromisoformat(str(start))
     e = dt.date.fromisoformat(str(end))
-    if (e - s).days > MAX_DAYS:
-        raise ValueError("calendar longer than MAX_DAYS")
     bounds = spark.range(1).select(F.lit(s).alias("start"), F.lit(e).alias("end"))
     return date_dimension_from(bounds, holidays=holidays, **kw)

@@ -1,47 +1,44 @@
-"""Join helpers with an explicit size bound on anything that is broadcast."""
+"""Join helpers: lookups proven small and unique, and joins on hot keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is only broadcast when it is proven to hold at most this many rows.
+# A lookup is broadcast when it is proven to hold at most this many rows and
+# characters.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_CHARS = 64 << 20
 
 
-def mark_validated(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+def mark_validated(df: DataFrame, keys: list[str], rows: int, chars: int = 0) -> DataFrame:
     """Record on the DataFrame object that ``keys`` were proven unique over
-    ``rows`` rows (seeds validated at load time), so later lookups skip the
-    check job.  The mark does not survive transformations."""
-    df._stratum_validated = (tuple(keys), int(rows))
+    ``rows`` rows of ``chars`` characters in all (seeds validated at load
+    time), so later lookups skip the check job.  The mark does not survive
+    transformations."""
+    df._stratum_validated = (tuple(keys), int(rows), int(chars))
     return df
 
 
-def validated_rows(df: DataFrame, keys: list[str]) -> int | None:
+def validated_size(df: DataFrame, keys: list[str]) -> tuple[int, int] | None:
     mark = getattr(df, "_stratum_validated", None)
     if mark and tuple(keys) == mark[0]:
-        return mark[1]
+        return mark[1:]
     return None
 
 
-def key_stats(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """(rows, largest multiplicity of one key) in one small aggregate job."""
-    row = (df.groupBy(*keys).count()
-             .agg(F.sum("count").alias("n"), F.max("count").alias("dup"))
+def key_stats(df: DataFrame, keys: list[str]) -> tuple[int, int, int]:
+    """(rows, largest multiplicity of one key, characters of all cells) in one
+    small aggregate job."""
+    chars = sum((F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+    row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"), F.sum(chars).alias("chars"))
+             .agg(F.sum("count").alias("n"), F.max("count").alias("dup"), F.sum("chars").alias("chars"))
              .first())
-    return int(row["n"] or 0), int(row["dup"] or 0)
+    return int(row["n"] or 0), int(row["dup"] or 0), int(row["chars"] or 0)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      rows: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    ``rows`` may pass a count that is already known (a seed's size).  Beyond
-    the bound the frame is returned unchanged and the planner shuffles both
-    sides; AQE can still switch to a broadcast from measured runtime sizes.
-    """
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= max_rows else df
+def small(rows: int, chars: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    return rows <= max_rows and chars <= DEFAULT_BROADCAST_CHARS
 
 
 def checked_lookup(lookup: DataFrame, key: str | list[str],
@@ -49,21 +46,23 @@ def checked_lookup(lookup: DataFrame, key: str | list[str],
     """Validate a lookup table before it is joined.
 
     Keys must be unique, otherwise a left join would fan rows out.  The
-    table is broadcast when it is within ``max_rows``.
+    table is broadcast when it is proven small; else the planner decides.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    n, dup = key_stats(lookup, keys)
+    n, dup, chars = key_stats(lookup, keys)
     if dup > 1:
         raise ValueError(f"lookup key {keys} is not unique ({dup} rows share one key)")
-    return F.broadcast(lookup) if n <= max_rows else lookup
-
-
-def left_join_on(df: DataFrame, other: DataFrame, on: str | list[str],
-                 cols: dict[str, str] | None = None) -> DataFrame:
-    """LEFT JOIN keeping every row of ``df`` and adding ``cols``
-    (``{output_name: column_in_other}``; default: all non-key columns)."""
-    keys = [on] if isinstance(on, str) else list(on)
-    if cols is None:
-        cols = {c: c for c in other.columns if c not in keys}
-    right = other.select(*keys, *[F.col(src).alias(dst) for dst, src in cols.items()])
-    return df.join(right, keys, "left")
+    return F.broadcast(lookup) if small(n, chars, max_rows) else lookup
+
+
+def salted_left_join(df: DataFrame, other: DataFrame, key: str, spread_by: str, salts: int = 16) -> DataFrame:
+    """LEFT JOIN on a key of which a few values hold much of ``df``.
+
+    ``other`` has one row per key and is an aggregate or small table, of which
+    each row is repeated ``salts`` times; ``df`` gets a salt from the column
+    ``spread_by``, so a hot key's rows are shared out over ``salts`` tasks
+    (the engine cannot split a join whose other side is an aggregate).
+    """
+    left = df.withColumn("__salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
+    right = other.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+    return left.join(right, [key, "__salt"], "left").drop("__salt")

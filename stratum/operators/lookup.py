@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.text import normalize_name
-from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, checked_lookup, validated_rows
+from stratum.operators.joins import DEFAULT_BROADCAST_ROWS, checked_lookup, small, validated_size
 
 
 def lookup_override(df: DataFrame, target: str, lookup: DataFrame, key: str, value: str,
@@ -24,9 +24,9 @@ def lookup_override(df: DataFrame, target: str, lookup: DataFrame, key: str, val
     match = match or target
     out = out or target
     lk = lookup.select(F.col(key).alias("__lk_key"), F.col(value).alias("__lk_val"))
-    known = validated_rows(lookup, [key])
+    known = validated_size(lookup, [key])
     if known is not None:
-        lk = F.broadcast(lk) if known <= max_broadcast_rows else lk
+        lk = F.broadcast(lk) if small(*known, max_broadcast_rows) else lk
     elif checked:
         lk = checked_lookup(lk, "__lk_key", max_broadcast_rows)
     joined = df.join(lk, F.col(match) == F.col("__lk_key"), "left")

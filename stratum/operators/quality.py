@@ -203,9 +203,9 @@ class Relationships:
 
     def rows(self, df: DataFrame) -> DataFrame:
         to = self.to_column or self.column
-        # distinct parent keys: a partial aggregate shrinks the parent side
-        # before the shuffle of the anti join.
-        p = self.parent.select(F.col(to).alias("__parent_key")).distinct()
+        # an anti join ignores repeated parent keys, and without an aggregate
+        # on either side a hot key's partition can be split
+        p = self.parent.select(F.col(to).alias("__parent_key"))
         child = df.select(F.col(self.column).alias("from_field")).filter(F.col("from_field").isNotNull())
         return child.join(p, F.col("from_field") == F.col("__parent_key"), "left_anti")
 
@@ -252,7 +252,7 @@ def gate(report: DataFrame, what: str = "quality checks") -> None:
     """Raise when a report has an ``error`` status (warnings never block)."""
     bad = report.filter(F.col("status") == "error").select("table_name", "check_name", "violations").collect()
     if bad:
-        lines = ", ".join(f"{r.table_name}.{r.check_name}={r.violations}" for r in bad[:20])
+        lines = ", ".join(f"{r.table_name}.{r.check_name}={r.violations}" for r in bad)
         raise QualityError(f"{what} failed: {lines}")
 
 

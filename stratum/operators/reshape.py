@@ -14,49 +14,25 @@ def _c(c: Column | str) -> Column:
 
 def pivot_sum(column: Column | str, values: Iterable, then: Column | str, *, suffix: str = "",
               prefix: str = "", else_value=0, where: Column | None = None,
-              agg: str = "sum", exact_scale: int | None = None) -> list[Column]:
+              agg: str = "sum") -> list[Column]:
     """One aggregate column per value: ``sum(CASE WHEN column = v THEN then ELSE 0 END)``.
 
     Unlike ``GroupedData.pivot`` a group that has rows but none of value ``v``
     gets ``else_value`` (0), not NULL.  ``where`` restricts the rows that
     take part (a fused ``WHERE``): a group with no qualifying row gets NULL
-    in every column.  ``exact_scale`` sums integer units (see :func:`exact_sum`)
-    so the result does not depend on row order.  Output names are
-    ``prefix + v + suffix``.
+    in every column.  Values are summed as they are, with all their digits.
+    Output names are ``prefix + v + suffix``.
     """
     col, val = _c(column), _c(then)
-    unit = None
-    if exact_scale is not None:
-        unit = 10 ** exact_scale
-        val = F.round(val * F.lit(unit)).cast("long")
-    zero = F.lit(else_value) if unit is None else F.lit(int(else_value) * unit).cast("long")
     out = []
     for v in values:
-        e = F.when(col == F.lit(v), val).otherwise(zero)
+        e = F.when(col == F.lit(v), val).otherwise(F.lit(else_value))
         if where is not None:
             e = F.when(where, e)
-        a = getattr(F, agg)(e)
-        if unit is not None:
-            a = a / F.lit(float(unit))
-        out.append(a.alias(f"{prefix}{v}{suffix}"))
+        out.append(getattr(F, agg)(e).alias(f"{prefix}{v}{suffix}"))
     return out
 
 
-def exact_sum(c: Column | str, scale: int = 2, where: Column | None = None) -> Column:
-    """Order-independent sum of a measure with ``scale`` decimals.
-
-    Values are summed as integer units (cents for ``scale=2``): integer
-    addition is exact and associative, so the result does not depend on how
-    rows are split over tasks, and the long buffer keeps the aggregate in the
-    fast hash path.  Returns a double.
-    """
-    unit = 10 ** scale
-    v = F.round(_c(c) * F.lit(unit)).cast("long")
-    if where is not None:
-        v = F.when(where, v)
-    return F.sum(v) / F.lit(float(unit))
-
-
 def unpivot_groups(df: DataFrame, ids: list[str], groups: Mapping[object, Mapping[str, str]],
                    label: str = "year", labels: Iterable | None = None) -> DataFrame:
     """Wide to long where several columns move together per label.

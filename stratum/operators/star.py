@@ -7,26 +7,17 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.operators.reshape import exact_sum
-
 
 def centroid(df: DataFrame, key: str | list[str], means: Mapping[str, str],
-             picks: Mapping[str, str] | None = None, *, exact_scale: int | None = None,
-             count_as: str | None = None) -> DataFrame:
+             picks: Mapping[str, str] | None = None, *, count_as: str | None = None) -> DataFrame:
     """Per-key averages (``{out: col}``) plus ``max`` picks (``{out: col}``).
 
-    Outliers are kept; ``max`` of a text column is a lexicographic pick.
-    ``exact_scale`` averages through a decimal sum (sum / count), which does
-    not depend on row order; otherwise ``avg`` on doubles.  One aggregate,
-    partially evaluated before the shuffle, so a hot key is no problem.
+    Outliers and digits are kept; ``max`` of a text column is a lexicographic
+    pick.  One aggregate, partially evaluated before the shuffle, so a hot key
+    is no problem.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    aggs: list[Column] = []
-    for out, col in means.items():
-        if exact_scale is None:
-            aggs.append(F.avg(F.col(col)).alias(out))
-        else:
-            aggs.append((exact_sum(col, exact_scale) / F.count(F.col(col))).alias(out))
+    aggs: list[Column] = [F.avg(F.col(col)).alias(out) for out, col in means.items()]
     for out, col in (picks or {}).items():
         aggs.append(F.max(F.col(col)).alias(out))
     if count_as:
@@ -44,10 +35,3 @@ def rekey(df: DataFrame, mapping: DataFrame, old_key: str, new_key: str,
     j = df.join(m, F.col(old_key) == F.col("__old"), "inner").drop("__old")
     cols = [new_key if c == old_key else c for c in df.columns]
     return j.select(*cols)
-
-
-def existence_flag(df: DataFrame, other: DataFrame, on_left: str, on_right: str, flag: str) -> DataFrame:
-    """LEFT JOIN ``other`` (distinct keys) and flag whether a match exists."""
-    k = other.select(F.col(on_right).alias("__k")).distinct()
-    return (df.join(k, F.col(on_left) == F.col("__k"), "left")
-              .withColumn(flag, F.col("__k").isNotNull()).drop("__k"))

@@ -5,8 +5,8 @@ Semantics of an incremental model with a unique key:
 * the new batch is the model's full result filtered to
   ``ts >= max(ts in target) - lookback`` (a NULL ``ts`` never passes, so
   such rows only arrive with a full refresh);
-* target rows whose key appears in the batch are deleted, then every batch
-  row is inserted (anti join + union);
+* target rows whose key appears in the batch are deleted, wherever they
+  are, then every batch row is inserted (anti join + union);
 * a full refresh rebuilds the table from the model's full result.
 
 Deviation: an existing but *empty* target is treated as a first load (the
@@ -21,7 +21,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.session import delete_path, hadoop_fs, path_exists
+from stratum.session import delete_path, path_exists
 
 
 def clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
@@ -37,16 +37,40 @@ def high_water_mark(target: DataFrame, ts_col: str):
     return target.agg(F.max(ts_col).alias("m")).first()["m"]
 
 
+def mark_path(path: str) -> str:
+    return path.rstrip("/") + "__mark"
+
+
+def committed_mark(spark: SparkSession, path: str, ts_col: str):
+    """The high-water mark of the last *finished* write of the table.
+
+    It lies beside the table and is written after everything else, so a run
+    that dies while partitions are being replaced leaves the old mark: the
+    next run takes the same window again and repairs the table.  A table
+    without a mark is scanned for its maximum.
+    """
+    if path_exists(spark, mark_path(path)):
+        return spark.read.parquet(mark_path(path)).first()["m"]
+    return high_water_mark(spark.read.parquet(path), ts_col)
+
+
+def _commit_mark(spark: SparkSession, path: str, ts_col: str | None) -> None:
+    if ts_col:
+        spark.read.parquet(path).agg(F.max(ts_col).alias("m")).coalesce(1) \
+             .write.mode("overwrite").parquet(mark_path(path))
+
+
 def lookback_filter(batch: DataFrame, target: DataFrame | None, ts_col: str,
-                    lookback_days: int = 3) -> DataFrame:
+                    lookback_days: int = 3, mark=None) -> DataFrame:
     """Keep batch rows with ``ts_col >= max(target.ts_col) - lookback_days``.
 
-    The bound becomes a literal, so it reaches the scan as a pushed filter.
-    Without a target, or with an empty one, the whole batch is kept.
+    ``mark`` gives the maximum where it is known.  The bound becomes a
+    literal, so it reaches the scan as a pushed filter.  Without a target, or
+    with an empty one, the whole batch is kept.
     """
-    if target is None:
+    if target is None and mark is None:
         return batch
-    hw = high_water_mark(target, ts_col)
+    hw = high_water_mark(target, ts_col) if mark is None else mark
     if hw is None:
         return batch
     bound = hw - dt.timedelta(days=lookback_days)
@@ -74,8 +98,7 @@ def merge_keyed(target: DataFrame, batch: DataFrame, key: str | list[str]) -> Da
 def _partition_filter(parts: list, partition_by: list[str], types: dict | None = None) -> Column:
     """Predicate selecting the given partitions, flat enough for thousands of
     values: ``isin`` for one partition column, a balanced OR tree otherwise.
-    Values may be typed or folder text; with ``types`` they are cast to the
-    column's type."""
+    With ``types`` the values are cast to the column's type."""
     def lit(p, v):
         c = F.lit(v)
         return c.cast(types[p]) if types and p in types else c
@@ -100,23 +123,29 @@ def _partition_filter(parts: list, partition_by: list[str], types: dict | None =
     return terms[0] if terms else F.lit(False)
 
 
+def _partitions(df: DataFrame, parts: list[str]) -> set[tuple]:
+    """Distinct partition values: the table is partitioned by days or months,
+    so these are as few as its folders."""
+    return {tuple(r) for r in df.select(*parts).distinct().collect()}
+
+
 def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | list[str], *,
                  ts_col: str | None = None, lookback_days: int = 3,
-                 partition_by: list[str] | None = None, stable_partition: bool = False,
-                 full_refresh: bool = False, staging_root: str | None = None) -> dict:
+                 partition_by: list[str] | None = None, full_refresh: bool = False,
+                 staging_root: str | None = None, filtered: bool = False) -> dict:
     """Apply ``batch`` to the parquet table at ``path``.
 
     * first load or ``full_refresh``: overwrite with the (whole) batch;
-    * otherwise filter the batch by the lookback window and rewrite only the
-      partitions it touches: its own, plus those holding older versions of
-      its keys (found by a key-only semi join over the table).  With
-      ``stable_partition=True`` a key never changes partition (the partition
-      derives from an immutable attribute) and that scan is skipped.
-
-    The batch is written once to a staging folder next to the table (so the
-    model is computed once, and lineage is cut), the merge is staged too (a
-    path cannot be overwritten while it is read), then swapped in with a
-    dynamic partition overwrite; partitions that became empty are removed.
+    * otherwise filter the batch by the lookback window (unless ``filtered``
+      says that it is) and rewrite only the partitions it touches: its own,
+      plus those holding older versions of its keys (a key-only semi join).
+
+    The batch is written once to a staging folder next to the table (the
+    model is computed once, and lineage is cut).  A partitioned table is then
+    merged in one write: a dynamic partition overwrite reads the old
+    partitions, stages its files and replaces the folders when all tasks are
+    done.  An unpartitioned one is staged and swapped (its path cannot be
+    overwritten while it is read).  The high-water mark is committed last.
     Returns a small summary.
     """
     keys = [key] if isinstance(key, str) else list(key)
@@ -126,110 +155,63 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | li
         if parts:
             w = w.partitionBy(*parts)
         w.parquet(path)
+        _commit_mark(spark, path, ts_col)
         return {"mode": "full", "partitions": None}
 
     target = spark.read.parquet(path)
-    if ts_col:
-        batch = lookback_filter(batch, target, ts_col, lookback_days)
+    if ts_col and not filtered:
+        batch = lookback_filter(batch, target, ts_col, lookback_days, committed_mark(spark, path, ts_col))
     staging = (staging_root or path.rstrip("/") + "__staging") + f"/{uuid.uuid4().hex}"
+    schema = batch.schema
+    clustered(batch, parts).write.mode("overwrite").parquet(f"{staging}/batch")
+    batch = spark.read.schema(schema).parquet(f"{staging}/batch")
+    if not batch.take(1):  # nothing new inside the window: leave the table alone
+        delete_path(spark, staging)
+        return {"mode": "incremental", "partitions": []}
 
     if not parts:
-        batch.write.mode("overwrite").parquet(f"{staging}/batch")
-        batch = spark.read.parquet(f"{staging}/batch")
-        if not batch.take(1):  # nothing new inside the window: leave the table alone
-            delete_path(spark, staging)
-            return {"mode": "incremental", "partitions": []}
         merge_keyed(target, batch, keys).write.mode("overwrite").parquet(f"{staging}/merged")
         spark.read.parquet(f"{staging}/merged").write.mode("overwrite") \
              .option("partitionOverwriteMode", "static").parquet(path)
-        delete_path(spark, staging)
-        return {"mode": "incremental", "partitions": None}
-
-    # The batch is staged partitioned like the table: its partitions are then
-    # read from the folder names (no job), and an empty batch has none.
-    schema = batch.schema
-    clustered(batch, parts).write.mode("overwrite").partitionBy(*parts).parquet(f"{staging}/batch")
-    touched = _list_partitions(spark, f"{staging}/batch", parts)
-    if not touched:  # nothing new inside the window: leave the table alone
-        delete_path(spark, staging)
-        return {"mode": "incremental", "partitions": []}
-    batch = spark.read.schema(schema).parquet(f"{staging}/batch")
-    if not stable_partition:
-        # older versions of the batch keys may sit in other partitions; the
-        # partition values are few (one per day or month), so they come to
-        # the driver
-        moved = target.select(*keys, *parts).join(batch.select(*keys), keys, "left_semi").select(*parts)
-        for r in moved.distinct().collect():
-            vals = {p: None if r[p] is None else _text(r[p]) for p in parts}
-            touched.setdefault(_sub(spark, parts, vals), vals)
-    types = dict((f.name, f.dataType) for f in target.schema.fields)
-    old = target.filter(_partition_filter(list(touched.values()), parts, types))
-    clustered(merge_keyed(old, batch, keys), parts).write.mode("overwrite").partitionBy(*parts) \
-        .parquet(f"{staging}/merged")
-    staged = spark.read.schema(schema).parquet(f"{staging}/merged")
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*parts).parquet(path))
-    # a touched partition that ended up empty is not replaced by the
-    # dynamic overwrite: remove it explicitly (the staged folders say which
-    # partitions the merge produced; no job needed).
-    for sub in touched:
-        if not path_exists(spark, f"{staging}/merged/{sub}"):
-            delete_path(spark, f"{path.rstrip('/')}/{sub}")
+        touched = None
+    else:
+        own = _partitions(batch, parts)
+        held = _partitions(target.join(batch.select(*keys), keys, "left_semi"), parts)
+        touched = sorted(own | held, key=str)
+        as_rows = [dict(zip(parts, t)) for t in touched]
+        types = {f.name: f.dataType for f in target.schema.fields}
+        old = target.filter(_partition_filter(as_rows, parts, types))
+        # partitions whose rows all go elsewhere: the overwrite does not touch
+        # them, so they are emptied by hand, after the rows are safe
+        left = held - own
+        if left:
+            gone = [dict(zip(parts, t)) for t in left]
+            rest = target.filter(_partition_filter(gone, parts, types)).join(batch.select(*keys), keys, "left_anti")
+            left = left - _partitions(rest, parts)
+        clustered(merge_keyed(old, batch, keys), parts).select(*target.columns) \
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+        for t in left:
+            delete_path(spark, f"{path.rstrip('/')}/" + "/".join(
+                f"{_escape(p)}={_part_value(v)}" for p, v in zip(parts, t)))
     delete_path(spark, staging)
-    return {"mode": "incremental", "partitions": sorted(tuple(v[p] for p in parts) for v in touched.values())}
+    _commit_mark(spark, path, ts_col)
+    return {"mode": "incremental",
+            "partitions": touched if touched is None else [tuple(map(_text, t)) for t in touched]}
 
 
-def _text(v) -> str:
+def _text(v) -> str | None:
     if isinstance(v, bool):
         return "true" if v else "false"
-    return str(v)
-
-
-def _sub(spark: SparkSession, parts: list[str], vals: dict) -> str:
-    return "/".join(f"{_escape(spark, p)}={_part_value(spark, vals[p])}" for p in parts)
-
-
-def _list_partitions(spark: SparkSession, folder: str, parts: list[str]) -> dict[str, dict]:
-    """Partition folders written under ``folder``: ``{sub_path: {col: text value or None}}``."""
-    fs, base = hadoop_fs(spark, folder)
-    pattern = base.toString() + "".join(f"/{_escape(spark, p)}=*" for p in parts)
-    jvm = spark.sparkContext._jvm
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)) or []
-    out = {}
-    for st in found:
-        if not st.isDirectory():
-            continue
-        comps = st.getPath().toString().rstrip("/").split("/")[-len(parts):]
-        vals = {}
-        for p, comp in zip(parts, comps):
-            raw = comp.split("=", 1)[1]
-            vals[p] = None if raw == "__HIVE_DEFAULT_PARTITION__" else _unescape(spark, raw)
-        out["/".join(comps)] = vals
-    return out
-
-
-def _escape(spark: SparkSession, text: str) -> str:
-    """Escape a partition name or value the way Spark names folders."""
-    try:
-        jvm = spark.sparkContext._jvm
-        return jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(text)
-    except Exception:  # noqa: BLE001 - no JVM view (e.g. Connect): same rule in Python
-        specials = set('"#%\'*/:=?\\\x7f{[]^')
-        return "".join(f"%{ord(c):02X}" if c in specials or ord(c) < 0x20 else c for c in text)
-
-
-def _unescape(spark: SparkSession, text: str) -> str:
-    try:
-        jvm = spark.sparkContext._jvm
-        return jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(text)
-    except Exception:  # noqa: BLE001
-        import urllib.parse
-        return urllib.parse.unquote(text)
-
-
-def _part_value(spark: SparkSession, v) -> str:
-    if v is None:
-        return "__HIVE_DEFAULT_PARTITION__"
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    return _escape(spark, str(v))
+    return None if v is None else str(v)
+
+
+# Characters that are escaped in partition folder names.
+_SPECIAL = set('"#%\'*/:=?\\\x7f{[]^')
+
+
+def _escape(text: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c in _SPECIAL or ord(c) < 0x20 else c for c in text)
+
+
+def _part_value(v) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if v is None else _escape(_text(v))

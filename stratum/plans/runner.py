@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators.freshness import freshness_report
 from stratum.operators.quality import QualityError, evaluate
-from stratum.operators.upsert import high_water_mark, upsert_table
+from stratum.operators.upsert import committed_mark, upsert_table
 from stratum.session import apply_defaults, path_exists
 from stratum.sources.config import LAYERS, PipelineConfig
 from stratum.sources.ingest import load_csvs, read_source
@@ -143,20 +143,20 @@ def _build_incremental(ctx: BuildContext, m: Model, full_refresh: bool) -> dict:
     exists = path_exists(ctx.spark, path)
     if full_refresh or not exists:
         df = _with_layout(m, m.fn(ctx))
-        info = upsert_table(ctx.spark, df, path, m.unique_key, full_refresh=True, partition_by=m.partition_by)
+        info = upsert_table(ctx.spark, df, path, m.unique_key, full_refresh=True, ts_col=m.lookback_col,
+                            partition_by=m.partition_by)
         return {**info, "since": None}
-    target = ctx.spark.read.parquet(path)
-    hw = high_water_mark(target, m.lookback_col)
+    hw = committed_mark(ctx.spark, path, m.lookback_col)
     if hw is None:  # empty target: first load (documented deviation)
         df = _with_layout(m, m.fn(ctx))
-        return {**upsert_table(ctx.spark, df, path, m.unique_key, full_refresh=True,
+        return {**upsert_table(ctx.spark, df, path, m.unique_key, full_refresh=True, ts_col=m.lookback_col,
                                partition_by=m.partition_by), "since": None}
     since = hw - dt.timedelta(days=m.lookback_days)
     since_lit = F.lit(since.isoformat(sep=" ") if isinstance(since, dt.datetime) else since.isoformat())
     since_col = since_lit.cast("timestamp_ntz") if isinstance(since, dt.datetime) else since_lit.cast("date")
     batch = _with_layout(m, m.fn(ctx, since=since_col))
-    info = upsert_table(ctx.spark, batch, path, m.unique_key, partition_by=m.partition_by,
-                        stable_partition=m.stable_partition)
+    info = upsert_table(ctx.spark, batch, path, m.unique_key, ts_col=m.lookback_col, partition_by=m.partition_by,
+                        filtered=True)
     return {**info, "since": str(since)}
 
 
@@ -221,7 +221,7 @@ def _publish(spark, cfg, res: RunResult, layer: str, rep: DataFrame | None, gate
     if gate:
         bad = rep.filter(F.col("status") == "error").collect()
         if bad:
-            lines = ", ".join(f"{r.table_name}.{r.check_name}={r.violations}" for r in bad[:20])
+            lines = ", ".join(f"{r.table_name}.{r.check_name}={r.violations}" for r in bad)
             raise QualityError(f"layer {layer} failed checks: {lines}")
 
 

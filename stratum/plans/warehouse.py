@@ -18,13 +18,13 @@ from stratum.functions.casts import day_diff, to_int
 from stratum.functions.keys import surrogate_key
 from stratum.functions.text import clean_lower, clean_upper, normalize_name, trim_spaces
 from stratum.operators.calendar import date_dimension
-from stratum.operators.joins import bounded_broadcast
+from stratum.operators.joins import salted_left_join
 from stratum.operators.latest import latest_per_key
 from stratum.operators.lookup import correct_names
 from stratum.operators.quality import (AcceptedRange, AcceptedValues, MeanConsistency, NotNull,
                                        RatioConsistency, Relationships, RowRule, SumConsistency,
                                        Tolerance, Unique)
-from stratum.operators.reshape import exact_sum, pivot_sum, unpivot_groups
+from stratum.operators.reshape import pivot_sum, unpivot_groups
 from stratum.operators.star import centroid
 from stratum.sources.ingest import mirror
 from stratum.sources.specs import ALL_SOURCES, HDI_YEARS
@@ -42,7 +42,6 @@ class Model:
     checks: Callable | None = None      # ctx -> list of checks on this model
     tags: tuple = ()
     partition_by: list[str] = field(default_factory=list)
-    stable_partition: bool = False      # a key never changes partition
     # layout-only columns added at write time (and dropped on read), e.g. the
     # month of the date key; they are not part of the model's output
     partition_cols: dict = field(default_factory=dict)
@@ -212,8 +211,6 @@ def _cascade(ctx, df, name_col, zip_col, out="city"):
 
 def int_customers(ctx):
     c = ctx.ref("slv_stg_market__customers")
-    c = _cascade(ctx, c, "city", "zip_code_prefix", out="city").select(
-        "customer_basket_id", "customer_id", "zip_code_prefix", "city", "state_id")
     o = ctx.ref("slv_stg_market__orders").select("customer_basket_id", "purchase_timestamp")
     joined = c.join(o, "customer_basket_id", "inner")
     # newest record per customer (NULL timestamps last), total joined records;
@@ -221,15 +218,16 @@ def int_customers(ctx):
     latest = latest_per_key(joined, ["customer_id"], ["purchase_timestamp", "customer_basket_id"],
                             payload=["zip_code_prefix", "city", "state_id"],
                             count_as="total_orders", count_of="customer_basket_id")
-    return latest.select("customer_id", "zip_code_prefix", "city", "state_id", "total_orders")
+    # names are corrected after the pick: once per customer, not per record
+    return _cascade(ctx, latest, "city", "zip_code_prefix", out="city").select(
+        "customer_id", "zip_code_prefix", "city", "state_id", "total_orders")
 
 
 def int_geolocation(ctx):
     g = ctx.ref("slv_stg_market__geolocation")
     g = _cascade(ctx, g, "city", "zip_code_prefix", out="city_final")
-    # averages through exact micro-degree sums: independent of task order
     return centroid(g, "zip_code_prefix", {"latitude_mean": "latitude", "longitude_mean": "longitude"},
-                    {"city": "city_final", "state_id": "state_id"}, exact_scale=6)
+                    {"city": "city_final", "state_id": "state_id"})
 
 
 def int_order_items(ctx):
@@ -285,7 +283,7 @@ def dim_customers(ctx):
     c = ctx.ref("slv_int_market__customers")
     g = ctx.ref("slv_int_market__geolocation").select("zip_code_prefix", F.col("latitude_mean").alias("latitude"),
                                                       F.col("longitude_mean").alias("longitude"))
-    return c.join(g, "zip_code_prefix", "left").select(
+    return salted_left_join(c, g, "zip_code_prefix", spread_by="customer_id").select(
         "customer_id", "zip_code_prefix", "city", "state_id", "latitude", "longitude", "total_orders")
 
 
@@ -293,20 +291,20 @@ def dim_sellers(ctx):
     s = ctx.ref("slv_int_market__sellers")
     g = ctx.ref("slv_int_market__geolocation").select("zip_code_prefix", F.col("latitude_mean").alias("latitude"),
                                                       F.col("longitude_mean").alias("longitude"))
-    return s.join(g, "zip_code_prefix", "left").select(
+    return salted_left_join(s, g, "zip_code_prefix", spread_by="seller_id").select(
         "seller_id", "zip_code_prefix", "city", "state_id", "latitude", "longitude")
 
 
 def dim_products(ctx):
     p = ctx.ref("slv_stg_market__products")
     pc = ctx.ref("slv_int_market__product_category")
-    pc = bounded_broadcast(pc, 1_000_000)
     j = p.join(pc, p["local_category_name"] == pc["local_name"], "left")
     return j.select("product_id", F.col("english_name").alias("category_name"), "business_area", "name_lenght",
                     "description_lenght", "photos_qty", "weight_g", "length_cm", "height_cm", "width_cm")
 
 
-DATE_START, DATE_END = "2016-09-01", "2020-05-01"
+# The days the date dimension covers (end exclusive).
+DATE_START, DATE_END ="2016-09-01", "2020-05-01"
 
 
 def dim_date(ctx):
@@ -333,6 +331,7 @@ def dim_socio_economics(ctx):
                     F.col("public_beds").alias("public_icu_beds"), F.col("private_beds").alias("private_icu_beds"))
 
 
+# The payment types that get a column of their own.
 PAYMENT_TYPES = ["credit_card", "boleto", "voucher", "debit_card"]
 
 
@@ -349,9 +348,9 @@ def fct_orders(ctx, since=None):
         pay = pay.join(ids, "order_id", "left_semi")
         rev = rev.join(ids, "order_id", "left_semi")
     pa = (pay.filter(F.col("type") != "not_defined").groupBy("order_id")
-             .agg(exact_sum("value").alias("total_payment_value"),
+             .agg(F.sum("value").alias("total_payment_value"),
                   F.max("installments_count").alias("installments_count"),
-                  *pivot_sum("type", PAYMENT_TYPES, "value", suffix="_value", exact_scale=2)))
+                  *pivot_sum("type", PAYMENT_TYPES, "value", suffix="_value")))
     # newest review per order; ties broken by answer time, then review id
     r = latest_per_key(rev.select("order_id", "creation_date", "answer_timestamp", "review_group_id", "score"),
                        ["order_id"], ["creation_date", "answer_timestamp", "review_group_id"], payload=["score"])
@@ -385,6 +384,7 @@ def _rel(ctx, col, parent, to=None, name=None):
     return Relationships(name or f"relationships_{col}_{parent}", col, parent=ctx.ref(parent), to_column=to or col)
 
 
+# The accepted payment types and raw order states.
 PAYMENT_TYPE_VALUES = ["credit_card", "boleto", "voucher", "debit_card", "not_defined"]
 ORDER_STATUS_VALUES = ["delivered", "shipped", "canceled", "unavailable", "invoiced", "processing",
                        "created", "approved"]
@@ -481,7 +481,8 @@ MODELS: list[Model] = [
     Model("slv_stg_market__geolocation", "silver_staging", stg_geolocation, "ephemeral"),
     Model("slv_stg_market__orders", "silver_staging", stg_orders,
           checks=lambda ctx: [_rel(ctx, "customer_basket_id", "slv_stg_market__customers")]),
-    Model("slv_stg_market__products", "silver_staging", stg_products),
+    Model("slv_stg_market__products", "silver_staging", stg_products,
+          checks=lambda ctx: [_rel(ctx, "local_category_name", "slv_stg_market__product_category", "local_name")]),
     Model("slv_stg_market__sellers", "silver_staging", stg_sellers, "ephemeral"),
     Model("slv_stg_market__order_items", "silver_staging", stg_order_items,
           checks=lambda ctx: [_rel(ctx, "order_id", "slv_stg_market__orders"),
@@ -536,9 +537,10 @@ MODELS: list[Model] = [
               _rel(ctx, "state_id", "dim_states")]),
     Model("dim_products", "gold", dim_products, "table", checks=lambda ctx: _nn_unique("product_id")),
     # facts are partitioned by the month of their date key, so an incremental
-    # run rewrites only the months it touches; a purchase date never changes.
+    # run rewrites only the months it touches (old versions of a key's row are
+    # found wherever they are).
     Model("fct_orders", "gold", fct_orders, "incremental", unique_key="order_id", lookback_col="approved_at",
-          checks=_fct_orders_checks, partition_by=["order_month"], stable_partition=True,
+          checks=_fct_orders_checks, partition_by=["order_month"],
           partition_cols={"order_month": lambda: F.date_format("order_date_id", "yyyy-MM")}),
     Model("fct_order_items", "gold", fct_order_items, "incremental", unique_key="order_item_id",
           lookback_col="shipping_date_id", checks=_fct_items_checks, partition_by=["shipping_month"],

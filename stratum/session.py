@@ -69,7 +69,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d.rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (cluster session)")
         d = tempfile.mkdtemp(prefix="stratum-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
@@ -106,9 +106,3 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = hadoop_fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
-
-
-def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
-    fs, ps = hadoop_fs(spark, src)
-    _, pd = hadoop_fs(spark, dst)
-    return bool(fs.rename(ps, pd))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stratum.session import path_exists
 from stratum.sources.config import PipelineConfig
@@ -12,10 +13,18 @@ from stratum.sources.specs import SourceSpec
 
 
 def read_csv(spark: SparkSession, path: str, spec: SourceSpec) -> DataFrame:
-    """Read one CSV with the declared schema (header row, no inference)."""
-    opts = {"header": "true", "mode": "PERMISSIVE", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
-            "multiLine": "true", "escape": '"', **spec.options}
-    return spark.read.schema(spec.schema).options(**opts).csv(path)
+    """Read one CSV with the declared schema (header row, no inference).
+
+    Cells are read as text and cast, so a cell that its type cannot hold
+    fails the load with its value; an empty cell is NULL.  Timestamps may be a
+    date, have a blank or a ``T`` before the time, and fractions of a second.
+    Files are split over tasks; only a source that declares ``multiLine`` (line
+    breaks inside quoted cells) is read whole per file.
+    """
+    text = StructType([StructField(f.name, StringType()) for f in spec.schema.fields])
+    opts = {"header": "true", "mode": "FAILFAST", "escape": '"', **spec.options}
+    raw = spark.read.schema(text).options(**opts).csv(path)
+    return raw.select(*[raw[f"`{f.name}`"].cast(f.dataType).alias(f.name) for f in spec.schema.fields])
 
 
 def load_csvs(spark: SparkSession, cfg: PipelineConfig, raw_dir: str,

@@ -57,7 +57,8 @@ MARKETPLACE = [
     SourceSpec("order_reviews", "order_reviews.csv", _schema(
         ("review_id", S), ("order_id", S), ("review_score", I), ("review_comment_title", S),
         ("review_comment_message", S), ("review_creation_date", TS), ("review_answer_timestamp", TS)),
-        "raw_market", loaded_at="review_creation_date", freshness=DAILY),
+        "raw_market", loaded_at="review_creation_date", freshness=DAILY,
+        options={"multiLine": "true"}),  # comments hold line breaks
     SourceSpec("customers", "customers.csv", _schema(
         ("customer_id", S), ("customer_unique_id", S), ("customer_zip_code_prefix", S),
         ("customer_city", S), ("customer_state", S)), "raw_market"),

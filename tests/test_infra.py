@@ -4,7 +4,6 @@ import os
 
 import pytest
 
-from stratum.operators.partitioning import spread
 from stratum.operators.upsert import _partition_filter
 from stratum.session import _qualify, checkpoint_root, path_exists, scratch_path
 from stratum.sources.seeds import SeedError, seed_frame
@@ -12,13 +11,6 @@ from stratum.sources.seeds import SeedError, seed_frame
 SF = "/root/testdata/sf0.001"
 
 
-def test_spread_only_when_few_splits(spark):
-    small = spark.range(10).coalesce(1)
-    assert spread(small, ["id"]).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
-    assert spread(wide, ["id"]) is wide
-
-
 def test_path_qualification(spark, tmp):
     assert _qualify("file:/x/y") == "file:/x/y" and _qualify("s3a://b/k") == "s3a://b/k"
     assert _qualify("rel/dir") == os.path.abspath("rel/dir")
@@ -43,7 +35,7 @@ def test_partition_filter_flat_and_multi(spark):
 
 def test_seed_frame_checks_key(spark):
     df = seed_frame(spark, [("a", "1"), ("b", "2")], "k string, v string", "k")
-    assert df._stratum_validated == (("k",), 2)
+    assert df._stratum_validated == (("k",), 2, 4)
     with pytest.raises(SeedError):
         seed_frame(spark, [("a", "1"), ("a", "2")], "k string, v string", "k")
     with pytest.raises(SeedError):

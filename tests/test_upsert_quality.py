@@ -122,10 +122,12 @@ def test_stream_feeds_upsert(spark, tmp):
     _rows(spark, [(1, D(2020, 1, 1), "a"), (2, D(2020, 1, 2), "b")]).write.mode("append").parquet(src)
     from pyspark.sql.types import _parse_datatype_string
     st = _parse_datatype_string(schema)
-    q = start_upsert_stream(spark, src, st, out, "id", checkpoint=f"{tmp}/ckpt")
+    q = start_upsert_stream(spark, src, st, out, "id", checkpoint=f"{tmp}/ckpt", order_by=["ts"])
     q.awaitTermination(120)
-    _rows(spark, [(2, D(2020, 1, 3), "B"), (3, D(2020, 1, 4), "c")]).write.mode("append").parquet(src)
-    q = start_upsert_stream(spark, src, st, out, "id", checkpoint=f"{tmp}/ckpt")
+    # a key twice in one micro-batch: the newest row counts
+    _rows(spark, [(2, D(2020, 1, 2), "old"), (2, D(2020, 1, 3), "B"), (3, D(2020, 1, 4), "c")]) \
+        .write.mode("append").parquet(src)
+    q = start_upsert_stream(spark, src, st, out, "id", checkpoint=f"{tmp}/ckpt", order_by=["ts"])
     q.awaitTermination(120)
     assert sorted((r.id, r.v) for r in spark.read.parquet(out).collect()) == [(1, "a"), (2, "B"), (3, "c")]
 
@@ -142,6 +144,32 @@ def test_upsert_removes_emptied_partition_with_odd_names(spark, tmp):
     assert sorted(d for d in os.listdir(path) if not d.startswith(("_", "."))) == ["p=plain"]
 
 
+def test_upsert_leaves_one_row_when_a_key_changes_month(spark, tmp):
+    path = f"{tmp}/moving"
+    upsert_table(spark, _rows(spark, [(1, D(2018, 1, 5), "a"), (2, D(2018, 1, 6), "b")]), path, "id",
+                 partition_by=["month"])
+    upsert_table(spark, _rows(spark, [(1, D(2018, 2, 1), "a2")]), path, "id", partition_by=["month"])
+    assert sorted((r.id, r.month, r.v) for r in spark.read.parquet(path).collect()) == \
+        [(1, "2018-02", "a2"), (2, "2018-01", "b")]
+
+
+def test_a_run_that_dies_before_its_mark_is_made_up_for(spark, tmp, monkeypatch):
+    from stratum.operators import upsert
+    path = f"{tmp}/dying"
+    upsert_table(spark, _rows(spark, [(1, D(2018, 1, 30), "a"), (2, D(2018, 2, 1), "b")]), path, "id", ts_col="ts",
+                 partition_by=["month"])
+    late = _rows(spark, [(1, D(2018, 1, 30), "a2"), (3, D(2018, 3, 20), "c")])
+    with monkeypatch.context() as m:
+        m.setattr(upsert, "_commit_mark", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        # only the newest month gets through before the run dies
+        with pytest.raises(RuntimeError):
+            upsert_table(spark, late.filter("id = 3"), path, "id", ts_col="ts", partition_by=["month"])
+    assert upsert.committed_mark(spark, path, "ts") == D(2018, 2, 1)
+    upsert_table(spark, late, path, "id", ts_col="ts", partition_by=["month"])
+    assert sorted((r.id, r.v) for r in spark.read.parquet(path).collect()) == [(1, "a2"), (2, "b"), (3, "c")]
+    assert upsert.committed_mark(spark, path, "ts") == D(2018, 3, 20)
+
+
 def test_upsert_empty_batch_is_noop(spark, tmp):
     path = f"{tmp}/t"
     upsert_table(spark, _rows(spark, [(1, D(2020, 1, 1), "a")]), path, "id")

@@ -163,6 +163,40 @@ def test_jobs(built):
     assert runner.freshness_job(spark, cfg, dt.datetime(2017, 8, 3)).count() == 2
 
 
+def test_bad_cells_fail_the_load(spark, tmp):
+    from stratum.sources.ingest import read_csv
+    from stratum.sources.specs import ALL_SOURCES
+    head = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+    for k, row in enumerate(["o1,x1,p,s,2018-01-01 10:00:00,1.0,1.0", "o1,1,p,s,2018-01-01 10:00:00,1e,1.0",
+                             "o1,1,p,s,someday,1.0,1.0"]):
+        with open(f"{tmp}/bad{k}.csv", "w") as fh:
+            fh.write(head + row + "\n")
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            read_csv(spark, f"{tmp}/bad{k}.csv", ALL_SOURCES["order_items"]).collect()
+    with open(f"{tmp}/good.csv", "w") as fh:
+        fh.write(head + "".join(f"o1,1,p,s,{t},1.5,\n" for t in (
+            "2018-01-01", "2018-01-01T10:00:00", "2018-01-01 10:00:00.500", "")))
+    got = read_csv(spark, f"{tmp}/good.csv", ALL_SOURCES["order_items"]).collect()
+    assert [r.shipping_limit_date for r in got] == [
+        dt.datetime(2018, 1, 1), dt.datetime(2018, 1, 1, 10), dt.datetime(2018, 1, 1, 10, 0, 0, 500000), None]
+    assert all(r.freight_value is None for r in got)
+
+
+def test_csv_files_are_split(spark, tmp):
+    from stratum.sources.ingest import read_csv
+    from stratum.sources.specs import ALL_SOURCES
+    with open(f"{tmp}/customers.csv", "w") as fh:
+        fh.write("customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n")
+        fh.writelines(f"b{i},c{i},01307,sao paulo,SP\n" for i in range(20_000))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = read_csv(spark, f"{tmp}/customers.csv", ALL_SOURCES["customers"])
+        assert df.rdd.getNumPartitions() > 4 and df.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_missing_csv_is_rejected(spark, tmp):
     cfg = PipelineConfig(source_base=f"{tmp}/src", target_base=f"{tmp}/wh")
     with pytest.raises(FileNotFoundError):
