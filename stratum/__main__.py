@@ -1,7 +1,7 @@
 """Command line: ``spark-submit`` / ``python -m stratum <command>``.
 
     ingest        typed CSV -> parquet for both raw catalogs
-    build         all models (facts incremental), checks gate each layer
+    build         all models (facts incremental), failed checks gate what reads their models
     full-refresh  rebuild the incremental models from scratch
     freshness     source freshness report (never fails the command)
 

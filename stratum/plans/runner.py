@@ -9,9 +9,9 @@
 * ``incremental`` models take the lookback-window batch and are upserted on
   their unique key, or rebuilt with ``full_refresh=True``.
 
-After each layer its checks run (row-level checks of a model in one scan);
-the report is written, then an ``error`` status stops the build before the
-next layer.  Freshness is separate and never blocks.
+A model's checks run after it is built (row-level checks in one scan) and
+their report is written; an ``error`` status blocks the models downstream of
+it.  Freshness is separate and never blocks.
 """
 
 from __future__ import annotations
@@ -41,6 +41,10 @@ from stratum.plans.warehouse import MODEL_INDEX, MODELS, SOURCE_CHECKS, Model
 SHARED_VIEWS = {"slv_int_market__geolocation", "slv_int_ibge__states"}
 
 
+class Blocked(Exception):
+    """A model reads a source or model whose checks failed."""
+
+
 class BuildContext:
     def __init__(self, spark: SparkSession, cfg: PipelineConfig, building: set[str]):
         self.spark = spark
@@ -49,8 +53,12 @@ class BuildContext:
         self.frames: dict[str, DataFrame] = {}
         self.seeds: dict[str, DataFrame] = {}
         self.persisted: list[DataFrame] = []
+        self.failed: set[str] = set()    # sources (``source.x``) and models whose checks failed
+        self.skipped: set[str] = set()   # models that read one of those, directly or not
 
     def source(self, name: str) -> DataFrame:
+        if f"source.{name}" in self.failed:
+            raise Blocked(f"source.{name}")
         return read_source(self.spark, self.cfg, ALL_SOURCES[name])
 
     def seed(self, name: str) -> DataFrame:
@@ -62,6 +70,8 @@ class BuildContext:
         return self.cfg.model_path(m.layer, m.name)
 
     def ref(self, name: str) -> DataFrame:
+        if name in self.failed or name in self.skipped:
+            raise Blocked(name)
         if name in self.frames:
             return self.frames[name]
         m = MODEL_INDEX[name]
@@ -80,6 +90,8 @@ class BuildContext:
 
     def ref_with(self, name: str, **kw) -> DataFrame:
         """A view model built with extra arguments (e.g. pruned unpivot years)."""
+        if name in self.failed or name in self.skipped:
+            raise Blocked(name)
         return MODEL_INDEX[name].fn(self, **kw)
 
     def close(self) -> None:
@@ -92,6 +104,7 @@ class RunResult:
     run_id: str
     built: list[str] = field(default_factory=list)
     reports: list[DataFrame] = field(default_factory=list)
+    skipped: list[str] = field(default_factory=list)   # blocked by a failed check upstream
     incremental: dict = field(default_factory=dict)
     seconds: dict = field(default_factory=dict)
 
@@ -104,16 +117,14 @@ class RunResult:
 
 def selection(select: Iterable[str] | None = None, exclude: Iterable[str] | None = None) -> list[Model]:
     """Models matching names, layers (``bronze``, ``silver`` = both silver
-    layers, ``gold``), tags or a materialisation (``incremental``);
-    ``always_build`` models are always in."""
+    layers, ``gold``), tags or a materialisation (``incremental``)."""
     if select is None:
         chosen = list(MODELS)
     else:
         sel = set(select)
         if "silver" in sel:
             sel |= {"silver_staging", "silver_intermediate"}
-        chosen = [m for m in MODELS if m.name in sel or m.layer in sel or sel & set(m.tags)
-                  or m.materialized in sel or "always_build" in m.tags]
+        chosen = [m for m in MODELS if m.name in sel or m.layer in sel or sel & set(m.tags) or m.materialized in sel]
     ex = set(exclude or [])
     return [m for m in chosen if m.name not in ex and m.layer not in ex]
 
@@ -164,44 +175,71 @@ def run(spark: SparkSession, cfg: PipelineConfig, select: Iterable[str] | None =
         exclude: Iterable[str] | None = None, full_refresh: bool = False, gate: bool = True,
         source_checks: bool = True) -> RunResult:
     """Build the selected models.  ``full_refresh`` rebuilds incremental
-    models from scratch (other models are always rebuilt)."""
+    models from scratch (other models are always rebuilt).
+
+    With ``gate`` a failed check blocks what depends on its model and nothing
+    else: models that read it, directly or over others, are skipped, all other
+    branches are built, and the run then raises :class:`QualityError` with
+    every failed check.
+    """
     apply_defaults(spark)
     models = selection(select, exclude)
     ctx = BuildContext(spark, cfg, {m.name for m in models})
     res = RunResult(run_id=uuid.uuid4().hex[:12])
+    bad: list[str] = []
     try:
         if source_checks and any(m.layer == "bronze" for m in models):
-            rep = _source_report(ctx)
-            _publish(spark, cfg, res, "sources", rep, gate)
+            bad += _publish(spark, cfg, res, "sources", _source_report(ctx), ctx if gate else None)
         for layer in LAYERS:
-            layer_models = [m for m in models if m.layer == layer]
             reports = []
-            for m in layer_models:
+            for m in (m for m in models if m.layer == layer):
                 t0 = time.perf_counter()
-                if m.materialized == "table":
-                    write_table(_with_layout(m, m.fn(ctx)), ctx.path(m), m.partition_by)
-                    ctx.frames[m.name] = _read_model(ctx, m)
-                elif m.materialized == "incremental":
-                    res.incremental[m.name] = _build_incremental(ctx, m, full_refresh)
-                    ctx.frames[m.name] = _read_model(ctx, m)
-                else:
-                    ctx.ref(m.name)
+                try:
+                    _build(ctx, m, res, full_refresh)
+                except Blocked:
+                    ctx.skipped.add(m.name)
+                    res.skipped.append(m.name)
+                    continue
                 res.built.append(m.name)
-                if m.checks is not None:
-                    checks = m.checks(ctx)
-                    if checks:
-                        reports.append(evaluate(ctx.frames[m.name], checks, m.name))
+                rep = _check(ctx, m)
+                if rep is not None and gate:  # decided before anything reads the model
+                    bad += _publish(spark, cfg, res, f"{layer}/{m.name}", rep, ctx)
+                elif rep is not None:
+                    reports.append(rep)
                 res.seconds[m.name] = round(time.perf_counter() - t0, 3)
             if reports:
                 rep = reports[0]
                 for r in reports[1:]:
                     rep = rep.unionByName(r)
-                _publish(spark, cfg, res, layer, rep, gate)
+                _publish(spark, cfg, res, layer, rep, None)
     finally:
         ctx.close()
+    if bad:
+        raise QualityError(f"failed checks: {', '.join(bad)}; not built: {', '.join(res.skipped) or 'none'}")
     return res
 
 
+def _build(ctx: BuildContext, m: Model, res: RunResult, full_refresh: bool) -> None:
+    if m.materialized == "table":
+        write_table(_with_layout(m, m.fn(ctx)), ctx.path(m), m.partition_by)
+        ctx.frames[m.name] = _read_model(ctx, m)
+    elif m.materialized == "incremental":
+        res.incremental[m.name] = _build_incremental(ctx, m, full_refresh)
+        ctx.frames[m.name] = _read_model(ctx, m)
+    else:
+        ctx.ref(m.name)
+
+
+def _check(ctx: BuildContext, m: Model) -> DataFrame | None:
+    """The model's report.  Checks against another model that is blocked
+    cannot be made, as that model's rows are not to be relied on."""
+    try:
+        checks = m.checks(ctx) if m.checks is not None else None
+    except Blocked:
+        return None
+    return evaluate(ctx.frames[m.name], checks, m.name) if checks else None
+
+
 def _source_report(ctx: BuildContext) -> DataFrame | None:
     out = None
     for name, mk in SOURCE_CHECKS.items():
@@ -210,26 +248,31 @@ def _source_report(ctx: BuildContext) -> DataFrame | None:
     return out
 
 
-def _publish(spark, cfg, res: RunResult, layer: str, rep: DataFrame | None, gate: bool) -> None:
-    """Write the layer's report (small), then stop on errors if gating."""
+def _publish(spark, cfg, res: RunResult, part: str, rep: DataFrame | None, gated: BuildContext | None) -> list[str]:
+    """Write a report (small); when gating, note and return what failed."""
     if rep is None:
-        return
-    path = cfg.report_path(f"{res.run_id}/{layer}")
+        return []
+    path = cfg.report_path(f"{res.run_id}/{part}")
     rep.coalesce(1).write.mode("overwrite").parquet(path)
     rep = spark.read.parquet(path)
     res.reports.append(rep)
-    if gate:
-        bad = rep.filter(F.col("status") == "error").collect()
-        if bad:
-            lines = ", ".join(f"{r.table_name}.{r.check_name}={r.violations}" for r in bad)
-            raise QualityError(f"layer {layer} failed checks: {lines}")
+    if gated is None:
+        return []
+    bad = rep.filter(F.col("status") == "error").collect()
+    gated.failed.update(r.table_name for r in bad)
+    return [f"{r.table_name}.{r.check_name}={r.violations}" for r in bad]
 
 
 def freshness(spark: SparkSession, cfg: PipelineConfig, as_of: dt.datetime) -> DataFrame | None:
     """Freshness of every source with a policy (warn/error never block)."""
-    srcs = [(s.name, read_source(spark, cfg, s), s.loaded_at, s.freshness)
-            for s in ALL_SOURCES.values() if s.freshness is not None and s.loaded_at]
-    return freshness_report(srcs, as_of)
+    known = [s for s in ALL_SOURCES.values() if s.freshness is not None and s.loaded_at]
+    there = [s for s in known if path_exists(spark, cfg.source_path(s.namespace, s.name))]
+    rep = freshness_report([(s.name, read_source(spark, cfg, s), s.loaded_at, s.freshness) for s in there], as_of)
+    missing = [(s.name, None, "error") for s in known if s not in there]
+    if missing:  # reported like an empty source
+        none = spark.createDataFrame(missing, "source_name string, max_loaded_at timestamp_ntz, status string")
+        rep = none if rep is None else rep.unionByName(none)
+    return rep
 
 
 class LazyContext(BuildContext):
@@ -269,4 +312,4 @@ def full_refresh_job(spark: SparkSession, cfg: PipelineConfig, gate: bool = True
 
 def freshness_job(spark: SparkSession, cfg: PipelineConfig, as_of: dt.datetime | None = None) -> DataFrame | None:
     """Source freshness report only; never blocks a build."""
-    return freshness(spark, cfg, as_of or dt.datetime.utcnow().replace(microsecond=0))
+    return freshness(spark, cfg, as_of or dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None))

@@ -516,7 +516,7 @@ MODELS: list[Model] = [
           checks=lambda ctx: _nn_unique("order_review_id")),
     Model("slv_int_market__sellers", "silver_intermediate", int_sellers, checks=lambda ctx: _nn_unique("seller_id")),
     # gold
-    Model("dim_date", "gold", dim_date, "table", tags=("always_build",),
+    Model("dim_date", "gold", dim_date, "table",
           checks=lambda ctx: _nn_unique("date_id") + [
               NotNull("not_null_year", "year"), NotNull("not_null_is_weekend", "is_weekend"),
               AcceptedValues("accepted_is_weekend", "is_weekend", values=[True, False]),

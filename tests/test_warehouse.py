@@ -108,9 +108,13 @@ def test_reports_flag_planted_violations(built):
 def test_gate_stops_build(built, tmp):
     spark, cfg0, _, paths, base = built
     cfg = PipelineConfig(source_base=cfg0.source_base, target_base=f"{tmp}/wh", seeds_dir=paths["seeds"])
-    with pytest.raises(QualityError):
+    with pytest.raises(QualityError, match="accepted_order_status"):
         runner.run(spark, cfg, gate=True)
+    # what reads the failing source is not built, the other branches are
     assert not os.path.exists(cfg.model_path("gold", "fct_orders"))
+    assert not os.path.exists(cfg.model_path("bronze", "brz_market__orders"))
+    assert os.path.exists(cfg.model_path("gold", "dim_states")) and os.path.exists(cfg.model_path("gold", "dim_date"))
+    assert os.path.exists(cfg.model_path("gold", "dim_sellers"))
 
 
 def test_incremental_equals_full_refresh_inside_window(built, tmp):
@@ -145,8 +149,8 @@ def test_incremental_equals_full_refresh_inside_window(built, tmp):
 def test_selection_and_config():
     names = [m.name for m in runner.selection(["gold"])]
     assert names[0] == "dim_date" and all(n.startswith(("dim_", "fct_")) for n in names)
-    assert [m.name for m in runner.selection(["fct_orders"])] == ["dim_date", "fct_orders"]
-    assert len(runner.selection(["silver"])) == 24 + 1
+    assert [m.name for m in runner.selection(["fct_orders"])] == ["fct_orders"]
+    assert len(runner.selection(["silver"])) == 24
     targets = {"dev": PipelineConfig("a", "b"), "prod": PipelineConfig("a", "c")}
     assert resolve_target(targets, "prod").target_base == "c"
     with pytest.raises(ValueError):
@@ -156,7 +160,7 @@ def test_selection_and_config():
 def test_jobs(built):
     spark, cfg, *_ = built
     names = [m.name for m in runner.selection(["incremental"])]
-    assert names == ["dim_date", "fct_orders", "fct_order_items"]
+    assert names == ["fct_orders", "fct_order_items"]
     res = runner.full_refresh_job(spark, cfg, gate=False)
     assert set(res.incremental) == {"fct_orders", "fct_order_items"}
     assert all(v["mode"] == "full" for v in res.incremental.values())
@@ -207,6 +211,9 @@ def test_freshness_job(built):
     spark, cfg, *_ = built
     rep = {r.source_name: r.status for r in runner.freshness(spark, cfg, dt.datetime(2017, 8, 3, 0, 0)).collect()}
     assert rep == {"orders": "pass", "order_reviews": "error"}
+    nowhere = PipelineConfig(source_base=cfg.source_base + "-missing", target_base=cfg.target_base)
+    rep = {r.source_name: r.status for r in runner.freshness_job(spark, nowhere).collect()}
+    assert rep == {"orders": "error", "order_reviews": "error"}  # reported, not raised
 
 
 def test_command_line(built, capsys):
@@ -214,7 +221,7 @@ def test_command_line(built, capsys):
     spark, cfg, *_ = built
     args = ["--source-base", cfg.source_base, "--target-base", cfg.target_base, "--seeds-dir", cfg.seeds_dir]
     assert main(["full-refresh", *args, "--no-gate"], spark=spark) == 0
-    assert "built 3 models" in capsys.readouterr().out
+    assert "built 2 models" in capsys.readouterr().out
     assert main(["freshness", *args, "--as-of", "2017-08-03T00:00:00"], spark=spark) == 0
     out = capsys.readouterr().out
     assert "orders: pass" in out and "order_reviews: error" in out
