@@ -314,8 +314,12 @@ def scan_licenses(docs: DataFrame, max_negatives: int = 2000, min_probability: f
     calibrated probability and template overlap of every confirmed paragraph."""
     spark = docs.sparkSession
     lines = docs.select(F.explode(F.split(F.col("text").cast("string"), "\n")).alias("line"))
-    sample = lines.where("length(line) > 0").select("line", F.xxhash64("line").alias("h")).orderBy("h", "line") \
-        .limit(max_negatives).select(F.substring("line", 1, 4000).alias("line"))
+    hashed = lines.where("length(line) > 0").select(F.substring("line", 1, 4000).alias("line"), F.xxhash64("line").alias("h"))
+    # every task would send its own max_negatives smallest: a bound on the hash,
+    # four times as wide as needed, leaves about so many in all
+    share = min(1.0, 4 * max_negatives / max(1, hashed.count()))
+    sample = hashed.where(F.col("h") <= int((1 << 64) * share) - (1 << 63) - 1 if share < 1 else F.lit(True)) \
+        .orderBy("h", "line").limit(max_negatives).select("line")
     negatives = [r[0].encode() for r in sample.collect()]
     shared = spark.sparkContext.broadcast(train(sorted(negatives), min_probability, min_overlap))
 
