@@ -68,19 +68,20 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     an edge are not listed.
 
     Alternating large-star / small-star rounds: every round is two aggregates
-    and two joins on the edge list, written to the shared folder.  A hub's
-    neighbours are never gathered: its minimum is a partial aggregate, and the
-    join back is one AQE can split.
+    and two joins on the edge list.  A hub's neighbours are never gathered: its
+    minimum is a partial aggregate, and the minima are written before they are
+    joined back, as the engine can split a hub's rows only where both sides of
+    a join come straight from a shuffle.
     """
     cur = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                   .distinct(), "cc-edges")
     sign = None
     for _ in range(max_rounds):
         both = cur.select("u", "v").union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-low")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = written(large.where("u <> v").distinct(), "cc-large")
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         nxt = written(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "cc-edges")
         state = nxt.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.sum(F.expr("u % 1000003 + v % 1000003"))).first()

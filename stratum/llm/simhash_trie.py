@@ -239,9 +239,10 @@ def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4) ->
     prints = written(slim.groupBy("fp").agg(F.min("doc").alias("first_doc")), "simhash-prints")
     links = trie_links(prints.select("fp"), prints.count(), max_bits)
     comps = connected_components(links)
-    member = prints.join(comps.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", "first_doc", F.coalesce("label", "fp").alias("label"))
-    smallest = member.groupBy("label").agg(F.min("first_doc").alias("component"))
+    member = written(prints.join(comps.withColumnRenamed("node", "fp"), "fp", "left")
+                     .select("fp", "first_doc", F.coalesce("label", "fp").alias("label")), "simhash-members")
+    # written, so that the join on a label that many fingerprints share can be split
+    smallest = written(member.groupBy("label").agg(F.min("first_doc").alias("component")), "simhash-smallest")
     known = member.join(smallest, "label").select("fp", "component")
     if set(names) == {"doc_id"} or set(names) == {"doc_id", "text"}:
         # ids only are needed: the texts are not read again
