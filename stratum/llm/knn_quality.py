@@ -19,7 +19,8 @@ similarity go to the vector whose ``doc_id`` hash is smaller.
 
 Defined cases: null or empty texts (and any text when no label can be learnt)
 score the training share of label 1 (0.5 without labels); a document labelled
-several times counts once with its mean label, a mean of a half or more being 1;
+several times counts once with its mean label, a mean of a half or more being 1,
+and one with several rows is learnt from once, by its smallest text;
 labels without a document are ignored; null labels and null ``doc_id`` are not
 learnt from; further columns pass through, and result columns get trailing
 underscores where the name is taken.
@@ -185,7 +186,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_labelled: int = 4
         .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label")) \
         .withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(max_labelled)
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")) \
-        .join(F.broadcast(chosen), "doc_id").select("order", "label", "text")
+        .join(F.broadcast(chosen), "doc_id") \
+        .groupBy("order", "doc_id", "label").agg(F.min("text").alias("text")).select("order", "label", "text")
     rows = sorted(sample.mapInArrow(_sparse, "order bigint, label int, dims array<smallint>, counts array<int>")
                   .collect(), key=lambda r: (r[0], r[2], r[3], r[1]))
     x = np.zeros((len(rows), DIMS), np.float32)
