@@ -151,7 +151,7 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, width: int = 10, part_
     name = free_name(docs.columns, "hits")
     out = docs
     for part in range(parts):
-        own = benchmark.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part) if parts > 1 else benchmark
+        own = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part) if parts > 1 else benchmark
         items = [(r[0], (r[1] or "").encode()) for r in own.select("item_id", "text").distinct().collect()]
         scan = _scanner(spark.sparkContext.broadcast(NgramSet(items, width)))
         found = scan(F.col(text).cast("string"))
