@@ -21,6 +21,10 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # rows hold whole texts: small Arrow batches bound what a task and its
+    # Python worker hold at a time
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
 }
 # Overwrite semantics are never taken from the session: every write states
 # ``partitionOverwriteMode`` itself (full replace = static, upsert = dynamic).
