@@ -245,8 +245,9 @@ def _slots(spark: SparkSession, slots: list[int], blocks: list[int], shards: int
             + (i // n).astype(np.uint64)
         return pd.Series(permuted(i % n, n, key * np.uint64(0x9FB21C651E98DF25)))
 
+    # a stated number of parts: the planner would merge the few short rows of runs into one task
     each = runs.withColumn("lo", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(run)))) \
-        .repartition("shard", "source_no", "lo") \
+        .repartition(max(1, -(-sum(slots) // (16 * run))), "shard", "source_no", "lo") \
         .withColumn("j", F.explode(F.sequence("lo", F.least(F.col("n"), F.col("lo") + run) - 1)))
     return each.select("shard", (F.col("at") + F.col("j")).alias("slot"), "source_no",
                        block_of("source_no", F.col("before") + F.col("j"), "blocks").alias("block_no"))
