@@ -19,21 +19,36 @@ All stages but the last return the columns of ``documents``:
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm import decontaminate as benchmarks
 from stratum.llm import knn_quality, line_runs, simhash_trie, source_mix
 from stratum.llm.common import table, written
+from stratum.session import apply_defaults
 
 MIN_SCORE = 0.3
 
 
+def with_defaults(stage):
+    """A stage may be called by itself: it sets the library's session defaults
+    (small Arrow batches among them) where the session has none."""
+    @wraps(stage)
+    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        apply_defaults(spark)
+        return stage(spark, docs, sf_dir)
+    return call
+
+
+@with_defaults
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = knn_quality.score_quality(docs, table(spark, sf_dir, "labels"), knn_quality.in_training())
     return scored.where(F.col(scored.columns[-1]) >= MIN_SCORE).select(*docs.columns)
 
 
+@with_defaults
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = line_runs.dedup_lines(docs).select(*docs.columns)
     if "n_chars" not in docs.columns:
@@ -41,16 +56,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
+@with_defaults
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     grouped = simhash_trie.simhash_components(docs, shingle=4, max_bits=4)
     component = F.col(grouped.columns[-1])
     return grouped.where(F.col("doc_id").isNull() | (F.col("doc_id") == component)).select(*docs.columns)
 
 
+@with_defaults
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return benchmarks.decontaminate(docs, table(spark, sf_dir, "benchmark"), remove="documents")
 
 
+@with_defaults
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return source_mix.mix_sources(docs)
 

@@ -151,10 +151,12 @@ class Mix:
         names = self.docs.columns
         rows = self.placed(_sized(self.docs, names)).where("size > 0")
         cut = _pieces(F.col("row.text").cast("string"), F.col("first"), F.lit(self.block))
-        pieces = rows.withColumn("p", F.explode(cut)).select(
-            F.struct(*[F.col("row")[c].alias(c) for c in names if c != "text"]).alias("row"), "source_no",
-            (F.col("base") + F.col("p.local")).alias("block_no"), F.col("p.at").alias("piece"),
-            F.col("p.words").alias("words"), F.col("p.text").alias("text"))
+        # the whole text is left behind before the pieces are made rows
+        head = F.struct(*[F.col("row")[c].alias(c) for c in names if c != "text"]).alias("row")
+        pieces = rows.select(head, "source_no", "base", cut.alias("cut")) \
+            .withColumn("p", F.explode("cut")).select(
+                "row", "source_no", (F.col("base") + F.col("p.local")).alias("block_no"),
+                F.col("p.at").alias("piece"), F.col("p.words").alias("words"), F.col("p.text").alias("text"))
         # slots grow with the corpus: never broadcast, whatever the planner guesses of their size
         out = pieces.join(self.slots.hint("merge"), ["source_no", "block_no"])
         taken = [c for c in names if c != "text"]
