@@ -233,8 +233,9 @@ def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4) ->
     """``docs`` plus ``fingerprint`` (16 hex digits) and ``component_id`` (the
     smallest ``doc_id`` reachable over links, itself included)."""
     names = docs.columns
-    hashed = docs.select(F.struct(*[docs[c] for c in names]).alias("row"),
-                         _fingerprints(docs["text"].cast("string"), F.lit(shingle)).alias("fp"))
+    # never null: told to the planner, it does not compute the column twice to check a join's key
+    fp = F.coalesce(_fingerprints(docs["text"].cast("string"), F.lit(shingle)), F.lit(0))
+    hashed = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), fp.alias("fp"))
     slim = written(hashed.select(F.col("row.doc_id").cast("bigint").alias("doc"), "fp"), "simhash")
     prints = written(slim.groupBy("fp").agg(F.min("doc").alias("first_doc")), "simhash-prints")
     links = trie_links(prints.select("fp"), prints.count(), max_bits)

@@ -151,10 +151,11 @@ class Mix:
         names = self.docs.columns
         rows = self.placed(_sized(self.docs, names)).where("size > 0")
         cut = _pieces(F.col("row.text").cast("string"), F.col("first"), F.lit(self.block))
-        # the whole text is left behind before the pieces are made rows
+        # the whole text is left behind before the pieces are made rows; each text has a piece, and the
+        # outer form spares the planner's check for it, which would cut all texts a second time
         head = F.struct(*[F.col("row")[c].alias(c) for c in names if c != "text"]).alias("row")
         pieces = rows.select(head, "source_no", "base", cut.alias("cut")) \
-            .withColumn("p", F.explode("cut")).select(
+            .withColumn("p", F.explode_outer("cut")).select(
                 "row", "source_no", (F.col("base") + F.col("p.local")).alias("block_no"),
                 F.col("p.at").alias("piece"), F.col("p.words").alias("words"), F.col("p.text").alias("text"))
         # slots grow with the corpus: never broadcast, whatever the planner guesses of their size
@@ -251,8 +252,9 @@ def _slots(spark: SparkSession, slots: list[int], blocks: list[int], shards: int
     each = runs.withColumn("lo", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(run)))) \
         .repartition(max(1, -(-sum(slots) // (16 * run))), "shard", "source_no", "lo") \
         .withColumn("j", F.explode(F.sequence("lo", F.least(F.col("n"), F.col("lo") + run) - 1)))
+    # never null: told to the planner, it does not compute the column twice to check a join's key
     return each.select("shard", (F.col("at") + F.col("j")).alias("slot"), "source_no",
-                       block_of("source_no", F.col("before") + F.col("j"), "blocks").alias("block_no"))
+                       F.coalesce(block_of("source_no", F.col("before") + F.col("j"), "blocks"), F.lit(0)).alias("block_no"))
 
 
 def mix_sources(docs: DataFrame, **params) -> DataFrame:
