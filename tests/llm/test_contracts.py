@@ -14,6 +14,7 @@ import xxhash
 
 import corpus_pipeline
 from stratum.llm.queries import ORACLE, QUERIES
+from stratum.session import DEFAULTS
 
 SF = os.environ.get("STRATUM_TEST_SF", "/root/testdata/sf0.001")
 TABLES = ["documents", "embeddings", "benchmark", "labels", "conversations"]
@@ -242,3 +243,22 @@ def brute_hit(text, duck):
             windows |= {tuple(w[i:i + 10]) for i in range(max(1, len(w) - 9))}
     w = word.findall(lower(text or ""))
     return any(tuple(w[i:i + n]) in windows for n in {len(x) for x in windows} for i in range(len(w) - n + 1))
+
+
+def test_python_columns_are_computed_once(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, column in (("mix", "_pieces("), ("mix", "block_of("), ("simhash_dedup", "_fingerprints(")):
+        plan = dict(corpus_pipeline.STAGES)[name](spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+        assert sum(column in line and "ArrowEvalPython" in line for line in plan.splitlines()) == 1, (name, column)
+
+
+def test_a_stage_by_itself_sets_the_session_defaults(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.unset(key)
+    try:
+        corpus_pipeline.decontaminate(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+        assert spark.conf.get(key) == DEFAULTS[key]
+    finally:
+        if before is not None:
+            spark.conf.set(key, before)
