@@ -14,9 +14,11 @@ Queries are dealt into passes of at most ``pass_queries``; a pass broadcasts
 its queries (bounded) and scans all candidates once.  Tasks return their k best
 per query, and an aggregate merges them.
 
-Components become ``floor(256 * x)``, ``x`` as double.  Defined cases: vectors
-that are null, empty, or hold null or non-finite components (or a component
-whose integer reaches 2^24, where sums could overflow) take no part; vectors
+Components become ``floor(256 * x)``, ``x`` as double, of any finite size:
+products that doubles would round are made of longs, and those that may not
+fit a long of Python integers.  A result whose score does not fit a long is an
+error.  Defined cases: vectors that are null, or hold null or non-finite
+components take no part; an empty vector's products are 0; vectors
 meet only vectors of their own length; a null ``vec_id`` takes no part; rows
 with the query's ``vec_id`` are no candidates of it; repeated rows of a query
 are one query (different vectors under one id share one list), repeated
@@ -32,29 +34,78 @@ from pyspark.sql import functions as F
 
 from stratum.llm.common import table
 
+#: Components under this are searched apart from larger ones.
 LIMIT = 1 << 24
+#: Squares of larger components could leave the range of a double.
+BOUNDED = 2.0 ** 400
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v: array of longs) of the vectors that take part."""
-    whole = vectors.where("vec_id IS NOT NULL AND embedding IS NOT NULL AND size(embedding) > 0").select(
+    """(vec_id, v: array of doubles) of the vectors that take part; ``v`` is
+    ``floor(256 * x) / 256``, which a double holds for every finite ``x``."""
+    whole = vectors.where("vec_id IS NOT NULL AND embedding IS NOT NULL").select(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e"))
-    sound = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < LIMIT / 256.0))
-    return whole.where(sound).select("vec_id", F.transform("e", lambda x: F.floor(x * 256)).alias("v"))
+    sound = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return whole.where(sound).select("vec_id", F.transform("e", lambda x: F.when(
+        F.abs(x) < 2.0 ** 45, F.floor(x * 256).cast("double") / 256).otherwise(x)).alias("v"))
 
 
 def matrices(ids: pa.Array, vectors: pa.Array, rows: int = 2048):
-    """(ids, float64 matrix) blocks of equal vector length, ids ascending."""
+    """(ids, matrix of whole numbers) blocks of equal vector length and like
+    size, ids ascending."""
     ids = ids.to_numpy(zero_copy_only=False)
     lengths = np.diff(vectors.offsets.to_numpy())
     flat = vectors.flatten().to_numpy(zero_copy_only=False)
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(lengths) else np.empty(0, np.int64)
     for size in np.unique(lengths):
-        own = np.flatnonzero(lengths == size)
-        own = own[np.argsort(ids[own], kind="stable")]
-        for lo in range(0, len(own), rows):
-            at = own[lo:lo + rows]
-            yield ids[at], flat[starts[at, None] + np.arange(size)].astype(np.float64)
+        same = np.flatnonzero(lengths == size)
+        same = same[np.argsort(ids[same], kind="stable")]
+        high = np.zeros(len(same))
+        for lo in range(0, len(same), rows):
+            high[lo:lo + rows] = np.abs(flat[starts[same[lo:lo + rows], None] + np.arange(size)]).max(axis=1, initial=0)
+        tier = np.digitize(high, [LIMIT / 256, 2.0 ** 1015])
+        for t in np.unique(tier):
+            own = same[tier == t]
+            for lo in range(0, len(own), rows):
+                at = own[lo:lo + rows]
+                # 256 times the largest doubles is a long double only
+                x = flat[starts[at, None] + np.arange(size)].astype(np.longdouble if t == 2 else np.float64)
+                yield ids[at], x * 256
+
+
+def highest(x: np.ndarray) -> float:
+    return max(np.abs(x).max(initial=0), 1)
+
+
+def products(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Inner products of rows, exact wherever they fit a long; others are some
+    number beyond the longs, of the right sign."""
+    high_x, high_c, dims = highest(x), highest(c), max(x.shape[1], 1)
+    if np.longdouble(high_x) * high_c * dims < 2.0 ** 53:
+        return x @ c.T
+    if np.longdouble(high_x) * high_c * dims < 2.0 ** 63:  # doubles would round
+        return (x.astype(np.int64) @ c.T.astype(np.int64)).astype(np.longdouble)
+    with np.errstate(over="ignore", invalid="ignore"):
+        near = x @ c.T
+        slack = (np.abs(x) @ np.abs(c).T) * (dims * 2.0 ** -50)
+        score = near.astype(np.longdouble)
+        unsure = ~(np.abs(near) - slack > 2.0 ** 64)
+        if max(high_x, high_c) < 2.0 ** 63:
+            # longs wrap around, so a sum that fits is right
+            fits = np.abs(near) + slack < 2.0 ** 62
+            score[fits] = (x.astype(np.int64) @ c.T.astype(np.int64))[fits]
+            unsure &= ~fits
+    whole: dict[tuple[int, int], list[int]] = {}
+
+    def numbers(side: int, row: int) -> list[int]:
+        if (side, row) not in whole:
+            whole[side, row] = [int(v) for v in (x, c)[side][row]]
+        return whole[side, row]
+    for q, r in np.argwhere(unsure).tolist():
+        exact = sum(a * b for a, b in zip(numbers(0, q), numbers(1, r)))
+        score[q, r] = np.longdouble(max(min(exact, 1 << 64), -(1 << 64)))
+    # an overflow to infinity is still a candidate, and too large
+    return np.clip(score, -np.longdouble(2) ** 64, np.longdouble(2) ** 64)
 
 
 class Resolution:
@@ -65,9 +116,10 @@ class Resolution:
         edges = np.linspace(0, x.shape[1], min(segments, x.shape[1]) + 1).astype(int)
         width = np.diff(edges).astype(np.float64)
         sums = np.add.reduceat(x, edges[:-1], axis=1)
-        squares = np.add.reduceat(x * x, edges[:-1], axis=1)
         mean = sums / width
-        spread = np.sqrt(np.maximum(squares / width - mean * mean, 0))
+        # squares of the differences: those of large components would cancel out
+        rest = x - np.repeat(mean, np.diff(edges), axis=1)
+        spread = np.sqrt(np.add.reduceat(rest * rest, edges[:-1], axis=1) / width)
         self.rows = np.concatenate([mean, spread], axis=1) * np.sqrt(np.concatenate([width, width]))
 
 
@@ -84,26 +136,26 @@ class Best:
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
         self.ids, self.x, self.k = ids, x, k
-        self.levels = [Resolution(x, s).rows for s in levels_for(x.shape[1])]
+        self.bounded = highest(x) < BOUNDED
+        self.levels = [Resolution(x, s).rows for s in levels_for(x.shape[1])] if self.bounded else []
+        self.norm = np.sqrt((x * x).sum(axis=1)) if self.bounded else None
         self.score = np.full((len(ids), k), -np.inf, np.longdouble)
         self.vec = np.full((len(ids), k), np.iinfo(np.int64).max)
 
     def meet(self, ids: np.ndarray, c: np.ndarray) -> None:
         """Offer candidates (ids ascending)."""
         edge = self.score[:, -1]
-        for segments, mine in zip(levels_for(c.shape[1]), self.levels):
+        bounded = self.bounded and highest(c) < BOUNDED
+        for segments, mine in zip(levels_for(c.shape[1]) if bounded else [], self.levels):
             if not len(ids) or not np.isfinite(edge).all():
                 break
             bound = mine @ Resolution(c, segments).rows.T
-            wanted = (bound * (1 + np.sign(bound) * 1e-9) + 1 >= edge[:, None]).any(axis=0)
+            room = 1e-9 * self.norm[:, None] * np.sqrt((c * c).sum(axis=1))
+            wanted = (bound + room + 1 >= edge[:, None]).any(axis=0)
             ids, c = ids[wanted], c[wanted]
         if not len(ids):
             return
-        biggest = max(np.abs(self.x).max(), 1) * max(np.abs(c).max(), 1) * c.shape[1]
-        if biggest < 2.0 ** 53:
-            score = self.x @ c.T
-        else:  # doubles would round
-            score = (self.x.astype(np.int64) @ c.T.astype(np.int64)).astype(np.longdouble)
+        score = products(self.x, c)
         score = np.where(self.ids[:, None] == ids[None, :], -np.inf, score)
         hopeful = np.flatnonzero((score >= edge[:, None]).any(axis=1))
         for q in hopeful.tolist():
@@ -132,9 +184,13 @@ def _search(shared, k: int):
         for group in best.values():
             for b in group:
                 q, r = np.nonzero(np.isfinite(b.score))
+                score, low, high = b.score[q, r], np.iinfo(np.int64).min, np.iinfo(np.int64).max
+                above, below = score > np.longdouble(high), score < np.longdouble(low)
+                longs = np.where(above | below, 0, score).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(b.ids[q]), pa.array(b.vec[q, r]), pa.array(b.score[q, r].astype(np.int64))],
-                    ["query_id", "vec_id", "score"])
+                    [pa.array(b.ids[q]), pa.array(b.vec[q, r]),
+                     pa.array(np.where(above, high, np.where(below, low, longs))), pa.array(~(above | below))],
+                    ["query_id", "vec_id", "score", "fits"])
     return rows
 
 
@@ -153,11 +209,13 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, pass_queries: int = 4096) ->
         blocks = [(i, x) for i, x in matrices(got.column(0).combine_chunks(), got.column(1).combine_chunks(), 1024)] \
             if got.num_rows else []
         shared = spark.sparkContext.broadcast(blocks)
-        found = all_.mapInArrow(_search(shared, k), "query_id bigint, vec_id bigint, score bigint")
+        found = all_.mapInArrow(_search(shared, k), "query_id bigint, vec_id bigint, score bigint, fits boolean")
         parts = found if parts is None else parts.union(found)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    too_high = ~F.col("fits") & (F.col("score") > 0)
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), too_high.desc(), F.col("fits").desc(), "vec_id")
+    score = F.when(F.col("fits"), F.col("score")).otherwise(F.raise_error(F.lit("a score does not fit a long")).cast("bigint"))
     return parts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", "vec_id", score.alias("score"))
 
 
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

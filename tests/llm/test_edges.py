@@ -2,7 +2,10 @@
 extra columns with clashing names, operator by operator."""
 
 import itertools
+import math
+import operator
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -314,6 +317,29 @@ def test_top_k(spark):
     assert segment_search.top_k(empty(df), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    rng = random.Random(11)
+    scales = [1.0, 300.0, 70_000.0, 3e6]
+    vecs = {i: [rng.uniform(-1, 1) * scales[i % 4] for _ in range(8)] for i in range(160)}
+    vecs |= {200: [1e18] + [0.0] * 7, 250: [0.0] * 7 + [1e300], 251: [0.0, 2.0 ** 1020, -2.0 ** 1020] + [0.0] * 5,
+             300: [0.0, 1.0, 1.0] + [0.0] * 5, 301: [2.0 ** 23 + i / 256 for i in range(8)], 350: [], 351: [], 352: []}
+    for i in range(160):  # components met by none of the largest
+        vecs[i][0] = vecs[i][1] = vecs[i][2] = vecs[i][7] = 0.0
+    vecs[301] = [0.0, 0.0, 0.0, *vecs[301][3:7], 0.0]
+    df = spark.createDataFrame(list(vecs.items()), "vec_id bigint, embedding array<double>").repartition(5)
+    whole = {i: [math.floor(Fraction(x) * 256) for x in v] for i, v in vecs.items()}
+    want = []
+    for q in [i for i in vecs if i % 50 == 0]:
+        scores = sorted((-sum(map(operator.mul, whole[q], whole[c])), c) for c in vecs
+                        if c != q and len(vecs[c]) == len(vecs[q]))
+        want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scores[:5])]
+    got = [tuple(r) for r in segment_search.top_k(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect()]
+    assert got == sorted(want)
+    far = spark.createDataFrame([(0, [1e12]), (1, [1e12])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        segment_search.top_k(far, F.col("vec_id") == 0).collect()
+
+
 def test_long_text_fingerprint_in_blocks():
     words = LONG.encode().split()
     hashes = [xxhash.xxh64_intdigest(b" ".join(words[i:i + 4]), 42) for i in range(len(words) - 3)]
