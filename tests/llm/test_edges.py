@@ -277,6 +277,25 @@ def test_secrets(spark, odd):
     assert secret_scan.scan_secrets(empty(odd)).count() == 0
 
 
+def test_a_lone_secret_of_each_class(spark):
+    """What is found does not hang on other random strings of its class."""
+    rng = random.Random(8)
+    planted = []
+    for encoding, alphabet, _ in secret_scan.ENCODINGS:
+        for size in [22] if encoding == "hex" else [22, 30, 40, 60, 100, 160]:  # longer hex is a base span
+            piece = "".join(rng.choices(alphabet, k=size - 3)) + {"base64": "/a7", "base64url": "_a7", "base62": "Zz1"}.get(
+                encoding, alphabet[:1] + alphabet[-1:] + alphabet[5:6])
+            planted.append((len(planted), f"see {piece} there", size))
+    words = [(1000 + i, f"path{i}/usr/share/usr/share/usr/share/doc", 0) for i in range(300)]
+    docs = spark.createDataFrame(planted + words, "doc_id bigint, text string, size int").repartition(3)
+    got = {r.doc_id: [tuple(s) for s in r.secrets] for r in secret_scan.scan_secrets(docs).collect()}
+    found = sum(("random", 4, 4 + size) in got[i] for i, _, size in planted)
+    assert found >= 0.9 * len(planted)
+    assert not any(got[i] for i, _, _ in words)
+    # a large class keeps its estimate: a thousand low p values without a random string
+    assert secret_scan.thresholds([("base62", 2, 1, 1000), ("hex", 0, 9, 1)], 0.1) == {("base62", 2): 50, ("hex", 0): 1}
+
+
 def test_offsets_of_very_many_matches(spark):
     n = 3 * secret_scan.STEP + 7
     df = spark.range(1).select(F.sequence(F.lit(1), F.lit(n)).cast("array<bigint>").alias("a"))
