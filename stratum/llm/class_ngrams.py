@@ -8,17 +8,21 @@ smoothed relative frequencies over all training documents.
 corpus; tasks add up their own words before the shuffle, so frequent words cost
 one row per task).
 
-*Clustering units*: the ``frequent`` most frequent words are units of their
-own; every other word, seen in training or not, belongs to the unit of its
-ending (last four bytes, hashed to ``endings`` units), as a rare word by itself
-shows too few neighbours.  So every word has a class that a task can tell by
-itself, and the units are bounded by parameters, not by the corpus.
+*Clustering units*: every word seen at least ``least`` times in training is a
+unit of its own, so the units grow with the corpus; every other word, seen or
+not, belongs to the unit of its ending (last four bytes, hashed to ``endings``
+units), as a rare word by itself shows too few neighbours.  Tasks know the units
+of the ``head`` most frequent words from a broadcast.  Other words go by a
+62-bit hash (equal hashes share a unit), and where the head leaves out words
+seen ``least`` times, what involves one is joined to the table of their classes.
 
 *Exchange*: each round reads all training texts and counts, for every unit, the
-classes left and right of it.  These sums (units x classes) decide the moves: a
-unit is taken out of its class and put where the likelihood of the class
-bigrams is highest, one unit after the other by falling count.  A last pass
-counts the transitions of the final classes.
+classes left and right of it, as a table.  These sums decide the moves: a unit
+is taken out of its class and put where the likelihood of the class bigrams is
+highest.  The ``frequent`` most frequent words, the endings and the end move on
+the driver, one after the other by falling count; then all other units, in
+``BATCHES`` batches whose units move at once.  A last pass counts the
+transitions of the final classes.
 
 *Scoring*: one pass over all texts.  Counts of the most frequent ``head`` words
 are broadcast; the other words of a document are joined to the count table, so
@@ -34,6 +38,7 @@ kept, and result columns get trailing underscores where the name is taken.
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -52,6 +57,10 @@ DELTA = 0.1
 #: Weight of the class frequencies in the transitions.
 PRIOR = 5.0
 END_WORD = b""
+#: Batches of units that move at once, in a round.
+BATCHES = 4
+#: Units whose neighbour counts a task holds, about.
+HELD_UNITS = 50_000
 
 
 def _count_words(batches):
@@ -94,25 +103,43 @@ def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
 
 
 class Units:
-    """Clustering units of words, and the counts of the head words."""
+    """Clustering units of words, and the counts of the head words.
 
-    def __init__(self, head: list[tuple[bytes, int]], frequent: int, endings: int):
+    Units from 0: the frequent words, the endings, the end (the core, moved on
+    the driver), then the head's other words seen ``least`` times.  Negative:
+    words beyond the head (only if ``tail``), see :meth:`key`."""
+
+    def __init__(self, head: list[tuple[bytes, int]], frequent: int, endings: int, least: int, tail: bool):
         self.index = {w: i for i, (w, _) in enumerate(head)}
         self.counts = np.array([n for _, n in head], np.int64)
-        self.frequent, self.endings = min(frequent, len(head)), endings
-        self.size = self.frequent + endings + 1
-        self.end = self.size - 1
-        self.of_head = np.array([i if i < self.frequent else self.of_ending(w) for i, (w, _) in enumerate(head)], np.int64)
+        own = int((self.counts >= least).sum())
+        self.frequent, self.endings, self.tail, self.least = min(frequent, own), endings, tail, least
+        self.core = self.frequent + endings + 1
+        self.end = self.core - 1
+        self.size = self.core + own - self.frequent
+        self.of_head = np.array([i if i < self.frequent else self.core + i - self.frequent if i < own else self.of_ending(w)
+                                 for i, (w, _) in enumerate(head)], np.int64)
+        #: hashes of the units beyond the core
+        self.keys = np.array([self.key(w) for w, _ in head[self.frequent:own]], np.int64)
 
     def of_ending(self, word: bytes) -> int:
         return self.frequent + xxhash.xxh64_intdigest(word[-4:]) % self.endings
 
+    def key(self, word: bytes) -> int:
+        """A negative number that tells the word's ending, too."""
+        own = xxhash.xxh64_intdigest(word) % ((1 << 62) // self.endings)
+        return -1 - (own * self.endings + self.of_ending(word) - self.frequent)
+
+    def ending_of_key(self, key: np.ndarray) -> np.ndarray:
+        return self.frequent + (-1 - key) % self.endings
+
     def of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(unit, number in the head or -1) of words."""
         at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         unit = self.of_head[at] if len(self.of_head) else np.zeros(len(words), np.int64)
+        other = self.key if self.tail else self.of_ending
         for i in np.flatnonzero(at < 0).tolist():
-            unit[i] = self.of_ending(words[i])
+            unit[i] = other(words[i])
         return unit, at
 
 
@@ -130,50 +157,262 @@ def _line_up(units: Units, texts: list[bytes]):
     return words, sizes, at, place, line
 
 
+NEIGHBOURS = "unit bigint, code array<int>, n array<bigint>"
+
+
+def _lists(units: np.ndarray, grid: np.ndarray, step: int = 8192):
+    """Rows (unit, code, n) of the counts of a grid that are not 0."""
+    for lo in range(0, len(units), step):
+        part = grid[lo:lo + step]
+        seen = np.flatnonzero(part.any(axis=1))
+        row, code = np.nonzero(part[seen])
+        ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(seen)))]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(units[lo:lo + step][seen].astype(np.int64)),
+             pa.ListArray.from_arrays(pa.array(ends), pa.array(code.astype(np.int32))),
+             pa.ListArray.from_arrays(pa.array(ends), pa.array(part[seen][row, code].astype(np.int64)))],
+            ["unit", "code", "n"])
+
+
+def _grid(codes: pa.Array, counts: pa.Array, width: int) -> np.ndarray:
+    sizes = np.diff(codes.offsets.to_numpy())
+    grid = np.zeros((len(sizes), width), np.int64)
+    np.add.at(grid, (np.repeat(np.arange(len(sizes)), sizes), codes.flatten().to_numpy(zero_copy_only=False)),
+              counts.flatten().to_numpy(zero_copy_only=False))
+    return grid
+
+
 def _neighbours(shared: Broadcast, classes: int):
     """Per task: how often a class stands left (codes under ``classes + 1``) and
-    right of a unit, as (unit * 2 * (classes + 1) + code, n)."""
+    right of a unit, where both words' units are known."""
     def rows(batches):
         units, class_of = shared.value
         width = classes + 1
-        total = np.zeros(units.size * 2 * width, np.int64)
+        total, held = np.zeros(units.size * 2 * width, np.int32), 0
         for batch in batches:
             for block in text_blocks(batch.column(0)):
                 _, _, _, _, line = _line_up(units, text_bytes(block))
-                cls = class_of[line]
                 left, right = line[:-1], line[1:]
-                keys = np.concatenate([right * 2 * width + cls[:-1], left * 2 * width + width + cls[1:]])
+                if units.tail:
+                    known = (left >= 0) & (right >= 0)
+                    left, right = left[known], right[known]
+                if held + 2 * len(left) >= 1 << 31:
+                    yield from _lists(np.arange(units.size), total.reshape(units.size, -1))
+                    total[:], held = 0, 0
+                keys = np.concatenate([right * 2 * width + class_of[left], left * 2 * width + width + class_of[right]])
                 found, n = np.unique(keys, return_counts=True)
-                total[found] += n
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["key", "n"])
+                total[found] += n.astype(np.int32)
+                held += len(keys)
+        yield from _lists(np.arange(units.size), total.reshape(units.size, -1))
     return rows
 
 
-def neighbour_counts(texts: DataFrame, units: Units, class_of: np.ndarray, classes: int) -> np.ndarray:
-    """(units, 2, classes + 1): sums over all texts; bounded by the parameters."""
-    shared = texts.sparkSession.sparkContext.broadcast((units, class_of))
-    got = texts.mapInArrow(_neighbours(shared, classes), "key bigint, n bigint") \
-        .groupBy("key").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(units.size * 2 * (classes + 1))
-    out[got.column(0).to_numpy()] = got.column(1).to_numpy()
-    shared.destroy()
-    return out.reshape(units.size, 2, classes + 1)
+def _open_pairs(shared: Broadcast):
+    """Neighbours of which at least one lies beyond the head: (l, r, n)."""
+    def rows(batches):
+        units = shared.value
+        for batch in batches:
+            for block in text_blocks(batch.column(0)):
+                _, _, _, _, line = _line_up(units, text_bytes(block))
+                pair = np.stack([line[:-1], line[1:]], axis=1)
+                pair, n = np.unique(pair[(pair < 0).any(axis=1)], axis=0, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(n.astype(np.int64))], ["l", "r", "n"])
+    return rows
+
+
+def _closed(shared: Broadcast, classes: int):
+    """(unit, code, n) of pairs (l, r, n, lc, rc); a class beyond the head is
+    null where the word is seen too rarely for a unit of its own."""
+    def rows(batches):
+        units, class_of = shared.value
+        for batch in batches:
+            n = batch.column(2)
+            sides = []
+            for key, cls in ((0, 3), (1, 4)):
+                unit = batch.column(key).to_numpy()
+                own = batch.column(cls).fill_null(-1).to_numpy()
+                unit = np.where((unit < 0) & (own < 0), units.ending_of_key(unit), unit)
+                sides.append((unit, np.where(unit < 0, own, class_of[np.maximum(unit, 0)])))
+            (l, lc), (r, rc) = sides
+            for unit, code in ((r, lc), (l, classes + 1 + rc)):
+                yield pa.RecordBatch.from_arrays([pa.array(unit), pa.array(code.astype(np.int32)), n], ["unit", "code", "n"])
+    return rows
+
+
+def _add_up(shared: Broadcast, width: int):
+    """One row (unit, code, n, batch) per unit of a task's rows."""
+    def rows(batches):
+        units, _ = shared.value
+        place: dict[int, int] = {}
+        grid = np.zeros((1024, width), np.int64)
+        for batch in batches:
+            unit, own = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+            at = np.array([place.setdefault(u, len(place)) for u in unit.tolist()], np.int64)
+            while len(place) > len(grid):
+                grid = np.concatenate([grid, np.zeros_like(grid)])
+            np.add.at(grid, at[own], _grid(batch.column(1), batch.column(2), width))
+        for out in _lists(np.fromiter(place, np.int64, len(place)), grid[:len(place)]):
+            unit = out.column(0).to_numpy()
+            key = unit.copy()
+            beyond = unit >= units.core
+            key[beyond] = units.keys[unit[beyond] - units.core]
+            batch = (-1 - key) // units.endings // 1024 % BATCHES
+            yield out.append_column("batch", pa.array(np.where(key < 0, batch, -1).astype(np.int32)))
+    return rows
+
+
+class Clustering:
+    """The classes of all units, and their neighbour counts.  ``class_of``:
+    core and head; ``far``: a table (unit, c) of the units beyond the head."""
+
+    def __init__(self, texts: DataFrame, counts: DataFrame, units: Units, classes: int):
+        self.texts, self.units, self.classes, self.width = texts, units, classes, classes + 1
+        self.spark = texts.sparkSession
+        self.class_of = np.arange(units.size) % classes
+        self.class_of[units.end] = classes
+        # by the word's hash: its key modulo a number hangs on the ending
+        self.class_of[units.core:] = (-1 - units.keys) // units.endings % classes
+        self.far = self.pairs = self.far_words = None
+        far = 0
+        if units.tail:
+            shared = self.spark.sparkContext.broadcast(units)
+            self.far_words = written(
+                counts.where((F.length("word") > 0) & (F.col("n") >= units.least))
+                .mapInArrow(_far_words(shared), "unit bigint, n bigint")
+                .groupBy("unit").agg(F.sum("n").alias("n"), F.count("*").alias("words")), "lm-far")
+            self.far = self.far_words.select("unit", F.expr(f"cast((-1 - unit) div {units.endings} % {classes} as int)").alias("c"))
+            self.pairs = written(texts.mapInArrow(_open_pairs(shared), "l bigint, r bigint, n bigint")
+                                 .groupBy("l", "r").agg(F.sum("n").alias("n")), "lm-pairs")
+            shared.destroy()
+            far = self.far_words.count()
+        self.parts = max(8, (units.size + far) // HELD_UNITS + 1)
+
+    def count(self) -> None:
+        """Neighbour counts under the present classes: ``seen`` of the core,
+        the table ``rest`` of all others."""
+        shared = self.spark.sparkContext.broadcast((self.units, self.class_of))
+        rows = self.texts.mapInArrow(_neighbours(shared, self.classes), NEIGHBOURS)
+        if self.pairs is not None:
+            near = self.pairs
+            for side in "lr":
+                own = self.far.select(F.col("unit").alias(side), F.col("c").alias(side + "c"))
+                near = near.join(own, side, "left")
+            more = near.select("l", "r", "n", "lc", "rc") \
+                .mapInArrow(_closed(shared, self.classes), "unit bigint, code int, n bigint") \
+                .groupBy("unit", "code").agg(F.sum("n").alias("n"))
+            rows = rows.union(more.select("unit", F.array("code"), F.array("n")))
+        summed = written(rows.repartition(self.parts, "unit")
+                         .mapInArrow(_add_up(shared, 2 * self.width), NEIGHBOURS + ", batch int"), "lm-neighbours")
+        shared.destroy()
+        core = summed.where("batch < 0").toArrow().combine_chunks()
+        self.seen = np.zeros((self.units.core, 2 * self.width))
+        for b in core.to_batches():
+            self.seen[b.column(0).to_numpy()] = _grid(b.column(1), b.column(2), 2 * self.width)
+        self.seen = self.seen.reshape(-1, 2, self.width)
+        rest = summed.where("batch >= 0")
+        self.rest = rest.join(self.far, "unit", "left") if self.far is not None else \
+            rest.withColumn("c", F.lit(None).cast("int"))
+
+    def moved(self, batch: int | None, sums: np.ndarray | None) -> tuple[DataFrame, np.ndarray]:
+        """New classes (unit, c) of a batch of ``rest``, and what its moves
+        change in the sums of classes; without a batch, those sums."""
+        rows = self.rest if batch is None else self.rest.where(F.col("batch") == batch)
+        # the core's classes decide nothing here
+        of_head = self.class_of[self.units.core:]
+        out = written(rows.select("unit", "code", "n", "c").mapInArrow(
+            _moves(of_head, self.units.core, self.classes, sums), "unit bigint, c int, sums binary"), "lm-moves")
+        change = np.zeros((2, self.width, self.width))
+        for r in out.where("unit IS NULL").select("sums").collect():
+            change += np.frombuffer(r[0]).reshape(change.shape)
+        return out.where("unit IS NOT NULL").select("unit", "c"), change
+
+    def sums(self, others: np.ndarray) -> np.ndarray:
+        """[left or right, class, class beside it] over all units."""
+        return others + class_sums(self.seen, self.class_of[:self.units.core], self.width)
+
+    def round(self) -> None:
+        self.count()
+        _, others = self.moved(None, None)
+        self.class_of[:self.units.core] = exchange(self.seen, self.class_of[:self.units.core], self.classes, others)
+        done = []
+        for batch in range(BATCHES):
+            classes, change = self.moved(batch, self.sums(others))
+            others = others + change
+            done.append(classes)
+        new = reduce(DataFrame.union, done)
+        head = new.where("unit >= 0").toArrow()
+        self.class_of[head.column(0).to_numpy()] = head.column(1).to_numpy()
+        if self.far is not None:
+            self.far = new.where("unit < 0")
+
+
+def _far_words(shared: Broadcast):
+    def rows(batches):
+        units = shared.value
+        for batch in batches:
+            unit, at = units.of_words(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(unit[at < 0]), batch.column(1).filter(pa.array(at < 0))], ["unit", "n"])
+    return rows
+
+
+def _moves(of_head: np.ndarray, core: int, classes: int, sums: np.ndarray | None, step: int = 512):
+    """Best class of every unit by the same ``sums``; a last row holds the
+    change of the sums (without ``sums``: the task's share of them)."""
+    def rows(batches):
+        width = classes + 1
+        change = np.zeros((2, width, width))
+        for batch in batches:
+            unit = batch.column(0).to_numpy()
+            old = batch.column(3).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            near = unit >= 0
+            old[near] = of_head[unit[near] - core]
+            seen = _grid(batch.column(1), batch.column(2), 2 * width).reshape(-1, 2, width).astype(float)
+            if sums is None:
+                change += class_sums(seen, old, width)
+                continue
+            new = np.concatenate([best_classes(seen[i:i + step], old[i:i + step], sums, classes)
+                                  for i in range(0, len(unit), step)] or [old])
+            change += class_sums(seen, new, width) - class_sums(seen, old, width)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(unit), pa.array(new.astype(np.int32)), pa.nulls(len(unit), pa.binary())], ["unit", "c", "sums"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()),
+                                          pa.array([change.tobytes()], pa.binary())], ["unit", "c", "sums"])
+    return rows
+
+
+def class_sums(seen: np.ndarray, class_of: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros((2, width, width))
+    for side in (0, 1):
+        np.add.at(out[side], class_of, seen[:, side])
+    return out
+
+
+def best_classes(seen: np.ndarray, old: np.ndarray, sums: np.ndarray, classes: int) -> np.ndarray:
+    """The class of highest likelihood of each unit, all others unmoved."""
+    gain, at = np.zeros((len(seen), classes)), np.arange(len(seen))
+    for side in (0, 1):
+        own = seen[:, side]
+        a = np.repeat(sums[side][None, :classes], len(seen), axis=0)
+        a[at, old] -= own
+        total, n = a.sum(axis=2), own.sum(axis=1)[:, None]
+        gain += (_xlogx(a + own[:, None]) - _xlogx(a)).sum(axis=2) - _xlogx(total + n) + _xlogx(total)
+    new = gain.argmax(axis=1)
+    return np.where(gain[at, new] <= gain[at, old] + 1e-9, old, new)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
 
-def exchange(seen: np.ndarray, class_of: np.ndarray, classes: int) -> np.ndarray:
+def exchange(seen: np.ndarray, class_of: np.ndarray, classes: int, others: np.ndarray | None = None) -> np.ndarray:
     """New classes after one sweep over all units (the last, the end, stays in
-    the last class).  ``seen``: neighbour counts under ``class_of``."""
+    the last class).  ``seen``: neighbour counts under ``class_of``;
+    ``others``: sums of the classes over units that do not move here."""
     class_of = class_of.copy()
     left, right = seen[:, 0], seen[:, 1]
-    into = np.zeros((classes + 1, classes + 1))  # [class, class before it]
-    onto = np.zeros((classes + 1, classes + 1))  # [class, class after it]
-    np.add.at(into, class_of, left)
-    np.add.at(onto, class_of, right)
+    # [class, class before it], [class, class after it]
+    into, onto = class_sums(seen, class_of, classes + 1) + (0 if others is None else others)
     for u in np.argsort(-left[:-1].sum(axis=1), kind="stable").tolist():
         if not left[u].any():
             break  # never seen: keeps its first class
@@ -212,25 +451,30 @@ def _per_class(shared: Broadcast, classes: int):
         n, words = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
         for batch in batches:
             unit, _ = units.of_words(batch.column(0).to_pylist())
-            cls = class_of[unit]
-            n += np.bincount(cls, batch.column(1).to_numpy(zero_copy_only=False), classes).astype(np.int64)
+            count = batch.column(1).to_numpy(zero_copy_only=False)
+            here = (unit >= 0) | (count < units.least)  # other words are in the table of their classes
+            unit, count = unit[here], count[here]
+            cls = class_of[np.where(unit < 0, units.ending_of_key(unit), unit)]
+            n += np.bincount(cls, count, classes).astype(np.int64)
             words += np.bincount(cls, minlength=classes)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes)), pa.array(n), pa.array(words)], ["c", "n", "words"])
     return rows
 
 
 def train(texts: DataFrame, counts: DataFrame, classes: int = 32, frequent: int = 8192, endings: int = 4096,
-          head: int = 1 << 17, rounds: int = 3) -> ClassModel:
-    """``texts``: one column, the training texts; ``counts``: their word counts."""
+          head: int = 1 << 17, rounds: int = 3, least: int = 20) -> tuple[ClassModel, DataFrame | None]:
+    """``texts``: one column, the training texts; ``counts``: their word counts.
+    The model, and the classes (unit, c) of words beyond the head, if any."""
     spark = texts.sparkSession
-    units = Units(most_frequent(counts, head), frequent, endings)
-    class_of = np.arange(units.size) % classes
-    class_of[units.end] = classes
+    known = most_frequent(counts, head)
+    many = counts.where((F.length("word") > 0) & (F.col("n") >= least)).count()
+    units = Units(known, frequent, endings, least, many > sum(n >= least for _, n in known))
+    clustering = Clustering(texts, counts, units, classes)
     for _ in range(rounds):
-        class_of = exchange(neighbour_counts(texts, units, class_of, classes), class_of, classes)
-    seen = neighbour_counts(texts, units, class_of, classes)
-    transitions = np.zeros((classes + 1, classes + 1))
-    np.add.at(transitions, class_of, seen[:, 1])
+        clustering.round()
+    clustering.count()
+    transitions = clustering.sums(clustering.moved(None, None)[1])[1]
+    class_of, far = clustering.class_of, clustering.far
     tokens, vocabulary, ends = counts.agg(
         F.sum("n"), F.count("*"), F.sum(F.when(F.length("word") == 0, F.col("n")).otherwise(0))).first()
     shared = spark.sparkContext.broadcast((units, class_of))
@@ -238,9 +482,13 @@ def train(texts: DataFrame, counts: DataFrame, classes: int = 32, frequent: int
     for c, s, w in counts.where(F.length("word") > 0).mapInArrow(_per_class(shared, classes), "c bigint, n bigint, words bigint") \
             .groupBy("c").agg(F.sum("n"), F.sum("words")).collect():
         n[c], words[c] = s, w
+    if far is not None:
+        for c, s, w in far.join(clustering.far_words, "unit").groupBy("c").agg(F.sum("n"), F.sum("words")).collect():
+            n[c] += s
+            words[c] += w
     # a text's end is its class's only word; without any text nothing is known
     return ClassModel(units, class_of, transitions, n, words, int(tokens or 0), int(vocabulary or 0) if ends else 0,
-                      int(ends or 0))
+                      int(ends or 0)), far
 
 
 def _score_rows(shared: Broadcast):
@@ -252,12 +500,14 @@ def _score_rows(shared: Broadcast):
             at_row = 0
             for block in text_blocks(batch.column(1)):
                 words, sizes, at, place, line = _line_up(m.units, text_bytes(block))
-                cls = m.class_of[line]
+                # a class, or the key of a word beyond the head
+                cls = np.where(line < 0, line, m.class_of[np.maximum(line, 0)])
                 n_docs = len(sizes)
                 doc = np.repeat(np.arange(n_docs), sizes)
                 # the transition into position i belongs to the text that i ends or lies in
                 owner = np.repeat(np.arange(n_docs), np.array(sizes, np.int64) + 1)
-                score = np.bincount(owner, m.step[cls[:-1], cls[1:]], n_docs)
+                told = (cls[:-1] >= 0) & (cls[1:] >= 0)
+                score = np.bincount(owner[told], m.step[cls[:-1][told], cls[1:][told]], n_docs).astype(float)
                 word_class = cls[place]
                 known = at >= 0
                 log_n = head_log[at[known]] if known.any() else np.empty(0)
@@ -275,21 +525,49 @@ def _score_rows(shared: Broadcast):
                 rare = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
                     [pa.array(flat_w, pa.binary()), pa.array(flat_n, pa.int64()), pa.array(flat_c, pa.int32())],
                     ["word", "k", "c"]))
+                more = []
+                if m.units.tail:
+                    more = [_open_steps(owner[~told], cls[:-1][~told], cls[1:][~told], n_docs, m)]
+                    rare = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
+                        [*rare.values.flatten(), pa.array([m.units.key(w) for w in flat_w], pa.int64())],
+                        ["word", "k", "c", "unit"]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at_row, n_docs), pa.array(np.array(sizes, np.int64) + 1),
-                     pa.array(known_n.astype(np.int64) + (1 if m.end_count else 0)), pa.array(base), pa.array(score), rare],
-                    ["id", "n_tokens", "n_known", "base", "score", "rare"])
+                     pa.array(known_n.astype(np.int64) + (1 if m.end_count else 0)), pa.array(base), pa.array(score), rare, *more],
+                    ["id", "n_tokens", "n_known", "base", "score", "rare", "steps"][:6 + len(more)])
                 at_row += n_docs
     return rows
 
 
+def _open_steps(owner: np.ndarray, left: np.ndarray, right: np.ndarray, n_docs: int, m: ClassModel) -> pa.Array:
+    """Per text: (l, r, lc, rc) of steps from or to a word beyond the head:
+    its key, and the class (of its ending, where it is beyond the head)."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n_docs))]).astype(np.int32)
+    cls = [np.where(x < 0, m.class_of[m.units.ending_of_key(np.minimum(x, -1))], x).astype(np.int32) for x in (left, right)]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
+        [pa.array(left), pa.array(right), pa.array(cls[0]), pa.array(cls[1])], ["l", "r", "lc", "rc"]))
+
+
+def _far_steps(first: DataFrame, far: DataFrame, model: ClassModel) -> DataFrame:
+    """(id, far_score): log10 of the transitions that involve a word beyond the head."""
+    steps = first.select(F.col("id.id").alias("id"), F.explode("steps").alias("s")).select("id", "s.*")
+    for side in "lr":
+        own = far.select(F.col("unit").alias(side), F.col("c").alias("own"))
+        # a class is no key and meets nothing
+        steps = steps.join(own, side, "left").withColumn(side + "c", F.coalesce("own", side + "c")).drop("own")
+    n = len(model.step)
+    table_ = first.sparkSession.createDataFrame(
+        [(i, j, float(model.step[i, j])) for i in range(n) for j in range(n)], "lc int, rc int, step double")
+    return steps.join(F.broadcast(table_), ["lc", "rc"]).groupBy("id").agg(F.sum("step").alias("far_score"))
+
+
 def score_documents(docs: DataFrame, learn: Column, **params) -> DataFrame:
     """``docs`` (without ``text``) plus n_tokens, n_known, train_tokens,
     base_score, score (log10 probabilities) and perplexity."""
     spark = docs.sparkSession
     texts = docs.where(learn).select(F.col("text").cast("string").alias("text"))
     counts = written(word_counts(texts), "lm-counts")
-    model = train(texts, counts, **params)
+    model, far = train(texts, counts, **params)
     names = [c for c in docs.columns if c != "text"]
     rowed = docs.select(F.monotonically_increasing_id().alias("id"), F.struct(*[docs[c] for c in names]).alias("row"),
                         F.col("text").cast("string").alias("text"))
@@ -298,21 +576,30 @@ def score_documents(docs: DataFrame, learn: Column, **params) -> DataFrame:
     kind = rowed.select(keyed.alias("x")).schema["x"].dataType
     first = written(rowed.select(keyed.alias("key"), "text").mapInArrow(
         _score_rows(shared), f"id {kind.simpleString()}, n_tokens bigint, n_known bigint, base double, score double, "
-                             "rare array<struct<word:binary,k:bigint,c:int>>"), "lm-first")
+                             + ("rare array<struct<word:binary,k:bigint,c:int>>" if far is None else
+                                "rare array<struct<word:binary,k:bigint,c:int,unit:bigint>>, "
+                                "steps array<struct<l:bigint,r:bigint,lc:int,rc:int>>")), "lm-first")
     below = F.array(*[F.lit(float(b)) for b in model.below])
-    rare = first.select(F.col("id.id").alias("id"), F.explode("rare").alias("r")).select("id", "r.word", "r.k", "r.c") \
-        .join(counts, "word", "left").withColumn("log_n", F.log10(F.coalesce("n", F.lit(0)) + F.lit(DELTA))) \
+    rare = first.select(F.col("id.id").alias("id"), F.explode("rare").alias("r")).select("id", "r.*")
+    if far is not None:
+        rare = rare.join(far.withColumnRenamed("c", "own"), "unit", "left").withColumn("c", F.coalesce("own", "c")) \
+            .drop("unit", "own")
+    rare = rare.join(counts, "word", "left").withColumn("log_n", F.log10(F.coalesce("n", F.lit(0)) + F.lit(DELTA))) \
         .groupBy("id").agg(
             F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("more_known"),
             F.sum(F.col("k") * (F.col("log_n") - F.lit(model.base_below))).alias("more_base"),
             F.sum(F.col("k") * (F.col("log_n") - F.element_at(below, F.col("c") + 1))).alias("more_score"))
     slim = first.select(F.col("id.id").alias("id"), F.col("id.row").alias("row"), "n_tokens", "n_known", "base", "score")
     zero = F.lit(0.0)
+    more = F.coalesce("more_score", zero)
+    if far is not None:
+        slim = slim.join(_far_steps(first, far, model), "id", "left")
+        more = more + F.coalesce("far_score", zero)
     out = slim.join(rare, "id", "left").select(
         "row", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", zero)).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", zero)).alias("score"))
+        (F.col("score") + more).alias("score"))
     out = out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
     return out.select(*[F.col("row")[c].alias(c) for c in names], *[
         F.col(c).alias(free_name(names, c))

@@ -221,6 +221,26 @@ def test_class_lm(spark, odd):
     assert class_ngrams.score_documents(empty(odd), F.lit(True), classes=4, rounds=1).count() == 0
 
 
+def test_class_lm_units_grow_with_the_corpus(spark):
+    """Words seen often enough have classes of their own, however many, and
+    wherever their classes are held."""
+    rng = random.Random(4)
+    kinds = [[f"{w}{i:03d}same" for i in range(150)] for w in "ab"]  # one ending: only a unit of its own tells the kind
+    rows = [(i, " ".join(rng.choice(kinds[(i + j) % 2]) for j in range(40)) + f" once{i}x") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+
+    def scores(**params):
+        out = class_ngrams.score_documents(docs, F.col("doc_id") % 10 != 0, classes=4, endings=16, rounds=4, **params)
+        return {r.doc_id: (r.n_tokens, r.n_known, r.score) for r in out.collect()}
+    near, far = scores(frequent=50), scores(frequent=50, head=100)
+    assert {i: r[:2] for i, r in near.items()} == {i: r[:2] for i, r in far.items()}
+    assert [far[i][2] for i in near] == pytest.approx([near[i][2] for i in near], rel=1e-9)
+    blind = scores(frequent=50, least=10 ** 9)
+    held = range(0, 400, 10)
+    # knowing the other kind halves the choice: log10(2) for each word
+    assert sum(near[i][2] - blind[i][2] for i in held) > 0.8 * len(held) * 40 * math.log10(2)
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(3)
     units, classes = 41, 2  # two kinds of words that follow their own kind
