@@ -5,6 +5,7 @@ from __future__ import annotations
 from stratum.llm import (
     chat_examples,
     class_ngrams,
+    conversation_repair,
     decontaminate,
     knn_quality,
     license_scan,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_line_dedup": line_runs.op9_line_dedup,
     "op10_topk": segment_search.op10_topk,
+    "op11_repair": conversation_repair.op11_repair,
 }
 
 ORACLE = {
@@ -33,4 +35,5 @@ ORACLE = {
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op9_line_dedup": line_runs.OP9_SQL,
     "op10_topk": segment_search.OP10_SQL,
+    "op11_repair": conversation_repair.OP11_SQL,
 }
