@@ -14,6 +14,7 @@ from stratum.llm import (
     segment_search,
     simhash_trie,
     source_mix,
+    spelling_groups,
 )
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_line_dedup": line_runs.op9_line_dedup,
     "op10_topk": segment_search.op10_topk,
     "op11_repair": conversation_repair.op11_repair,
+    "op13_spelling": spelling_groups.op13_spelling,
 }
 
 ORACLE = {
@@ -36,4 +38,5 @@ ORACLE = {
     "op9_line_dedup": line_runs.OP9_SQL,
     "op10_topk": segment_search.OP10_SQL,
     "op11_repair": conversation_repair.OP11_SQL,
+    "op13_spelling": spelling_groups.OP13_SQL,
 }
