@@ -9,6 +9,19 @@ Semantics of an incremental model with a unique key:
   are, then every batch row is inserted (anti join + union);
 * a full refresh rebuilds the table from the model's full result.
 
+The table is a committed one (:mod:`stratum.sources.committed`): a run that dies
+at any step leaves the rows of the last commit, and the next run goes on from
+them.  Beside the rows it keeps, per table partition,
+
+* the maximum of ``ts``, so the high-water mark is read from the pointer;
+* a filter of the partition's keys: every key sets ``PROBES`` bits of one bitmap,
+  so a batch finds the partitions that may hold its keys without reading the key
+  column of all history (a key that a partition does not hold passes its filter
+  about once in a million; what passes is checked against the keys themselves);
+
+and, for the table, the keys that several rows hold.  All three are merged from
+the partitions and the keys that a run touches.
+
 Deviation: an existing but *empty* target is treated as a first load (the
 plain rule would load nothing, because ``max`` of nothing is NULL).
 """
@@ -16,48 +29,105 @@ plain rule would load nothing, because ``max`` of nothing is NULL).
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 
-from stratum.session import delete_path, path_exists
+from stratum.session import delete_path
+from stratum.sources import committed
+from stratum.sources.committed import PART, Pointer
 
-
-def clustered(df: DataFrame, partition_by: list[str] | None) -> DataFrame:
-    """Cluster rows by the partition columns before a partitioned write, so
-    each table partition is written by few tasks (not one file per task per
-    partition).  The ``rebalance`` hint lets AQE split a large partition over
-    several tasks and merge small ones."""
-    return df.hint("rebalance", *partition_by) if partition_by else df
+#: Bits of one bitmap (as the engine's bitmap functions have it), bits per key at
+#: least, and bits that a key sets.
+BITMAP_BITS = 32768
+BITS_PER_KEY = 128
+PROBES = 4
 
 
 def high_water_mark(target: DataFrame, ts_col: str):
-    """``max(ts_col)`` of the target as a driver-side scalar (one value)."""
-    return target.agg(F.max(ts_col).alias("m")).first()["m"]
-
-
-def mark_path(path: str) -> str:
-    return path.rstrip("/") + "__mark"
+    """``max(ts_col)`` of the target as a driver-side scalar (one value); a
+    timestamp in the session's time zone."""
+    text = target.agg(F.max(ts_col).cast("string").alias("m")).first()["m"]
+    return None if text is None else _mark_value(text, target.schema[ts_col].dataType.simpleString())
 
 
 def committed_mark(spark: SparkSession, path: str, ts_col: str):
-    """The high-water mark of the last *finished* write of the table.
-
-    It lies beside the table and is written after everything else, so a run
-    that dies while partitions are being replaced leaves the old mark: the
-    next run takes the same window again and repairs the table.  A table
-    without a mark is scanned for its maximum.
-    """
-    if path_exists(spark, mark_path(path)):
-        return spark.read.parquet(mark_path(path)).first()["m"]
-    return high_water_mark(spark.read.parquet(path), ts_col)
-
-
-def _commit_mark(spark: SparkSession, path: str, ts_col: str | None) -> None:
-    if ts_col:
-        spark.read.parquet(path).agg(F.max(ts_col).alias("m")).coalesce(1) \
-             .write.mode("overwrite").parquet(mark_path(path))
+    """The high-water mark of a table: the largest of its partitions' marks, which
+    its pointer holds; a table of plain files is scanned for it."""
+    pointer = committed.current(spark, path)
+    if pointer is None:
+        return high_water_mark(spark.read.parquet(path), ts_col)
+    if any(e.get("mark_of") != ts_col for e in pointer.parts.values()):
+        return high_water_mark(committed.read_parts(spark, path, pointer), ts_col)
+    marks = [e["mark"] for e in pointer.parts.values() if e["mark"] is not None]
+    return max((_mark_value(m, pointer.schema[ts_col].dataType.simpleString()) for m in marks), default=None)
+
+
+def _mark_value(text: str, kind: str):
+    if kind == "date":
+        return dt.date.fromisoformat(text)
+    if kind in ("timestamp", "timestamp_ntz"):
+        return dt.datetime.fromisoformat(text)
+    return text if kind == "string" else float(text) if kind in ("double", "float") else int(text)
+
+
+# ------------------------------------------------------------- key filters
+def blocks_for(rows: int) -> int:
+    """Bitmaps (a power of two) for a partition of so many keys."""
+    return 1 << max(0, (rows * BITS_PER_KEY - 1) // BITMAP_BITS).bit_length()
+
+
+def _block_and_bits(keys: list[str], blocks: Column) -> tuple[Column, list[Column]]:
+    """A key's bitmap and the bits that it sets there."""
+    h = F.xxhash64(*[F.col(k) for k in keys])
+    g = F.xxhash64(F.lit(7), *[F.col(k) for k in keys])
+    return F.pmod(h, blocks), [F.shiftrightunsigned(g, 15 * i).bitwiseAND(F.lit(BITMAP_BITS - 1)) for i in range(PROBES)]
+
+
+def key_filters(rows: DataFrame, keys: list[str], blocks: dict[str, int], ts_col: str | None) -> DataFrame:
+    """Per table partition and block: ``bitmap``, ``rows`` and ``mark`` (maximum of
+    ``ts_col``); rows with a null in their key set no bit, as they match nothing."""
+    sizes = rows.sparkSession.createDataFrame(sorted(blocks.items()), f"{PART} string, blocks int")
+    block, bits = _block_and_bits(keys, F.col("blocks"))
+    whole = ~F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x)
+    mark = F.col(ts_col) if ts_col else F.lit(None).cast("string")
+    spread = rows.select(PART, *keys, mark.alias("mark")).join(sizes, PART) \
+        .select(PART, "blocks", block.cast("int").alias("block"), "mark",
+                F.posexplode(F.array(*[F.when(whole, b) for b in bits])).alias("probe", "bit"))
+    return spread.groupBy(PART, "blocks", "block").agg(
+        F.bitmap_construct_agg(F.col("bit")).alias("bitmap"),
+        F.count(F.when(F.col("probe") == 0, 1)).alias("rows"), F.max("mark").alias("mark"))
+
+
+def _has(bit: Column) -> Column:
+    """Whether the bitmap has the bit (bits of a byte from the lowest)."""
+    byte = F.conv(F.hex(F.substring("bitmap", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (bit % 8).cast("int")) == 1
+
+
+def parts_that_may_hold(spark: SparkSession, path: str, pointer: Pointer, batch: DataFrame, keys: list[str],
+                        parts: list[str]) -> list[str]:
+    """Of ``parts`` those whose filter passes a key of the batch.  Reads the
+    filters of these parts only; a partition without one always may."""
+    known = {p: pointer.parts[p] for p in parts if "blocks" in pointer.parts[p]}
+    sure = [p for p in parts if p not in known]
+    if not known:
+        return sorted(sure)
+    folders = sorted({f"{path}/keys/{e['write']}" for e in known.values()})
+    filters = spark.read.parquet(*folders).where(F.col(PART).isin(sorted(known)))
+    wanted = spark.createDataFrame([(p, e["write"]) for p, e in known.items()], f"{PART} string, made string")
+    # a partition that several kept writes have made counts with its current one
+    filters = filters.withColumn("made", F.element_at(F.split(F.input_file_name(), "/"), -2)) \
+        .join(wanted, [PART, "made"], "left_semi") if len(folders) > 1 else filters
+    sizes = sorted({e["blocks"] for e in known.values()})
+    probe = batch.select(*keys).dropna().withColumn("blocks", F.explode(F.array(*[F.lit(b) for b in sizes])))
+    block, bits = _block_and_bits(keys, F.col("blocks"))
+    probe = probe.select("blocks", block.cast("int").alias("block"), *[b.alias(f"b{i}") for i, b in enumerate(bits)]).distinct()
+    passed = filters.join(probe, ["blocks", "block"])
+    for i in range(PROBES):
+        passed = passed.where(_has(F.col(f"b{i}")))
+    return sorted(sure + [r[0] for r in passed.select(PART).distinct().collect()])
 
 
 def lookback_filter(batch: DataFrame, target: DataFrame | None, ts_col: str,
@@ -76,8 +146,8 @@ def lookback_filter(batch: DataFrame, target: DataFrame | None, ts_col: str,
     bound = hw - dt.timedelta(days=lookback_days)
     lit = F.lit(bound)
     dtype = dict(batch.dtypes)[ts_col]
-    if dtype == "timestamp_ntz":
-        lit = F.lit(bound.isoformat(sep=" ")).cast("timestamp_ntz")
+    if dtype in ("timestamp", "timestamp_ntz"):
+        lit = F.lit(bound.isoformat(sep=" ")).cast(dtype)
     elif dtype == "date":
         lit = F.lit(bound).cast("date")
     return batch.filter(F.col(ts_col) >= lit)
@@ -95,123 +165,121 @@ def merge_keyed(target: DataFrame, batch: DataFrame, key: str | list[str]) -> Da
     return kept.unionByName(batch)
 
 
-def _partition_filter(parts: list, partition_by: list[str], types: dict | None = None) -> Column:
-    """Predicate selecting the given partitions, flat enough for thousands of
-    values: ``isin`` for one partition column, a balanced OR tree otherwise.
-    With ``types`` the values are cast to the column's type."""
-    def lit(p, v):
-        c = F.lit(v)
-        return c.cast(types[p]) if types and p in types else c
-
-    if len(partition_by) == 1:
-        p = partition_by[0]
-        vals = sorted({r[p] for r in parts if r[p] is not None}, key=str)
-        cond = F.col(p).isin([lit(p, v) for v in vals]) if vals else F.lit(False)
-        if any(r[p] is None for r in parts):
-            cond = cond | F.col(p).isNull()
-        return cond
-    terms = []
-    for row in parts:
-        c = None
-        for p in partition_by:
-            v = row[p]
-            t = F.col(p).isNull() if v is None else (F.col(p) == lit(p, v))
-            c = t if c is None else (c & t)
-        terms.append(c)
-    while len(terms) > 1:
-        terms = [terms[i] | terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
-    return terms[0] if terms else F.lit(False)
-
-
-def _partitions(df: DataFrame, parts: list[str]) -> set[tuple]:
-    """Distinct partition values: the table is partitioned by days or months,
-    so these are as few as its folders."""
-    return {tuple(r) for r in df.select(*parts).distinct().collect()}
+def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys (without a null) that several rows hold, with their number."""
+    return rows.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
+
+
+def read_repeated(spark: SparkSession, path: str, keys: list[str]) -> DataFrame | None:
+    """The kept repeated keys of the table (``n_records`` rows each); None where
+    the table keeps none."""
+    pointer = committed.current(spark, path)
+    if pointer is None or not pointer.repeated:
+        return None
+    schema = StructType([pointer.schema[k] for k in keys]).add("n_records", LongType())
+    return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/repeated/{pointer.repeated}")
+
+
+def _put_filters(spark: SparkSession, path: str, write: str, schema: StructType, keys: list[str], ts_col: str | None,
+                 rows: dict[str, int] | None, parts: list[str]) -> dict[str, dict]:
+    """Write the filters of a write's partitions; their pointer entries."""
+    made = Pointer(0, schema, {p: {"write": write} for p in parts})
+    df = committed.read_parts(spark, path, made, with_part=True)
+    if rows is None:
+        rows = {r[0]: r[1] for r in df.groupBy(PART).count().collect()}  # a row per table partition
+    blocks = {p: blocks_for(rows[p]) for p in parts}
+    entries = {p: {"write": write, "rows": 0, "mark": None, "mark_of": ts_col, "blocks": blocks[p]} for p in parts}
+    if not parts:
+        return entries
+    key_filters(df, keys, blocks, ts_col).write.mode("overwrite").parquet(f"{path}/keys/{write}")
+    own = spark.read.parquet(f"{path}/keys/{write}").groupBy(PART) \
+        .agg(F.sum("rows").alias("n"), F.max("mark").cast("string").alias("mark"))
+    for r in own.collect():
+        entries[r[PART]].update(rows=r["n"], mark=r["mark"])
+    return entries
+
+
+def _put_repeated(spark: SparkSession, path: str, write: str, repeated: DataFrame) -> str:
+    repeated.write.mode("overwrite").parquet(f"{path}/repeated/{write}")
+    return write
 
 
 def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | list[str], *,
                  ts_col: str | None = None, lookback_days: int = 3,
-                 partition_by: list[str] | None = None, full_refresh: bool = False,
-                 staging_root: str | None = None, filtered: bool = False) -> dict:
-    """Apply ``batch`` to the parquet table at ``path``.
+                 partition_by: list[str] | None = None, full_refresh: bool = False, filtered: bool = False) -> dict:
+    """Apply ``batch`` to the committed table at ``path``.
 
-    * first load or ``full_refresh``: overwrite with the (whole) batch;
+    * first load or ``full_refresh``: the (whole) batch replaces the table;
     * otherwise filter the batch by the lookback window (unless ``filtered``
-      says that it is) and rewrite only the partitions it touches: its own,
-      plus those holding older versions of its keys (a key-only semi join).
-
-    The batch is written once to a staging folder next to the table (the
-    model is computed once, and lineage is cut).  A partitioned table is then
-    merged in one write: a dynamic partition overwrite reads the old
-    partitions, stages its files and replaces the folders when all tasks are
-    done.  An unpartitioned one is staged and swapped (its path cannot be
-    overwritten while it is read).  The high-water mark is committed last.
-    Returns a small summary.
+      says that it is) and write anew only the partitions that it touches: its
+      own, plus those holding older versions of its keys.
+
+    The batch is staged once (the model is computed once, and lineage is cut).
+    Rows, key filters and repeated keys go to folders of their own; the pointer
+    commits them together, and only then are replaced folders removed.
+    Returns a small summary: ``mode``, ``partitions`` (ids written or emptied)
+    and ``read`` (ids of old partitions whose rows were read).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    parts = list(partition_by or [])
-    if not path_exists(spark, path) or full_refresh:
-        w = clustered(batch, parts).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(path)
-        _commit_mark(spark, path, ts_col)
-        return {"mode": "full", "partitions": None}
-
-    target = spark.read.parquet(path)
+    parts, path = list(partition_by or []), path.rstrip("/")
+    pointer, write = committed.current(spark, path), committed.new_write()
+    old_files = pointer is None and committed.is_table(spark, path)  # a table of plain files
+    if full_refresh or (pointer is None and not old_files):
+        committed.put_rows(batch.withColumn(PART, committed.part_id(parts)), path, write, parts)
+        made = committed.written_parts(spark, path, write)
+        entries = _put_filters(spark, path, write, batch.schema, keys, ts_col, None, made)
+        new = Pointer(pointer.number + 1 if pointer else 1, batch.schema, entries, parts)
+        new.repeated = _put_repeated(spark, path, write, repeated_keys(committed.read_parts(spark, path, new), keys))
+        committed.point(spark, path, new)
+        committed.clean(spark, path)
+        return {"mode": "full", "partitions": None, "read": []}
+    if old_files:  # commit the files' rows first, then go on as always
+        upsert_table(spark, spark.read.parquet(path), path, key, ts_col=ts_col, partition_by=parts, full_refresh=True)
+        return upsert_table(spark, batch, path, key, ts_col=ts_col, lookback_days=lookback_days, partition_by=parts,
+                            filtered=filtered)
+
     if ts_col and not filtered:
-        batch = lookback_filter(batch, target, ts_col, lookback_days, committed_mark(spark, path, ts_col))
-    staging = (staging_root or path.rstrip("/") + "__staging") + f"/{uuid.uuid4().hex}"
-    schema = batch.schema
-    clustered(batch, parts).write.mode("overwrite").parquet(f"{staging}/batch")
-    batch = spark.read.schema(schema).parquet(f"{staging}/batch")
-    if not batch.take(1):  # nothing new inside the window: leave the table alone
+        batch = lookback_filter(batch, None, ts_col, lookback_days, committed_mark(spark, path, ts_col))
+    staging = f"{path}/staging/{write}"
+    batch.withColumn(PART, committed.part_id(parts)).write.mode("overwrite").parquet(staging)
+    staged = spark.read.schema(_with_part(batch.schema)).parquet(staging)
+    fresh = {r[0]: r[1] for r in staged.groupBy(PART).count().collect()}  # a row per table partition
+    if not fresh:  # nothing new inside the window: leave the table alone
         delete_path(spark, staging)
-        return {"mode": "incremental", "partitions": []}
-
-    if not parts:
-        merge_keyed(target, batch, keys).write.mode("overwrite").parquet(f"{staging}/merged")
-        spark.read.parquet(f"{staging}/merged").write.mode("overwrite") \
-             .option("partitionOverwriteMode", "static").parquet(path)
-        touched = None
-    else:
-        own = _partitions(batch, parts)
-        held = _partitions(target.join(batch.select(*keys), keys, "left_semi"), parts)
-        touched = sorted(own | held, key=str)
-        as_rows = [dict(zip(parts, t)) for t in touched]
-        types = {f.name: f.dataType for f in target.schema.fields}
-        old = target.filter(_partition_filter(as_rows, parts, types))
-        # partitions whose rows all go elsewhere: the overwrite does not touch
-        # them, so they are emptied by hand, after the rows are safe
-        left = held - own
-        if left:
-            gone = [dict(zip(parts, t)) for t in left]
-            rest = target.filter(_partition_filter(gone, parts, types)).join(batch.select(*keys), keys, "left_anti")
-            left = left - _partitions(rest, parts)
-        clustered(merge_keyed(old, batch, keys), parts).select(*target.columns) \
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
-        for t in left:
-            delete_path(spark, f"{path.rstrip('/')}/" + "/".join(
-                f"{_escape(p)}={_part_value(v)}" for p, v in zip(parts, t)))
-    delete_path(spark, staging)
-    _commit_mark(spark, path, ts_col)
-    return {"mode": "incremental",
-            "partitions": touched if touched is None else [tuple(map(_text, t)) for t in touched]}
-
-
-def _text(v) -> str | None:
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    return None if v is None else str(v)
-
-
-# Characters that are escaped in partition folder names.
-_SPECIAL = set('"#%\'*/:=?\\\x7f{[]^')
-
-
-def _escape(text: str) -> str:
-    return "".join(f"%{ord(c):02X}" if c in _SPECIAL or ord(c) < 0x20 else c for c in text)
-
-
-def _part_value(v) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if v is None else _escape(_text(v))
+        return {"mode": "incremental", "partitions": [], "read": []}
+
+    own = set(fresh)
+    may = parts_that_may_hold(spark, path, pointer, staged, keys, sorted(set(pointer.parts) - own))
+    held = set()
+    if may:
+        rows = committed.read_parts(spark, path, pointer, may, with_part=True)
+        held = {r[0] for r in rows.join(staged.select(*keys), keys, "left_semi").select(PART).distinct().collect()}
+    touched = sorted(own | held)
+    read = sorted(set(touched) & set(pointer.parts))
+    old = committed.read_parts(spark, path, pointer, read, with_part=True)
+    columns = [f.name for f in pointer.schema.fields]
+    merged = merge_keyed(old.select(*columns, PART), staged.select(*columns, PART), keys)
+    committed.put_rows(merged, path, write, parts)
+    made = committed.written_parts(spark, path, write)
+    most = {p: fresh.get(p, 0) + pointer.parts.get(p, {}).get("rows", 0) for p in made}
+    entries = _put_filters(spark, path, write, pointer.schema, keys, ts_col,
+                           most if all("rows" in pointer.parts[p] for p in read) else None, made)
+    before = read_repeated(spark, path, keys)
+    if before is None:
+        before = repeated_keys(committed.read_parts(spark, path, pointer), keys)
+    state = _put_repeated(spark, path, write, merge_repeated(before, staged, keys))
+    stay = {p: e for p, e in pointer.parts.items() if p not in set(touched)}
+    committed.point(spark, path, Pointer(pointer.number + 1, pointer.schema, {**stay, **entries}, parts, state))
+    committed.clean(spark, path)
+    return {"mode": "incremental", "partitions": touched, "read": read}
+
+
+def merge_repeated(before: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Repeated keys after an upsert: the batch decides for its keys, all others
+    stay as they were."""
+    stay = before.join(batch.select(*keys), keys, "left_anti")
+    return stay.unionByName(repeated_keys(batch, keys))
+
+
+def _with_part(schema: StructType) -> StructType:
+    return StructType([*schema.fields]).add(PART, StringType())

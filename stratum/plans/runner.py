@@ -30,6 +30,7 @@ from stratum.operators.freshness import freshness_report
 from stratum.operators.quality import QualityError, evaluate
 from stratum.operators.upsert import committed_mark, upsert_table
 from stratum.session import apply_defaults, path_exists
+from stratum.sources.committed import is_table, read_table
 from stratum.sources.config import LAYERS, PipelineConfig
 from stratum.sources.ingest import load_csvs, read_source
 from stratum.sources.seeds import SEEDS, load_seed
@@ -77,7 +78,7 @@ class BuildContext:
         m = MODEL_INDEX[name]
         if m.materialized in ("table", "incremental") and name not in self.building:
             p = self.path(m)
-            if not path_exists(self.spark, p):
+            if not is_table(self.spark, p):
                 raise FileNotFoundError(f"model {name} is not built yet ({p}); include it in the selection")
             df = _read_model(self, m)
         else:
@@ -145,13 +146,13 @@ def _with_layout(m: Model, df: DataFrame) -> DataFrame:
 
 
 def _read_model(ctx: BuildContext, m: Model) -> DataFrame:
-    df = ctx.spark.read.parquet(ctx.path(m))
+    df = read_table(ctx.spark, ctx.path(m))
     return df.drop(*m.partition_cols) if m.partition_cols else df
 
 
 def _build_incremental(ctx: BuildContext, m: Model, full_refresh: bool) -> dict:
     path = ctx.path(m)
-    exists = path_exists(ctx.spark, path)
+    exists = is_table(ctx.spark, path)
     if full_refresh or not exists:
         df = _with_layout(m, m.fn(ctx))
         info = upsert_table(ctx.spark, df, path, m.unique_key, full_refresh=True, ts_col=m.lookback_col,

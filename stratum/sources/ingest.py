@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from stratum.session import path_exists
+from stratum.sources.committed import read_table, replace_table
 from stratum.sources.config import PipelineConfig
 from stratum.sources.specs import SourceSpec
 
@@ -34,7 +35,7 @@ def load_csvs(spark: SparkSession, cfg: PipelineConfig, raw_dir: str,
     ``filenames`` maps logical table names to the file names of the drop
     (default: the spec's ``{name}.csv``).  All files are checked first; a
     missing one raises ``FileNotFoundError`` before anything is written.
-    Each table is replaced as a whole.
+    Each table is replaced as a whole: a load that fails leaves its old rows.
     """
     specs = list(specs)
     names = filenames or {}
@@ -45,14 +46,14 @@ def load_csvs(spark: SparkSession, cfg: PipelineConfig, raw_dir: str,
     done = []
     for s in specs:
         out = cfg.source_path(s.namespace, s.name)
-        read_csv(spark, paths[s.name], s).write.mode("overwrite").parquet(out)
+        replace_table(read_csv(spark, paths[s.name], s), out)
         done.append(out)
     return done
 
 
 def read_source(spark: SparkSession, cfg: PipelineConfig, spec: SourceSpec) -> DataFrame:
-    """A declared source as loaded by :func:`load_csvs`."""
-    return spark.read.parquet(cfg.source_path(spec.namespace, spec.name))
+    """A declared source, as loaded by :func:`load_csvs` or as plain parquet files."""
+    return read_table(spark, cfg.source_path(spec.namespace, spec.name))
 
 
 def mirror(df: DataFrame, spec: SourceSpec) -> DataFrame:

@@ -1,15 +1,13 @@
-"""Layered table sinks: ``{target_base}/{layer}/{model}`` parquet folders."""
+"""Layered table sinks: ``{target_base}/{layer}/{model}`` folders."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from stratum.sources.committed import replace_table
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Full replace of a table (snapshot materialisation)."""
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)  # few files per table partition
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    """Full replace of a table (snapshot materialisation): all of its new rows
+    count at once, and until then the old ones do."""
+    replace_table(df, path, partition_by)

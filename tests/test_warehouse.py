@@ -12,6 +12,7 @@ import fixtures
 from stratum.operators.quality import QualityError
 from stratum.plans import runner
 from stratum.plans.warehouse import MODELS
+from stratum.sources.committed import read_table
 from stratum.sources.config import PipelineConfig, resolve_target
 
 
@@ -26,7 +27,7 @@ def built(spark, tmp_path_factory):
 
 
 def gold(spark, cfg, name):
-    return {tuple(r)[0]: r for r in spark.read.parquet(cfg.model_path("gold", name)).collect()}
+    return {tuple(r)[0]: r for r in read_table(spark, cfg.model_path("gold", name)).collect()}
 
 
 def test_model_count():
@@ -84,7 +85,7 @@ def test_dimensions_misc(built):
     assert st["SP"].region == "south-east" and st["BA"].region == "north-east" and st["SP"].state_name == "SAO PAULO"
     se = gold(spark, cfg, "dim_socio_economics")
     assert (se["SP"].education_index, se["SP"].public_icu_beds, se["SP"].airports_passengers_rate) == (0.83, 60, 0.4)
-    d = spark.read.parquet(cfg.model_path("gold", "dim_date"))
+    d = read_table(spark, cfg.model_path("gold", "dim_date"))
     assert d.count() == 1338
     assert d.filter(F.col("date_id") > dt.date(2018, 10, 12)).filter("is_holiday_brazil").count() == 0
 
