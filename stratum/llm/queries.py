@@ -10,6 +10,7 @@ from stratum.llm import (
     knn_quality,
     license_scan,
     line_runs,
+    quality_votes,
     secret_scan,
     segment_search,
     simhash_trie,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_line_dedup": line_runs.op9_line_dedup,
     "op10_topk": segment_search.op10_topk,
     "op11_repair": conversation_repair.op11_repair,
+    "op12_quality_rules": quality_votes.op12_quality_rules,
     "op13_spelling": spelling_groups.op13_spelling,
 }
 
@@ -38,5 +40,6 @@ ORACLE = {
     "op9_line_dedup": line_runs.OP9_SQL,
     "op10_topk": segment_search.OP10_SQL,
     "op11_repair": conversation_repair.OP11_SQL,
+    "op12_quality_rules": quality_votes.op12_quality_rules,
     "op13_spelling": spelling_groups.OP13_SQL,
 }
