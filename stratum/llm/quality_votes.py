@@ -180,34 +180,36 @@ def posterior(model: Accuracies, names: list[str]) -> Column:
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
+def _voted(docs: DataFrame, names: list[str]) -> DataFrame:
+    """Written rows: ``row`` (the columns named), ``stat`` and ``votes``."""
+    row = F.struct(*[docs[c] for c in names]) if names else F.struct(F.lit(0).alias("none"))
+    stat = statistics(docs.select(row.alias("row"), docs["text"].alias("own")), F.col("own")).drop("own")
+    return written(stat.withColumn("votes", F.struct(*[v.alias(n) for n, v in rules().items()])), "quality-votes")
+
+
+def _verdict(voted: DataFrame, least: float) -> tuple[Column, Column, Column]:
+    """(base rules failed, kept, posterior) over written votes."""
+    names = list(rules())
+    n, p = F.col("stat.n_words"), posterior(fit(voted, names), names)
+    failed = (n < MIN_WORDS) | (100 * F.col("stat.n_repeat_words") > MAX_REPEAT_PERCENT * n)
+    return failed, ~failed & (p >= least), p
+
+
 def judge(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` (but ``text``) plus the base statistics, ``base_failed``, ``kept``
     and ``posterior`` (probability of being good)."""
     names = [c for c in docs.columns if c != "text"]
-    row = F.struct(*[docs[c] for c in names]).alias("row") if names else F.struct(F.lit(0).alias("none")).alias("row")
-    votes = rules()
-    stat = statistics(docs.select(row, docs["text"].alias("own")), F.col("own")).drop("own")
-    voted = written(stat.withColumn("votes", F.struct(*[v.alias(n) for n, v in votes.items()])), "quality-votes")
-    model = fit(voted, list(votes))
-    n = F.col("stat.n_words")
-    failed = (n < MIN_WORDS) | (100 * F.col("stat.n_repeat_words") > MAX_REPEAT_PERCENT * n)
-    p = posterior(model, list(votes))
-    out = {**{c: F.col("stat")[c] for c in BASE}, "base_failed": failed, "kept": ~failed & (p >= least), "posterior": p}
+    voted = _voted(docs, names)
+    failed, kept, p = _verdict(voted, least)
+    out = {**{c: F.col("stat")[c] for c in BASE}, "base_failed": failed, "kept": kept, "posterior": p}
     return voted.select(*[F.col("row")[c].alias(c) for c in names], *[v.alias(free_name(names, c)) for c, v in out.items()])
 
 
 def kept_documents(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, whole (a second pass over the texts)."""
-    votes = rules()
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-
-    def voted() -> DataFrame:
-        return statistics(row, F.col("row.text")).withColumn("votes", F.struct(*[v.alias(n) for n, v in votes.items()]))
-    model = fit(voted(), list(votes))
-    n = F.col("stat.n_words")
-    good = (n >= MIN_WORDS) & (100 * F.col("stat.n_repeat_words") <= MAX_REPEAT_PERCENT * n) \
-        & (posterior(model, list(votes)) >= least)
-    return voted().where(good).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    """The rows of ``docs`` that the rules keep, whole (written once with their votes)."""
+    voted = _voted(docs, docs.columns)
+    _, kept, _ = _verdict(voted, least)
+    return voted.where(kept).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
