@@ -5,13 +5,18 @@
 * ``table`` models are written (full replace) and re-read, which also cuts
   the lineage for everything downstream;
 * ``view`` / ``ephemeral`` models stay lazy DataFrames that Catalyst inlines
-  into their consumers;
+  into their consumers, unless the run would compute one more than once (it has
+  several consumers, checks among them): such a view is written once to scratch
+  and read from there (:func:`shared_views`);
 * ``incremental`` models take the lookback-window batch and are upserted on
   their unique key, or rebuilt with ``full_refresh=True``.
 
-A model's checks run after it is built (row-level checks in one scan) and
-their report is written; an ``error`` status blocks the models downstream of
-it.  Freshness is separate and never blocks.
+A model's checks run after it is built and their report is written; an
+``error`` status blocks the models downstream of it.  Row-level checks of what
+is written are counted by the job that writes it; uniqueness of an incremental
+model's key comes from the state that its table keeps; orphan checks are made
+once per parent at the end of a layer, unless a model of that layer reads the
+checked one.  Freshness is separate and never blocks.
 """
 
 from __future__ import annotations
@@ -20,27 +25,24 @@ import datetime as dt
 import time
 import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators.freshness import freshness_report
-from stratum.operators.quality import QualityError, evaluate
-from stratum.operators.upsert import committed_mark, upsert_table
-from stratum.session import apply_defaults, path_exists
+from stratum.operators.quality import (QualityError, RatioConsistency, Relationships, Skipped, evaluate,
+                                       observed, observed_report, orphan_report, row_level)
+from stratum.operators.upsert import committed_mark, read_repeated, upsert_table
+from stratum.session import apply_defaults, delete_path, path_exists, scratch_path
 from stratum.sources.committed import is_table, read_table
 from stratum.sources.config import LAYERS, PipelineConfig
 from stratum.sources.ingest import load_csvs, read_source
-from stratum.sources.seeds import SEEDS, load_seed
+from stratum.sources.seeds import SEEDS, load_seed, seed_frame
 from stratum.sources.sinks import write_table
 from stratum.sources.specs import ALL_SOURCES, MARKETPLACE, STATE_STATS
 from stratum.plans.warehouse import MODEL_INDEX, MODELS, SOURCE_CHECKS, Model
 
-# views read by more than one model are persisted for the run
-SHARED_VIEWS = {"slv_int_market__geolocation", "slv_int_ibge__states"}
-
 
 class Blocked(Exception):
     """A model reads a source or model whose checks failed."""
@@ -53,7 +55,9 @@ class BuildContext:
         self.building = building
         self.frames: dict[str, DataFrame] = {}
         self.seeds: dict[str, DataFrame] = {}
-        self.persisted: list[DataFrame] = []
+        self.shared: set[str] = set()    # views that are written once for the run
+        self.scratch: list[str] = []
+        self.seen: dict[str, tuple] = {}  # row-level checks counted while their model was written
         self.failed: set[str] = set()    # sources (``source.x``) and models whose checks failed
         self.skipped: set[str] = set()   # models that read one of those, directly or not
 
@@ -83,9 +87,12 @@ class BuildContext:
             df = _read_model(self, m)
         else:
             df = m.fn(self)
-            if name in SHARED_VIEWS:
-                df = df.persist(StorageLevel.MEMORY_AND_DISK)
-                self.persisted.append(df)
+            if name in self.shared:
+                path = scratch_path(self.spark, f"view-{name}")
+                self.scratch.append(path)
+                schema = df.schema
+                self.observe(m, df).write.mode("overwrite").parquet(path)
+                df = self.spark.read.schema(schema).parquet(path)
         self.frames[name] = df
         return df
 
@@ -95,9 +102,17 @@ class BuildContext:
             raise Blocked(name)
         return MODEL_INDEX[name].fn(self, **kw)
 
+    def observe(self, m: Model, df: DataFrame) -> DataFrame:
+        """``df``, with the model's row-level checks counted when it is written."""
+        checks = row_level(m.checks(self)) if m.checks is not None and m.name in self.building else []
+        df, seen = observed(df, checks)
+        if seen is not None:
+            self.seen[m.name] = (seen, checks)
+        return df
+
     def close(self) -> None:
-        for df in self.persisted:
-            df.unpersist()
+        for path in self.scratch:
+            delete_path(self.spark, path)
 
 
 @dataclass
@@ -186,14 +201,19 @@ def run(spark: SparkSession, cfg: PipelineConfig, select: Iterable[str] | None =
     apply_defaults(spark)
     models = selection(select, exclude)
     ctx = BuildContext(spark, cfg, {m.name for m in models})
+    graph = model_graph(spark)
+    ctx.shared = shared_views(models, graph)
     res = RunResult(run_id=uuid.uuid4().hex[:12])
     bad: list[str] = []
     try:
         if source_checks and any(m.layer == "bronze" for m in models):
             bad += _publish(spark, cfg, res, "sources", _source_report(ctx), ctx if gate else None)
         for layer in LAYERS:
-            reports = []
-            for m in (m for m in models if m.layer == layer):
+            own = [m for m in models if m.layer == layer]
+            # a model that none of its layer reads may have its orphans counted at the layer's end
+            read_here = {r for m in own for r in graph[m.name].models}
+            reports, orphans = [], []
+            for m in own:
                 t0 = time.perf_counter()
                 try:
                     _build(ctx, m, res, full_refresh)
@@ -202,12 +222,19 @@ def run(spark: SparkSession, cfg: PipelineConfig, select: Iterable[str] | None =
                     res.skipped.append(m.name)
                     continue
                 res.built.append(m.name)
-                rep = _check(ctx, m)
+                rep, later = _check(ctx, m, defer=m.name not in read_here)
+                orphans += later
                 if rep is not None and gate:  # decided before anything reads the model
                     bad += _publish(spark, cfg, res, f"{layer}/{m.name}", rep, ctx)
                 elif rep is not None:
                     reports.append(rep)
                 res.seconds[m.name] = round(time.perf_counter() - t0, 3)
+            if orphans:
+                rep = orphan_report(orphans)
+                if gate:
+                    bad += _publish(spark, cfg, res, f"{layer}/orphans", rep, ctx)
+                else:
+                    reports.append(rep)
             if reports:
                 rep = reports[0]
                 for r in reports[1:]:
@@ -222,7 +249,7 @@ def run(spark: SparkSession, cfg: PipelineConfig, select: Iterable[str] | None =
 
 def _build(ctx: BuildContext, m: Model, res: RunResult, full_refresh: bool) -> None:
     if m.materialized == "table":
-        write_table(_with_layout(m, m.fn(ctx)), ctx.path(m), m.partition_by)
+        write_table(ctx.observe(m, _with_layout(m, m.fn(ctx))), ctx.path(m), m.partition_by)
         ctx.frames[m.name] = _read_model(ctx, m)
     elif m.materialized == "incremental":
         res.incremental[m.name] = _build_incremental(ctx, m, full_refresh)
@@ -231,14 +258,37 @@ def _build(ctx: BuildContext, m: Model, res: RunResult, full_refresh: bool) -> N
         ctx.ref(m.name)
 
 
-def _check(ctx: BuildContext, m: Model) -> DataFrame | None:
-    """The model's report.  Checks against another model that is blocked
-    cannot be made, as that model's rows are not to be relied on."""
+def _resolved(check):
+    """The check with the frame that it compares with; skipped where that one's
+    rows are not to be relied on."""
     try:
-        checks = m.checks(ctx) if m.checks is not None else None
+        if isinstance(check, Relationships):
+            return replace(check, parent=check.parent())
+        if isinstance(check, RatioConsistency) and check.join_to is not None:
+            return replace(check, join_to=check.join_to())
     except Blocked:
-        return None
-    return evaluate(ctx.frames[m.name], checks, m.name) if checks else None
+        return Skipped(check.name, check.column, check.severity)
+    return check
+
+
+def _check(ctx: BuildContext, m: Model, defer: bool) -> tuple[DataFrame | None, list[tuple]]:
+    """The model's report, and the (table, frame, check) orphan checks to be made
+    at the end of the layer."""
+    checks = [_resolved(c) for c in (m.checks(ctx) if m.checks is not None else [])]
+    df = ctx.frames[m.name]
+    later = [(m.name, df, c) for c in checks if isinstance(c, Relationships)] if defer else []
+    left = [c for c in checks if not (defer and isinstance(c, Relationships))]
+    rep = None
+    if m.name in ctx.seen:
+        seen, flat = ctx.seen[m.name]
+        rep = observed_report(ctx.spark, seen, flat, m.name)
+        left = [c for c in left if c not in row_level(left)]
+    kept = {}
+    if m.materialized == "incremental":
+        own = read_repeated(ctx.spark, ctx.path(m), [m.unique_key])
+        kept = {} if own is None else {(m.unique_key,): own}
+    rest = evaluate(df, left, m.name, repeated=kept)
+    return (rest if rep is None else rep if rest is None else rep.unionByName(rest)), later
 
 
 def _source_report(ctx: BuildContext) -> DataFrame | None:
@@ -276,6 +326,61 @@ def freshness(spark: SparkSession, cfg: PipelineConfig, as_of: dt.datetime) -> D
     return rep
 
 
+@dataclass
+class Reads:
+    """What a model reads: by its function, and by its checks (a name per check);
+    ``jobs``: passes over the model itself that its checks make."""
+    models: set[str] = field(default_factory=set)
+    checks: list[str] = field(default_factory=list)
+    jobs: int = 0
+
+
+_GRAPH: dict[str, Reads] = {}
+
+
+def model_graph(spark: SparkSession) -> dict[str, Reads]:
+    """Who reads what, noted while every model is planned once over empty tables
+    (no job runs; once per process)."""
+    if not _GRAPH:
+        ctx = _Noting(spark)
+        for m in MODELS:
+            ctx.ref(m.name)
+            checks = m.checks(ctx) if m.checks is not None else []
+            ctx.at.append(None)
+            for c in checks:
+                before = len(ctx.loose)
+                _resolved(c)
+                ctx.graph[m.name].checks += ctx.loose[before:]
+            ctx.at.pop()
+            ctx.graph[m.name].jobs = bool(row_level(checks)) + len(checks) - len(row_level(checks))
+        _GRAPH.update(ctx.graph)
+    return _GRAPH
+
+
+def shared_views(models: list[Model], graph: dict[str, Reads]) -> set[str]:
+    """Views that building and checking ``models`` would compute more than once."""
+    needed, todo = set(), [m.name for m in models]
+    while todo:  # the models and the views below them
+        name = todo.pop()
+        if name not in needed:
+            needed.add(name)
+            todo += [r for r in graph[name].models if MODEL_INDEX[r].materialized in ("view", "ephemeral")]
+    chosen = {m.name for m in models}
+    uses: dict[str, int] = {}
+
+    def of(name: str) -> int:
+        if name not in uses:
+            n = graph[name].jobs if name in chosen else 0
+            n += sum(graph[c].checks.count(name) for c in chosen)
+            for c in needed:
+                if name in graph[c].models:
+                    # an inlined view is computed whenever its own consumers are
+                    n += of(c) if MODEL_INDEX[c].materialized in ("view", "ephemeral") and of(c) < 2 else 1
+            uses[name] = n
+        return uses[name]
+    return {n for n in needed if MODEL_INDEX[n].materialized in ("view", "ephemeral") and of(n) >= 2}
+
+
 class LazyContext(BuildContext):
     """Resolve every model as a lazy DataFrame over given source frames (no
     writes): the whole model graph becomes one Catalyst plan per output."""
@@ -300,6 +405,35 @@ class LazyContext(BuildContext):
         return self.frames[name]
 
 
+class _Noting(LazyContext):
+    """Plans models over empty tables and notes what each one reads."""
+
+    def __init__(self, spark: SparkSession):
+        super().__init__(spark, lambda n: spark.createDataFrame([], ALL_SOURCES[n].schema),
+                         lambda n: seed_frame(spark, [], SEEDS[n].schema.simpleString()[7:-1].replace(":", " "), SEEDS[n].key))
+        self.graph: dict[str, Reads] = {m.name: Reads() for m in MODELS}
+        self.at: list[str | None] = [None]
+        self.loose: list[str] = []      # what checks read
+
+    def _note(self, name: str) -> None:
+        if self.at[-1] is None:
+            self.loose.append(name)
+        else:
+            self.graph[self.at[-1]].models.add(name)
+
+    def ref(self, name: str) -> DataFrame:
+        self._note(name)
+        if name not in self.frames:
+            self.at.append(name)
+            self.frames[name] = MODEL_INDEX[name].fn(self)
+            self.at.pop()
+        return self.frames[name]
+
+    def ref_with(self, name: str, **kw) -> DataFrame:
+        self._note(name)
+        return MODEL_INDEX[name].fn(self, **kw)
+
+
 # --------------------------------------------------------------------- jobs
 def standard_job(spark: SparkSession, cfg: PipelineConfig, gate: bool = True) -> RunResult:
     """Build every model, incremental models incrementally, checks gating."""

@@ -381,7 +381,7 @@ def _nn_unique(col):
 
 
 def _rel(ctx, col, parent, to=None, name=None):
-    return Relationships(name or f"relationships_{col}_{parent}", col, parent=ctx.ref(parent), to_column=to or col)
+    return Relationships(name or f"relationships_{col}_{parent}", col, parent=lambda: ctx.ref(parent), to_column=to or col)
 
 
 # The accepted payment types and raw order states.
@@ -423,7 +423,8 @@ SOURCE_CHECKS = {
 
 
 def _icu_ratio_checks(ctx):
-    st = ctx.ref("slv_stg_ibge__states").select("state_id", "population")
+    def st():
+        return ctx.ref("slv_stg_ibge__states").select("state_id", "population")
     return [RatioConsistency("ratio_public_beds", "public_beds_per_10k_citizens", "public_beds", "population",
                              scale=10000, join_to=st, join_on="state_id"),
             RatioConsistency("ratio_private_beds", "private_beds_per_10k_citizens", "private_beds", "population",
