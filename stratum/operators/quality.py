@@ -251,12 +251,16 @@ def observed(df: DataFrame, checks: Sequence) -> tuple[DataFrame, Observation |
     return df.observe(seen, *_counts(checks)), seen
 
 
+def report_of(spark: SparkSession, counted: Sequence[tuple], table: str) -> DataFrame:
+    """The report of (check, violations) pairs that are known already."""
+    rows = [(table, c.name, c.column, int(n), "pass" if n == 0 else c.severity) for c, n in counted]
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
 def observed_report(spark: SparkSession, seen: Observation, checks: Sequence, table: str) -> DataFrame:
     """The report of checks that were observed during a write that has ended."""
     got = seen.get
-    rows = [(table, c.name, c.column, int(n := got[f"c{i}"]), "pass" if n == 0 else c.severity)
-            for i, c in enumerate(checks)]
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+    return report_of(spark, [(c, got[f"c{i}"]) for i, c in enumerate(checks)], table)
 
 
 def orphan_counts(parent: DataFrame, to_column: str, children: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:

@@ -13,7 +13,9 @@ The table is a committed one (:mod:`stratum.sources.committed`): a run that dies
 at any step leaves the rows of the last commit, and the next run goes on from
 them.  Beside the rows it keeps, per table partition,
 
-* the maximum of ``ts``, so the high-water mark is read from the pointer;
+* the maximum of ``ts``, so the high-water mark is read from the pointer, and
+  the counts asked for (rows that violate a check, say), so that those of the
+  table are sums;
 * a filter of the partition's keys: every key sets ``PROBES`` bits of one bitmap,
   so a batch finds the partitions that may hold its keys without reading the key
   column of all history (a key that a partition does not hold passes its filter
@@ -85,19 +87,14 @@ def _block_and_bits(keys: list[str], blocks: Column) -> tuple[Column, list[Colum
     return F.pmod(h, blocks), [F.shiftrightunsigned(g, 15 * i).bitwiseAND(F.lit(BITMAP_BITS - 1)) for i in range(PROBES)]
 
 
-def key_filters(rows: DataFrame, keys: list[str], blocks: dict[str, int], ts_col: str | None) -> DataFrame:
-    """Per table partition and block: ``bitmap``, ``rows`` and ``mark`` (maximum of
-    ``ts_col``); rows with a null in their key set no bit, as they match nothing."""
+def key_filters(rows: DataFrame, keys: list[str], blocks: dict[str, int]) -> DataFrame:
+    """Per table partition and block its ``bitmap``; rows with a null in their key
+    set no bit, as they match nothing."""
     sizes = rows.sparkSession.createDataFrame(sorted(blocks.items()), f"{PART} string, blocks int")
     block, bits = _block_and_bits(keys, F.col("blocks"))
-    whole = ~F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x)
-    mark = F.col(ts_col) if ts_col else F.lit(None).cast("string")
-    spread = rows.select(PART, *keys, mark.alias("mark")).join(sizes, PART) \
-        .select(PART, "blocks", block.cast("int").alias("block"), "mark",
-                F.posexplode(F.array(*[F.when(whole, b) for b in bits])).alias("probe", "bit"))
-    return spread.groupBy(PART, "blocks", "block").agg(
-        F.bitmap_construct_agg(F.col("bit")).alias("bitmap"),
-        F.count(F.when(F.col("probe") == 0, 1)).alias("rows"), F.max("mark").alias("mark"))
+    spread = rows.select(PART, *keys).dropna(subset=keys).join(sizes, PART) \
+        .select(PART, "blocks", block.cast("int").alias("block"), F.explode(F.array(*bits)).alias("bit"))
+    return spread.groupBy(PART, "blocks", "block").agg(F.bitmap_construct_agg(F.col("bit")).alias("bitmap"))
 
 
 def _has(bit: Column) -> Column:
@@ -180,22 +177,35 @@ def read_repeated(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
     return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/repeated/{pointer.repeated}")
 
 
+def kept_counts(spark: SparkSession, path: str, names: list[str]) -> dict[str, int] | None:
+    """Sums over the table of the counts kept with its partitions; None where a
+    partition lacks one."""
+    pointer = committed.current(spark, path)
+    if pointer is None or any(n not in e.get("counts", {}) for e in pointer.parts.values() for n in names):
+        return None
+    return {n: sum(e["counts"][n] for e in pointer.parts.values()) for n in names}
+
+
+def _part_entries(df: DataFrame, write: str, ts_col: str | None, counts: dict[str, Column]) -> dict[str, dict]:
+    """Pointer entries of a write's partitions: rows, mark and counts, in one scan
+    (a row per table partition comes back)."""
+    mark = F.max(ts_col).cast("string") if ts_col else F.lit(None).cast("string")
+    own = df.groupBy(PART).agg(F.count(F.lit(1)).alias("n"), mark.alias("mark"),
+                               *[F.count(F.when(c, 1)).alias(f"c{i}") for i, c in enumerate(counts.values())])
+    return {r[PART]: {"write": write, "rows": r["n"], "mark": r["mark"], "mark_of": ts_col, "blocks": blocks_for(r["n"]),
+                      "counts": {n: r[f"c{i}"] for i, n in enumerate(counts)}} for r in own.collect()}
+
+
 def _put_filters(spark: SparkSession, path: str, write: str, schema: StructType, keys: list[str], ts_col: str | None,
-                 rows: dict[str, int] | None, parts: list[str]) -> dict[str, dict]:
-    """Write the filters of a write's partitions; their pointer entries."""
-    made = Pointer(0, schema, {p: {"write": write} for p in parts})
+                 counts: dict[str, Column]) -> dict[str, dict]:
+    """Write the key filters of a write's partitions; their pointer entries."""
+    made = Pointer(0, schema, {p: {"write": write} for p in committed.written_parts(spark, path, write)})
+    if not made.parts:
+        return {}
     df = committed.read_parts(spark, path, made, with_part=True)
-    if rows is None:
-        rows = {r[0]: r[1] for r in df.groupBy(PART).count().collect()}  # a row per table partition
-    blocks = {p: blocks_for(rows[p]) for p in parts}
-    entries = {p: {"write": write, "rows": 0, "mark": None, "mark_of": ts_col, "blocks": blocks[p]} for p in parts}
-    if not parts:
-        return entries
-    key_filters(df, keys, blocks, ts_col).write.mode("overwrite").parquet(f"{path}/keys/{write}")
-    own = spark.read.parquet(f"{path}/keys/{write}").groupBy(PART) \
-        .agg(F.sum("rows").alias("n"), F.max("mark").cast("string").alias("mark"))
-    for r in own.collect():
-        entries[r[PART]].update(rows=r["n"], mark=r["mark"])
+    entries = _part_entries(df, write, ts_col, counts)
+    key_filters(df, keys, {p: e["blocks"] for p, e in entries.items()}) \
+        .write.mode("overwrite").parquet(f"{path}/keys/{write}")
     return entries
 
 
@@ -206,7 +216,8 @@ def _put_repeated(spark: SparkSession, path: str, write: str, repeated: DataFram
 
 def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | list[str], *,
                  ts_col: str | None = None, lookback_days: int = 3,
-                 partition_by: list[str] | None = None, full_refresh: bool = False, filtered: bool = False) -> dict:
+                 partition_by: list[str] | None = None, full_refresh: bool = False, filtered: bool = False,
+                 counts: dict[str, Column] | None = None) -> dict:
     """Apply ``batch`` to the committed table at ``path``.
 
     * first load or ``full_refresh``: the (whole) batch replaces the table;
@@ -217,38 +228,39 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | li
     The batch is staged once (the model is computed once, and lineage is cut).
     Rows, key filters and repeated keys go to folders of their own; the pointer
     commits them together, and only then are replaced folders removed.
+    ``counts``: conditions whose rows are counted per table partition, and kept
+    (:func:`kept_counts`): a run counts only in the partitions that it writes.
     Returns a small summary: ``mode``, ``partitions`` (ids written or emptied)
     and ``read`` (ids of old partitions whose rows were read).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    parts, path = list(partition_by or []), path.rstrip("/")
+    parts, path, counts = list(partition_by or []), path.rstrip("/"), dict(counts or {})
     pointer, write = committed.current(spark, path), committed.new_write()
     old_files = pointer is None and committed.is_table(spark, path)  # a table of plain files
     if full_refresh or (pointer is None and not old_files):
         committed.put_rows(batch.withColumn(PART, committed.part_id(parts)), path, write, parts)
-        made = committed.written_parts(spark, path, write)
-        entries = _put_filters(spark, path, write, batch.schema, keys, ts_col, None, made)
+        entries = _put_filters(spark, path, write, batch.schema, keys, ts_col, counts)
         new = Pointer(pointer.number + 1 if pointer else 1, batch.schema, entries, parts)
         new.repeated = _put_repeated(spark, path, write, repeated_keys(committed.read_parts(spark, path, new), keys))
         committed.point(spark, path, new)
         committed.clean(spark, path)
         return {"mode": "full", "partitions": None, "read": []}
     if old_files:  # commit the files' rows first, then go on as always
-        upsert_table(spark, spark.read.parquet(path), path, key, ts_col=ts_col, partition_by=parts, full_refresh=True)
+        upsert_table(spark, spark.read.parquet(path), path, key, ts_col=ts_col, partition_by=parts, full_refresh=True,
+                     counts=counts)
         return upsert_table(spark, batch, path, key, ts_col=ts_col, lookback_days=lookback_days, partition_by=parts,
-                            filtered=filtered)
+                            filtered=filtered, counts=counts)
 
     if ts_col and not filtered:
         batch = lookback_filter(batch, None, ts_col, lookback_days, committed_mark(spark, path, ts_col))
     staging = f"{path}/staging/{write}"
     batch.withColumn(PART, committed.part_id(parts)).write.mode("overwrite").parquet(staging)
     staged = spark.read.schema(_with_part(batch.schema)).parquet(staging)
-    fresh = {r[0]: r[1] for r in staged.groupBy(PART).count().collect()}  # a row per table partition
-    if not fresh:  # nothing new inside the window: leave the table alone
+    own = {r[0] for r in staged.select(PART).distinct().collect()}  # a row per table partition
+    if not own:  # nothing new inside the window: leave the table alone
         delete_path(spark, staging)
         return {"mode": "incremental", "partitions": [], "read": []}
 
-    own = set(fresh)
     may = parts_that_may_hold(spark, path, pointer, staged, keys, sorted(set(pointer.parts) - own))
     held = set()
     if may:
@@ -260,10 +272,7 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | li
     columns = [f.name for f in pointer.schema.fields]
     merged = merge_keyed(old.select(*columns, PART), staged.select(*columns, PART), keys)
     committed.put_rows(merged, path, write, parts)
-    made = committed.written_parts(spark, path, write)
-    most = {p: fresh.get(p, 0) + pointer.parts.get(p, {}).get("rows", 0) for p in made}
-    entries = _put_filters(spark, path, write, pointer.schema, keys, ts_col,
-                           most if all("rows" in pointer.parts[p] for p in read) else None, made)
+    entries = _put_filters(spark, path, write, pointer.schema, keys, ts_col, counts)
     before = read_repeated(spark, path, keys)
     if before is None:
         before = repeated_keys(committed.read_parts(spark, path, pointer), keys)

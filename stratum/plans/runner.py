@@ -13,8 +13,8 @@
 
 A model's checks run after it is built and their report is written; an
 ``error`` status blocks the models downstream of it.  Row-level checks of what
-is written are counted by the job that writes it; uniqueness of an incremental
-model's key comes from the state that its table keeps; orphan checks are made
+is written are counted by the job that writes it; an incremental model's row-level
+counts and the uniqueness of its key come from the state that its table keeps; orphan checks are made
 once per parent at the end of a layer, unless a model of that layer reads the
 checked one.  Freshness is separate and never blocks.
 """
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from stratum.operators.freshness import freshness_report
 from stratum.operators.quality import (QualityError, RatioConsistency, Relationships, Skipped, evaluate,
-                                       observed, observed_report, orphan_report, row_level)
-from stratum.operators.upsert import committed_mark, read_repeated, upsert_table
+                                       observed, observed_report, orphan_report, report_of, row_level)
+from stratum.operators.upsert import committed_mark, kept_counts, read_repeated, upsert_table
 from stratum.session import apply_defaults, delete_path, path_exists, scratch_path
 from stratum.sources.committed import is_table, read_table
 from stratum.sources.config import LAYERS, PipelineConfig
@@ -165,25 +165,23 @@ def _read_model(ctx: BuildContext, m: Model) -> DataFrame:
     return df.drop(*m.partition_cols) if m.partition_cols else df
 
 
+def _check_key(check) -> str:
+    return f"{check.name}({check.column})"
+
+
 def _build_incremental(ctx: BuildContext, m: Model, full_refresh: bool) -> dict:
     path = ctx.path(m)
-    exists = is_table(ctx.spark, path)
-    if full_refresh or not exists:
-        df = _with_layout(m, m.fn(ctx))
-        info = upsert_table(ctx.spark, df, path, m.unique_key, full_refresh=True, ts_col=m.lookback_col,
-                            partition_by=m.partition_by)
-        return {**info, "since": None}
-    hw = committed_mark(ctx.spark, path, m.lookback_col)
-    if hw is None:  # empty target: first load (documented deviation)
+    counts = {_check_key(c): c.violation() for c in row_level(m.checks(ctx) if m.checks is not None else [])}
+    how = {"ts_col": m.lookback_col, "partition_by": m.partition_by, "counts": counts}
+    hw = committed_mark(ctx.spark, path, m.lookback_col) if is_table(ctx.spark, path) and not full_refresh else None
+    if hw is None:  # no target, or an empty one: first load (documented deviation)
         df = _with_layout(m, m.fn(ctx))
-        return {**upsert_table(ctx.spark, df, path, m.unique_key, full_refresh=True, ts_col=m.lookback_col,
-                               partition_by=m.partition_by), "since": None}
+        return {**upsert_table(ctx.spark, df, path, m.unique_key, full_refresh=True, **how), "since": None}
     since = hw - dt.timedelta(days=m.lookback_days)
     since_lit = F.lit(since.isoformat(sep=" ") if isinstance(since, dt.datetime) else since.isoformat())
     since_col = since_lit.cast("timestamp_ntz") if isinstance(since, dt.datetime) else since_lit.cast("date")
     batch = _with_layout(m, m.fn(ctx, since=since_col))
-    info = upsert_table(ctx.spark, batch, path, m.unique_key, ts_col=m.lookback_col, partition_by=m.partition_by,
-                        filtered=True)
+    info = upsert_table(ctx.spark, batch, path, m.unique_key, filtered=True, **how)
     return {**info, "since": str(since)}
 
 
@@ -285,6 +283,11 @@ def _check(ctx: BuildContext, m: Model, defer: bool) -> tuple[DataFrame | None,
         left = [c for c in left if c not in row_level(left)]
     kept = {}
     if m.materialized == "incremental":
+        flat = row_level(left)
+        sums = kept_counts(ctx.spark, ctx.path(m), [_check_key(c) for c in flat])
+        if flat and sums is not None:
+            rep = report_of(ctx.spark, [(c, sums[_check_key(c)]) for c in flat], m.name)
+            left = [c for c in left if c not in flat]
         own = read_repeated(ctx.spark, ctx.path(m), [m.unique_key])
         kept = {} if own is None else {(m.unique_key,): own}
     rest = evaluate(df, left, m.name, repeated=kept)

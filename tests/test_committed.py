@@ -35,8 +35,8 @@ STEPS = [(committed, "put_rows"), (upsert, "parts_that_may_hold"), (committed, "
          (upsert, "_put_filters"), (upsert, "_put_repeated"), (committed, "point"), (committed, "clean")]
 
 
-@pytest.mark.parametrize("step", range(len(STEPS)))
-@pytest.mark.parametrize("late, parts", [(False, ["month"]), (True, None), (True, ["month"])])
+@pytest.mark.parametrize("step, late, parts", [*((s, False, ["month"]) for s in range(len(STEPS))),
+                                               (0, True, ["month"]), (3, True, None), (5, True, ["month"])])
 def test_a_run_that_dies_loses_nothing(spark, tmp, monkeypatch, step, parts, late):
     """``late``: the step's work is done before the run dies, else it dies first."""
     path = f"{tmp}/t"
@@ -129,13 +129,23 @@ def test_random_upserts(spark, tmp):
         assert committed_mark(spark, path, "ts") == mark == high_water_mark(read_table(spark, path), "ts")
         batch = some(8, 1, 90, range(250 + 10 * k, 310 + 10 * k))
         before = table
-        info = upsert_table(spark, rows(spark, batch), path, "id", ts_col="ts", lookback_days=40, partition_by=["month"])
+        odd = {"odd": F.col("id") % 2 == 1, "late": F.col("ts") > D(2019, 6, 1)}
+        info = upsert_table(spark, rows(spark, batch), path, "id", ts_col="ts", lookback_days=40, partition_by=["month"],
+                            counts=odd if k else {})
         table = model_upsert(table, batch, mark)
+        if k == 0:   # what no run has counted is not there
+            assert upsert.kept_counts(spark, path, ["odd"]) is None
+            upsert_table(spark, rows(spark, table), path, "id", ts_col="ts", partition_by=["month"], full_refresh=True,
+                         counts=odd)
+        assert upsert.kept_counts(spark, path, ["odd", "late"]) == {
+            "odd": sum(r[0] % 2 for r in table), "late": sum(r[1] > D(2019, 6, 1) for r in table)}
         assert held(spark, path) == sorted((r[0], r[2]) for r in table)
         full = Unique("u", ["id"]).rows(read_table(spark, path))
         kept = read_repeated(spark, path, ["id"])
         assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, full.collect()))
         # old partitions that were read: the batch's months, and those that held its keys
+        if k == 0:
+            continue
         new = [r for r in table if r not in before]
         months = {r[1].strftime("%Y-%m") for r in new} | {r[1].strftime("%Y-%m") for r in before
                                                           if r[0] in {x[0] for x in new}}
