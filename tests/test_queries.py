@@ -8,12 +8,12 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from stratum.plans import testdata, warehouse_queries
+from stratum.plans import quality_queries, testdata, warehouse_queries
 
 SF = os.environ.get("STRATUM_TEST_SF", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
 
-NAMES = sorted([*testdata.QUERIES, *warehouse_queries.QUERIES])
+NAMES = sorted([*testdata.QUERIES, *warehouse_queries.QUERIES, *quality_queries.QUERIES])
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test tables not present")
 
