@@ -12,17 +12,22 @@ one row per task).
 unit of its own, so the units grow with the corpus; every other word, seen or
 not, belongs to the unit of its ending (last four bytes, hashed to ``endings``
 units), as a rare word by itself shows too few neighbours.  Tasks know the units
-of the ``head`` most frequent words from a broadcast.  Other words go by a
-62-bit hash (equal hashes share a unit), and where the head leaves out words
-seen ``least`` times, what involves one is joined to the table of their classes.
-
-*Exchange*: each round reads all training texts and counts, for every unit, the
-classes left and right of it, as a table.  These sums decide the moves: a unit
-is taken out of its class and put where the likelihood of the class bigrams is
-highest.  The ``frequent`` most frequent words, the endings and the end move on
-the driver, one after the other by falling count; then all other units, in
-``BATCHES`` batches whose units move at once.  A last pass counts the
-transitions of the final classes.
+of the ``head`` most frequent words from a broadcast.  Beyond it a broadcast
+filter of ``FILTER_BITS`` bits, set by the hashes of all other words seen
+``least`` times, tells most rare words, which go by their ending at once; words
+that pass it go by a 62-bit hash (equal hashes share a unit), and only what
+involves one of them is joined to the table of their classes.
+
+*Bigrams*: one pass over the training texts counts neighbouring units, as one row
+per unit with the units beside it and their counts; pairs that involve a hash are
+a table of rows.  All rounds work on these two tables.
+
+*Exchange*: each round adds up, for every unit, the classes left and right of it.
+These sums decide the moves: a unit is taken out of its class and put where the
+likelihood of the class bigrams is highest.  The ``frequent`` most frequent words,
+the endings and the end move on the driver, one after the other by falling count;
+then all other units, in ``BATCHES`` batches whose units move at once.  A last
+pass counts the transitions of the final classes.
 
 *Scoring*: one pass over all texts.  Counts of the most frequent ``head`` words
 are broadcast; the other words of a document are joined to the count table, so
@@ -48,7 +53,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import crc_mod, free_name, table, text_blocks, text_bytes, written
+from stratum.llm.common import crc_mod, drop, free_name, table, text_blocks, text_bytes, written
 
 #: Distinct words a counting task holds before it passes their counts on.
 HELD_WORDS = 300_000
@@ -61,6 +66,12 @@ END_WORD = b""
 BATCHES = 4
 #: Units whose neighbour counts a task holds, about.
 HELD_UNITS = 50_000
+#: Distinct bigrams that a counting task holds before it passes them on.
+HELD_PAIRS = 1_500_000
+#: Bits of the filter of words beyond the head (8 MB), and of one of its parts,
+#: as the engine's bitmap functions have it.
+FILTER_BITS = 1 << 26
+BITMAP_BITS = 32768
 
 
 def _count_words(batches):
@@ -107,13 +118,15 @@ class Units:
 
     Units from 0: the frequent words, the endings, the end (the core, moved on
     the driver), then the head's other words seen ``least`` times.  Negative:
-    words beyond the head (only if ``tail``), see :meth:`key`."""
+    words beyond the head that pass the filter ``bits`` (None: none do), see
+    :meth:`key`."""
 
-    def __init__(self, head: list[tuple[bytes, int]], frequent: int, endings: int, least: int, tail: bool):
+    def __init__(self, head: list[tuple[bytes, int]], frequent: int, endings: int, least: int):
         self.index = {w: i for i, (w, _) in enumerate(head)}
         self.counts = np.array([n for _, n in head], np.int64)
         own = int((self.counts >= least).sum())
-        self.frequent, self.endings, self.tail, self.least = min(frequent, own), endings, tail, least
+        self.frequent, self.endings, self.least = min(frequent, own), endings, least
+        self.bits: bytes | None = None
         self.core = self.frequent + endings + 1
         self.end = self.core - 1
         self.size = self.core + own - self.frequent
@@ -133,16 +146,44 @@ class Units:
     def ending_of_key(self, key: np.ndarray) -> np.ndarray:
         return self.frequent + (-1 - key) % self.endings
 
+    def beyond(self, word: bytes) -> int:
+        """Unit of a word that the head lacks: its key if it passes the filter,
+        else that of its ending."""
+        if self.bits is None:
+            return self.of_ending(word)
+        key = self.key(word)
+        at = (-1 - key) // self.endings % FILTER_BITS
+        return key if self.bits[at >> 3] >> (at & 7) & 1 else int(self.ending_of_key(key))
+
     def of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(unit, number in the head or -1) of words."""
         at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         unit = self.of_head[at] if len(self.of_head) else np.zeros(len(words), np.int64)
-        other = self.key if self.tail else self.of_ending
+        known: dict[bytes, int] = {}
         for i in np.flatnonzero(at < 0).tolist():
-            unit[i] = other(words[i])
+            w = words[i]
+            u = known.get(w)
+            if u is None:
+                u = known[w] = self.beyond(w)
+            unit[i] = u
         return unit, at
 
 
+def far_filter(far: DataFrame, endings: int) -> bytes | None:
+    """The filter of the units beyond the head (column ``unit``): at most
+    FILTER_BITS / BITMAP_BITS rows of 4 KB come to the driver."""
+    at = F.expr(f"pmod((-1 - unit) div {endings}, {FILTER_BITS})")
+    got = far.select(at.alias("at")).groupBy(F.expr(f"at div {BITMAP_BITS}").alias("part")) \
+        .agg(F.bitmap_construct_agg(F.expr(f"at % {BITMAP_BITS}")).alias("bits")).collect()
+    if not got:
+        return None
+    out = bytearray(FILTER_BITS // 8)
+    step = BITMAP_BITS // 8
+    for r in got:
+        out[r["part"] * step:(r["part"] + 1) * step] = r["bits"]
+    return bytes(out)
+
+
 def _line_up(units: Units, texts: list[bytes]):
     """Units of all texts of a block, an end before, between and after them."""
     words, sizes = [], []
@@ -182,28 +223,101 @@ def _grid(codes: pa.Array, counts: pa.Array, width: int) -> np.ndarray:
     return grid
 
 
-def _neighbours(shared: Broadcast, classes: int):
-    """Per task: how often a class stands left (codes under ``classes + 1``) and
-    right of a unit, where both words' units are known."""
+def _pair_lists(units: np.ndarray, codes: np.ndarray, counts: np.ndarray, step: int = 1 << 18):
+    """Rows (unit, code, n) of entries sorted by unit; about ``step`` entries a batch."""
+    first = np.flatnonzero(np.concatenate([[True], units[1:] != units[:-1]])) if len(units) else np.empty(0, np.int64)
+    ends = np.append(first[1:], len(units))
+    cuts = np.flatnonzero(np.diff(ends // step)) + 1
+    for lo, hi in zip([0, *cuts], [*cuts, len(first)]):
+        if lo == hi:
+            continue
+        s, e = first[lo], ends[hi - 1]
+        offsets = pa.array(np.append(first[lo:hi], e) - s, pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(units[first[lo:hi]].astype(np.int64)),
+             pa.ListArray.from_arrays(offsets, pa.array(codes[s:e].astype(np.int32))),
+             pa.ListArray.from_arrays(offsets, pa.array(counts[s:e].astype(np.int64)))], ["unit", "code", "n"])
+
+
+def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, sorted, and their sums."""
+    order = np.argsort(codes, kind="stable")
+    codes, counts = codes[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.empty(0, np.int64)
+    return codes[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _bigrams(shared: Broadcast):
+    """Per task: units beside every unit (code: the unit to the left, or size + the
+    unit to the right), where both words' units are known."""
     def rows(batches):
-        units, class_of = shared.value
-        width = classes + 1
-        total, held = np.zeros(units.size * 2 * width, np.int32), 0
+        units = shared.value
+        size = units.size
+        codes, counts, parts, pending = np.empty(0, np.int64), np.empty(0, np.int64), [], 0
+
+        def merged():
+            return _summed(np.concatenate([codes, *[p[0] for p in parts]]), np.concatenate([counts, *[p[1] for p in parts]]))
+
+        def out():
+            left, right = codes // size, codes % size
+            yield from _pair_lists(left, size + right, counts)
+            order = np.argsort(right, kind="stable")
+            yield from _pair_lists(right[order], left[order], counts[order])
         for batch in batches:
             for block in text_blocks(batch.column(0)):
-                _, _, _, _, line = _line_up(units, text_bytes(block))
+                *_, line = _line_up(units, text_bytes(block))
                 left, right = line[:-1], line[1:]
-                if units.tail:
+                if units.bits is not None:
                     known = (left >= 0) & (right >= 0)
                     left, right = left[known], right[known]
-                if held + 2 * len(left) >= 1 << 31:
-                    yield from _lists(np.arange(units.size), total.reshape(units.size, -1))
-                    total[:], held = 0, 0
-                keys = np.concatenate([right * 2 * width + class_of[left], left * 2 * width + width + class_of[right]])
-                found, n = np.unique(keys, return_counts=True)
-                total[found] += n.astype(np.int32)
-                held += len(keys)
-        yield from _lists(np.arange(units.size), total.reshape(units.size, -1))
+                parts.append(np.unique(left * size + right, return_counts=True))
+                pending += len(parts[-1][0])
+                if pending > HELD_PAIRS:
+                    codes, counts = merged()
+                    parts, pending = [], 0
+                    if len(codes) > HELD_PAIRS:
+                        yield from out()
+                        codes, counts = codes[:0], counts[:0]
+        codes, counts = merged()
+        yield from out()
+    return rows
+
+
+def _merge_lists(size: int):
+    """One row (unit, code, n) per unit, of rows that come sorted by unit."""
+    def rows(batches):
+        held = [np.empty(0, np.int64)] * 3      # entries of the last unit, which the next batch may go on with
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            code, n = batch.column(1), batch.column(2)
+            unit = np.repeat(batch.column(0).to_numpy(), np.diff(code.offsets.to_numpy()))
+            unit = np.concatenate([held[0], unit])
+            code = np.concatenate([held[1], code.flatten().to_numpy().astype(np.int64)])
+            key, n = _summed(unit * (2 * size) + code, np.concatenate([held[2], n.flatten().to_numpy()]))
+            unit, code = key // (2 * size), key % (2 * size)
+            cut = np.searchsorted(unit, unit[-1]) if len(unit) else 0
+            yield from _pair_lists(unit[:cut], code[:cut], n[:cut])
+            held = [unit[cut:], code[cut:], n[cut:]]
+        yield from _pair_lists(*held)
+    return rows
+
+
+def _class_counts(shared: Broadcast, classes: int):
+    """How often a class stands left (codes under ``classes + 1``) and right of a
+    unit, from the units beside it."""
+    def rows(batches):
+        units, class_of = shared.value
+        width = classes + 1
+        of_code = np.concatenate([class_of, width + class_of]).astype(np.int32)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            code, n = batch.column(1), batch.column(2)
+            sizes = np.diff(code.offsets.to_numpy())
+            at = np.repeat(np.arange(len(sizes)), sizes) * (2 * width) + of_code[code.flatten().to_numpy()]
+            grid = np.bincount(at, n.flatten().to_numpy(), len(sizes) * 2 * width).astype(np.int64)
+            yield from _lists(batch.column(0).to_numpy(), grid.reshape(len(sizes), -1))
     return rows
 
 
@@ -266,33 +380,33 @@ class Clustering:
     """The classes of all units, and their neighbour counts.  ``class_of``:
     core and head; ``far``: a table (unit, c) of the units beyond the head."""
 
-    def __init__(self, texts: DataFrame, counts: DataFrame, units: Units, classes: int):
-        self.texts, self.units, self.classes, self.width = texts, units, classes, classes + 1
+    def __init__(self, texts: DataFrame, units: Units, classes: int, far_words: DataFrame | None, tokens: int):
+        self.units, self.classes, self.width = units, classes, classes + 1
         self.spark = texts.sparkSession
         self.class_of = np.arange(units.size) % classes
         self.class_of[units.end] = classes
         # by the word's hash: its key modulo a number hangs on the ending
         self.class_of[units.core:] = (-1 - units.keys) // units.endings % classes
-        self.far = self.pairs = self.far_words = None
+        shared = self.spark.sparkContext.broadcast(units)
+        deal = max(8, tokens >> 21)
+        self.bigrams = written(texts.mapInArrow(_bigrams(shared), NEIGHBOURS).repartition(deal, "unit")
+                               .sortWithinPartitions("unit").mapInArrow(_merge_lists(units.size), NEIGHBOURS), "lm-bigrams")
+        self.far = self.pairs = self.summed = None
+        self.old: list[DataFrame] = []
         far = 0
-        if units.tail:
-            shared = self.spark.sparkContext.broadcast(units)
-            self.far_words = written(
-                counts.where((F.length("word") > 0) & (F.col("n") >= units.least))
-                .mapInArrow(_far_words(shared), "unit bigint, n bigint")
-                .groupBy("unit").agg(F.sum("n").alias("n"), F.count("*").alias("words")), "lm-far")
-            self.far = self.far_words.select("unit", F.expr(f"cast((-1 - unit) div {units.endings} % {classes} as int)").alias("c"))
+        if far_words is not None:
+            self.far = far_words.select("unit", F.expr(f"cast((-1 - unit) div {units.endings} % {classes} as int)").alias("c"))
             self.pairs = written(texts.mapInArrow(_open_pairs(shared), "l bigint, r bigint, n bigint")
                                  .groupBy("l", "r").agg(F.sum("n").alias("n")), "lm-pairs")
-            shared.destroy()
-            far = self.far_words.count()
+            far = far_words.count()
+        shared.destroy()
         self.parts = max(8, (units.size + far) // HELD_UNITS + 1)
 
     def count(self) -> None:
         """Neighbour counts under the present classes: ``seen`` of the core,
         the table ``rest`` of all others."""
         shared = self.spark.sparkContext.broadcast((self.units, self.class_of))
-        rows = self.texts.mapInArrow(_neighbours(shared, self.classes), NEIGHBOURS)
+        rows = self.bigrams.mapInArrow(_class_counts(shared, self.classes), NEIGHBOURS)
         if self.pairs is not None:
             near = self.pairs
             for side in "lr":
@@ -301,10 +415,11 @@ class Clustering:
             more = near.select("l", "r", "n", "lc", "rc") \
                 .mapInArrow(_closed(shared, self.classes), "unit bigint, code int, n bigint") \
                 .groupBy("unit", "code").agg(F.sum("n").alias("n"))
-            rows = rows.union(more.select("unit", F.array("code"), F.array("n")))
-        summed = written(rows.repartition(self.parts, "unit")
-                         .mapInArrow(_add_up(shared, 2 * self.width), NEIGHBOURS + ", batch int"), "lm-neighbours")
+            rows = rows.union(more.select("unit", F.array("code"), F.array("n"))).repartition(self.parts, "unit")
+        summed = written(rows.mapInArrow(_add_up(shared, 2 * self.width), NEIGHBOURS + ", batch int"), "lm-neighbours")
         shared.destroy()
+        drop(self.summed)
+        self.summed = summed
         core = summed.where("batch < 0").toArrow().combine_chunks()
         self.seen = np.zeros((self.units.core, 2 * self.width))
         for b in core.to_batches():
@@ -314,6 +429,10 @@ class Clustering:
         self.rest = rest.join(self.far, "unit", "left") if self.far is not None else \
             rest.withColumn("c", F.lit(None).cast("int"))
 
+    def close(self) -> None:
+        """Delete what only the rounds have read."""
+        drop(self.bigrams, self.pairs, self.summed)
+
     def moved(self, batch: int | None, sums: np.ndarray | None) -> tuple[DataFrame, np.ndarray]:
         """New classes (unit, c) of a batch of ``rest``, and what its moves
         change in the sums of classes; without a batch, those sums."""
@@ -325,6 +444,10 @@ class Clustering:
         change = np.zeros((2, self.width, self.width))
         for r in out.where("unit IS NULL").select("sums").collect():
             change += np.frombuffer(r[0]).reshape(change.shape)
+        if batch is None:
+            drop(out)
+        else:
+            self.old.append(out)
         return out.where("unit IS NOT NULL").select("unit", "c"), change
 
     def sums(self, others: np.ndarray) -> np.ndarray:
@@ -332,6 +455,7 @@ class Clustering:
         return others + class_sums(self.seen, self.class_of[:self.units.core], self.width)
 
     def round(self) -> None:
+        before, self.old = self.old, []
         self.count()
         _, others = self.moved(None, None)
         self.class_of[:self.units.core] = exchange(self.seen, self.class_of[:self.units.core], self.classes, others)
@@ -345,14 +469,19 @@ class Clustering:
         self.class_of[head.column(0).to_numpy()] = head.column(1).to_numpy()
         if self.far is not None:
             self.far = new.where("unit < 0")
+        drop(*before)
 
 
 def _far_words(shared: Broadcast):
+    """(word, n, unit): the hash of a word beyond the head that the filter passes
+    (any, while there is no filter), null for all others."""
     def rows(batches):
         units = shared.value
         for batch in batches:
-            unit, at = units.of_words(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(unit[at < 0]), batch.column(1).filter(pa.array(at < 0))], ["unit", "n"])
+            words = batch.column(0).to_pylist()
+            unit = [None if w in units.index or not w else units.key(w) if units.bits is None else min(units.beyond(w), 0) or None
+                    for w in words]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(unit, pa.int64())], ["word", "n", "unit"])
     return rows
 
 
@@ -461,34 +590,59 @@ def _per_class(shared: Broadcast, classes: int):
     return rows
 
 
+KEYED = "word binary, n bigint, unit bigint"
+
+
 def train(texts: DataFrame, counts: DataFrame, classes: int = 32, frequent: int = 8192, endings: int = 4096,
-          head: int = 1 << 17, rounds: int = 3, least: int = 20) -> tuple[ClassModel, DataFrame | None]:
+          head: int = 1 << 17, rounds: int = 3, least: int = 20) -> tuple[ClassModel, DataFrame, DataFrame | None]:
     """``texts``: one column, the training texts; ``counts``: their word counts.
-    The model, and the classes (unit, c) of words beyond the head, if any."""
+    The model, ``counts`` with the class ``own`` of words beyond the head that have
+    units of their own, and these units' classes (unit, c), if there are any."""
     spark = texts.sparkSession
+    tokens, vocabulary, ends = counts.agg(
+        F.sum("n"), F.count("*"), F.sum(F.when(F.length("word") == 0, F.col("n")).otherwise(0))).first()
     known = most_frequent(counts, head)
     many = counts.where((F.length("word") > 0) & (F.col("n") >= least)).count()
-    units = Units(known, frequent, endings, least, many > sum(n >= least for _, n in known))
-    clustering = Clustering(texts, counts, units, classes)
+    units = Units(known, frequent, endings, least)
+    far_words = None
+    if many > sum(n >= least for _, n in known):
+        shared = spark.sparkContext.broadcast(units)
+        far_words = written(counts.where(F.col("n") >= least).mapInArrow(_far_words(shared), KEYED)
+                            .where("unit IS NOT NULL").groupBy("unit").agg(F.sum("n").alias("n"), F.count("*").alias("words")),
+                            "lm-far")
+        shared.destroy()
+        units.bits = far_filter(far_words, endings)
+    clustering = Clustering(texts, units, classes, far_words, int(tokens or 0))
     for _ in range(rounds):
         clustering.round()
     clustering.count()
     transitions = clustering.sums(clustering.moved(None, None)[1])[1]
-    class_of, far = clustering.class_of, clustering.far
-    tokens, vocabulary, ends = counts.agg(
-        F.sum("n"), F.count("*"), F.sum(F.when(F.length("word") == 0, F.col("n")).otherwise(0))).first()
+    class_of = clustering.class_of
     shared = spark.sparkContext.broadcast((units, class_of))
     n, words = np.zeros(classes), np.zeros(classes)
     for c, s, w in counts.where(F.length("word") > 0).mapInArrow(_per_class(shared, classes), "c bigint, n bigint, words bigint") \
             .groupBy("c").agg(F.sum("n"), F.sum("words")).collect():
         n[c], words[c] = s, w
-    if far is not None:
-        for c, s, w in far.join(clustering.far_words, "unit").groupBy("c").agg(F.sum("n"), F.sum("words")).collect():
+    classed = counts.withColumn("own", F.lit(None).cast("int"))
+    if far_words is not None:
+        far = written(clustering.far, "lm-far-classes")
+        for c, s, w in far.join(far_words, "unit").groupBy("c").agg(F.sum("n"), F.sum("words")).collect():
             n[c] += s
             words[c] += w
+        keys = spark.sparkContext.broadcast(units)
+        keyed = counts.mapInArrow(_far_words(keys), KEYED)
+        own = keyed.where("unit IS NOT NULL").join(far, "unit", "left").select("word", "n", F.col("c").alias("own"))
+        classed = written(keyed.where("unit IS NULL").select("word", "n", F.lit(None).cast("int").alias("own")).union(own),
+                          "lm-classed")
+        model_far = far
+    else:
+        model_far = None
+    clustering.close()
+    drop(*clustering.old)
     # a text's end is its class's only word; without any text nothing is known
-    return ClassModel(units, class_of, transitions, n, words, int(tokens or 0), int(vocabulary or 0) if ends else 0,
-                      int(ends or 0)), far
+    model = ClassModel(units, class_of, transitions, n, words, int(tokens or 0), int(vocabulary or 0) if ends else 0,
+                       int(ends or 0))
+    return model, classed, model_far
 
 
 def _score_rows(shared: Broadcast):
@@ -526,11 +680,8 @@ def _score_rows(shared: Broadcast):
                     [pa.array(flat_w, pa.binary()), pa.array(flat_n, pa.int64()), pa.array(flat_c, pa.int32())],
                     ["word", "k", "c"]))
                 more = []
-                if m.units.tail:
+                if m.units.bits is not None:
                     more = [_open_steps(owner[~told], cls[:-1][~told], cls[1:][~told], n_docs, m)]
-                    rare = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
-                        [*rare.values.flatten(), pa.array([m.units.key(w) for w in flat_w], pa.int64())],
-                        ["word", "k", "c", "unit"]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at_row, n_docs), pa.array(np.array(sizes, np.int64) + 1),
                      pa.array(known_n.astype(np.int64) + (1 if m.end_count else 0)), pa.array(base), pa.array(score), rare, *more],
@@ -567,7 +718,7 @@ def score_documents(docs: DataFrame, learn: Column, **params) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.where(learn).select(F.col("text").cast("string").alias("text"))
     counts = written(word_counts(texts), "lm-counts")
-    model, far = train(texts, counts, **params)
+    model, classed, far = train(texts, counts, **params)
     names = [c for c in docs.columns if c != "text"]
     rowed = docs.select(F.monotonically_increasing_id().alias("id"), F.struct(*[docs[c] for c in names]).alias("row"),
                         F.col("text").cast("string").alias("text"))
@@ -576,15 +727,12 @@ def score_documents(docs: DataFrame, learn: Column, **params) -> DataFrame:
     kind = rowed.select(keyed.alias("x")).schema["x"].dataType
     first = written(rowed.select(keyed.alias("key"), "text").mapInArrow(
         _score_rows(shared), f"id {kind.simpleString()}, n_tokens bigint, n_known bigint, base double, score double, "
-                             + ("rare array<struct<word:binary,k:bigint,c:int>>" if far is None else
-                                "rare array<struct<word:binary,k:bigint,c:int,unit:bigint>>, "
-                                "steps array<struct<l:bigint,r:bigint,lc:int,rc:int>>")), "lm-first")
+                             "rare array<struct<word:binary,k:bigint,c:int>>"
+                             + ("" if far is None else ", steps array<struct<l:bigint,r:bigint,lc:int,rc:int>>")), "lm-first")
     below = F.array(*[F.lit(float(b)) for b in model.below])
     rare = first.select(F.col("id.id").alias("id"), F.explode("rare").alias("r")).select("id", "r.*")
-    if far is not None:
-        rare = rare.join(far.withColumnRenamed("c", "own"), "unit", "left").withColumn("c", F.coalesce("own", "c")) \
-            .drop("unit", "own")
-    rare = rare.join(counts, "word", "left").withColumn("log_n", F.log10(F.coalesce("n", F.lit(0)) + F.lit(DELTA))) \
+    rare = rare.join(classed, "word", "left").withColumn("c", F.coalesce("own", "c")) \
+        .withColumn("log_n", F.log10(F.coalesce("n", F.lit(0)) + F.lit(DELTA))) \
         .groupBy("id").agg(
             F.sum(F.when(F.col("n").isNotNull(), F.col("k")).otherwise(0)).alias("more_known"),
             F.sum(F.col("k") * (F.col("log_n") - F.lit(model.base_below))).alias("more_base"),

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.session import scratch_path
+from stratum.session import delete_path, scratch_path
 
 #: Text bytes that a Python worker turns into Python objects at a time.
 BLOCK_BYTES = 2 << 20
@@ -27,7 +27,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def drop(*frames: DataFrame | None) -> None:
+    """Delete tables of :func:`written` that nothing reads any more.  Only the
+    frame that it returned knows its folder; others, and None, are left alone."""
+    for df in frames:
+        path = getattr(df, "_written_at", None)
+        if path:
+            delete_path(df.sparkSession, path)
 
 
 def free_name(columns: list[str], wanted: str) -> str:
