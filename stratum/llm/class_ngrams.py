@@ -43,6 +43,7 @@ kept, and result columns get trailing underscores where the name is taken.
 from __future__ import annotations
 
 from collections import Counter
+from copy import copy
 from functools import reduce
 from itertools import repeat
 
@@ -67,7 +68,7 @@ BATCHES = 4
 #: Units whose neighbour counts a task holds, about.
 HELD_UNITS = 50_000
 #: Distinct bigrams that a counting task holds before it passes them on.
-HELD_PAIRS = 1_500_000
+HELD_PAIRS = 700_000
 #: Bits of the filter of words beyond the head (8 MB), and of one of its parts,
 #: as the engine's bitmap functions have it.
 FILTER_BITS = 1 << 26
@@ -135,6 +136,12 @@ class Units:
         #: hashes of the units beyond the core
         self.keys = np.array([self.key(w) for w, _ in head[self.frequent:own]], np.int64)
 
+    def light(self) -> Units:
+        """The units without their words, for tasks that only see numbers."""
+        out = copy(self)
+        out.index, out.bits, out.counts, out.of_head = {}, None, self.counts[:0], self.of_head[:0]
+        return out
+
     def of_ending(self, word: bytes) -> int:
         return self.frequent + xxhash.xxh64_intdigest(word[-4:]) % self.endings
 
@@ -199,6 +206,8 @@ def _line_up(units: Units, texts: list[bytes]):
 
 
 NEIGHBOURS = "unit bigint, code array<int>, n array<bigint>"
+#: The same with counts of one task, which fit an int.
+LISTS = "unit bigint, code array<int>, n array<int>"
 
 
 def _lists(units: np.ndarray, grid: np.ndarray, step: int = 8192):
@@ -223,7 +232,7 @@ def _grid(codes: pa.Array, counts: pa.Array, width: int) -> np.ndarray:
     return grid
 
 
-def _pair_lists(units: np.ndarray, codes: np.ndarray, counts: np.ndarray, step: int = 1 << 18):
+def _pair_lists(units: np.ndarray, codes: np.ndarray, counts: np.ndarray, kind=np.int64, step: int = 1 << 17):
     """Rows (unit, code, n) of entries sorted by unit; about ``step`` entries a batch."""
     first = np.flatnonzero(np.concatenate([[True], units[1:] != units[:-1]])) if len(units) else np.empty(0, np.int64)
     ends = np.append(first[1:], len(units))
@@ -236,7 +245,7 @@ def _pair_lists(units: np.ndarray, codes: np.ndarray, counts: np.ndarray, step:
         yield pa.RecordBatch.from_arrays(
             [pa.array(units[first[lo:hi]].astype(np.int64)),
              pa.ListArray.from_arrays(offsets, pa.array(codes[s:e].astype(np.int32))),
-             pa.ListArray.from_arrays(offsets, pa.array(counts[s:e].astype(np.int64)))], ["unit", "code", "n"])
+             pa.ListArray.from_arrays(offsets, pa.array(counts[s:e].astype(kind)))], ["unit", "code", "n"])
 
 
 def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -253,16 +262,15 @@ def _bigrams(shared: Broadcast):
     def rows(batches):
         units = shared.value
         size = units.size
-        codes, counts, parts, pending = np.empty(0, np.int64), np.empty(0, np.int64), [], 0
+        codes, counts, parts, pending = np.empty(0, np.int64), np.empty(0, np.int32), [], 0
 
         def merged():
             return _summed(np.concatenate([codes, *[p[0] for p in parts]]), np.concatenate([counts, *[p[1] for p in parts]]))
 
         def out():
-            left, right = codes // size, codes % size
-            yield from _pair_lists(left, size + right, counts)
-            order = np.argsort(right, kind="stable")
-            yield from _pair_lists(right[order], left[order], counts[order])
+            yield from _pair_lists(codes // size, size + codes % size, counts, np.int32)
+            order = np.argsort(codes % size, kind="stable")
+            yield from _pair_lists((codes % size)[order], (codes // size)[order], counts[order], np.int32)
         for batch in batches:
             for block in text_blocks(batch.column(0)):
                 *_, line = _line_up(units, text_bytes(block))
@@ -270,15 +278,17 @@ def _bigrams(shared: Broadcast):
                 if units.bits is not None:
                     known = (left >= 0) & (right >= 0)
                     left, right = left[known], right[known]
-                parts.append(np.unique(left * size + right, return_counts=True))
-                pending += len(parts[-1][0])
+                code, n = np.unique(left * size + right, return_counts=True)
+                parts.append((code, n.astype(np.int32)))
+                pending += len(code)
                 if pending > HELD_PAIRS:
                     codes, counts = merged()
                     parts, pending = [], 0
                     if len(codes) > HELD_PAIRS:
                         yield from out()
-                        codes, counts = codes[:0], counts[:0]
+                        codes, counts = codes[:0].copy(), counts[:0].copy()
         codes, counts = merged()
+        parts = []
         yield from out()
     return rows
 
@@ -294,7 +304,7 @@ def _merge_lists(size: int):
             unit = np.repeat(batch.column(0).to_numpy(), np.diff(code.offsets.to_numpy()))
             unit = np.concatenate([held[0], unit])
             code = np.concatenate([held[1], code.flatten().to_numpy().astype(np.int64)])
-            key, n = _summed(unit * (2 * size) + code, np.concatenate([held[2], n.flatten().to_numpy()]))
+            key, n = _summed(unit * (2 * size) + code, np.concatenate([held[2], n.flatten().to_numpy().astype(np.int64)]))
             unit, code = key // (2 * size), key % (2 * size)
             cut = np.searchsorted(unit, unit[-1]) if len(unit) else 0
             yield from _pair_lists(unit[:cut], code[:cut], n[:cut])
@@ -389,7 +399,7 @@ class Clustering:
         self.class_of[units.core:] = (-1 - units.keys) // units.endings % classes
         shared = self.spark.sparkContext.broadcast(units)
         deal = max(8, tokens >> 21)
-        self.bigrams = written(texts.mapInArrow(_bigrams(shared), NEIGHBOURS).repartition(deal, "unit")
+        self.bigrams = written(texts.mapInArrow(_bigrams(shared), LISTS).repartition(deal, "unit")
                                .sortWithinPartitions("unit").mapInArrow(_merge_lists(units.size), NEIGHBOURS), "lm-bigrams")
         self.far = self.pairs = self.summed = None
         self.old: list[DataFrame] = []
@@ -405,7 +415,7 @@ class Clustering:
     def count(self) -> None:
         """Neighbour counts under the present classes: ``seen`` of the core,
         the table ``rest`` of all others."""
-        shared = self.spark.sparkContext.broadcast((self.units, self.class_of))
+        shared = self.spark.sparkContext.broadcast((self.units.light(), self.class_of))
         rows = self.bigrams.mapInArrow(_class_counts(shared, self.classes), NEIGHBOURS)
         if self.pairs is not None:
             near = self.pairs

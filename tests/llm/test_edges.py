@@ -384,3 +384,65 @@ def test_long_text_fingerprint_in_blocks():
     hashes = [xxhash.xxh64_intdigest(b" ".join(words[i:i + 4]), 42) for i in range(len(words) - 3)]
     ones = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
     assert simhash_trie.fingerprint(LONG.encode()) == ones
+
+
+def test_class_lm_equals_its_formula(spark):
+    """Scores from the classes read back: transitions and emissions counted anew,
+    with words of the head, beyond it, rare and unseen ones."""
+    rng = random.Random(21)
+    words = [f"w{i:03d}{'ab'[i % 2]}" for i in range(260)]
+    rows = [(i, " ".join(rng.choice(words[:20 + i]) for _ in range(rng.randint(0, 60))) + f" only{i}") for i in range(240)]
+    docs = spark.createDataFrame([*rows, (1000, None), (1001, "never seen words")], "doc_id bigint, text string").repartition(3)
+    learn = F.col("doc_id") % 10 != 0
+    params = {"classes": 5, "frequent": 30, "endings": 8, "head": 60, "rounds": 2, "least": 12}
+    counts = class_ngrams.word_counts(docs.where(learn).select("text")).cache()
+    m, classed, far = class_ngrams.train(docs.where(learn).select("text"), counts, **params)
+    assert far is not None and far.count() > 50          # most units lie beyond the head
+    own = {r.word: r.own for r in classed.collect() if r.own is not None}
+    train = [[*(t or "").lower().encode().split(), b""] for i, t in [*rows, (1001, "never seen words")] if i % 10]
+    n = {}
+    for t in train:
+        for w in t:
+            n[w] = n.get(w, 0) + 1
+    assert {bytes(k) for k in own} == {w for w, k in n.items() if w and k >= 12 and w not in m.units.index}
+
+    def cls(w):
+        if not w:
+            return 5
+        at = m.units.index.get(w)
+        return int(m.class_of[m.units.of_head[at]] if at is not None else own.get(w, m.class_of[m.units.of_ending(w)]))
+    steps, tokens, kinds = np.zeros((6, 6)), np.zeros(5), np.zeros(5)
+    for t in train:
+        for a, b in zip([b"", *t], t):
+            steps[cls(a), cls(b)] += 1
+    for w, k in n.items():
+        if w:
+            tokens[cls(w)] += k
+            kinds[cls(w)] += 1
+    share = (steps.sum(axis=0) + 1) / (steps.sum() + 6)
+    log_step = np.log10((steps + class_ngrams.PRIOR * share) / (steps.sum(axis=1, keepdims=True) + class_ngrams.PRIOR))
+    total, vocabulary = sum(n.values()), len(n)
+    got = {r.doc_id: r for r in class_ngrams.score_documents(docs, learn, **params).collect()}
+    for i, text in [*rows, (1000, None), (1001, "never seen words")]:
+        t = [*(text or "").lower().encode().split(), b""]
+        score = base = 0.0
+        for a, b in zip([b"", *t], t):
+            score += log_step[cls(a), cls(b)]
+            if b:
+                score += math.log10((n.get(b, 0) + .1) / (tokens[cls(b)] + .1 * (kinds[cls(b)] + 1)))
+            base += math.log10((n.get(b, 0) + .1) / (total + .1 * (vocabulary + 1)))
+        assert got[i].score == pytest.approx(score, rel=1e-9) and got[i].base_score == pytest.approx(base, rel=1e-9)
+        assert got[i].score < 0 and got[i].n_known == sum(b in n for b in t)
+
+
+def test_class_lm_leaves_few_tables(spark):
+    """The rounds' tables are gone when the result is there; what it reads stays."""
+    import os
+    from stratum.session import checkpoint_root
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    docs = spark.createDataFrame([(i, f"some words {i % 7} here again") for i in range(60)], "doc_id bigint, text string")
+    out = class_ngrams.score_documents(docs, F.col("doc_id") % 10 != 0, classes=3, frequent=4, endings=4, head=6, rounds=2, least=5)
+    assert out.count() == 60
+    left = {n.rsplit("-", 1)[0] for n in set(os.listdir(root)) - before}
+    assert left <= {"lm-counts", "lm-first", "lm-far", "lm-far-classes", "lm-classed"}
