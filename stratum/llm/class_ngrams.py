@@ -11,11 +11,11 @@ one row per task).
 *Clustering units*: every word seen at least ``least`` times in training is a
 unit of its own, so the units grow with the corpus; every other word, seen or
 not, belongs to the unit of its ending (last four bytes, hashed to ``endings``
-units), as a rare word by itself shows too few neighbours.  Tasks know the units
-of the ``head`` most frequent words from a broadcast.  Beyond it a broadcast
-filter of ``FILTER_BITS`` bits, set by the hashes of all other words seen
-``least`` times, tells most rare words, which go by their ending at once; words
-that pass it go by a 62-bit hash (equal hashes share a unit), and only what
+units), as a rare word by itself shows too few neighbours.  Tasks know the
+``head`` most frequent words from a broadcast, and the next ``more`` of them by a
+62-bit hash only, as a sorted array (equal hashes share a unit).  Where even that
+leaves out words seen ``least`` times, a filter of ``FILTER_BITS`` bits, set by
+their hashes, tells them from rare words; they go by the hash, and only what
 involves one of them is joined to the table of their classes.
 
 *Bigrams*: one pass over the training texts counts neighbouring units, as one row
@@ -118,9 +118,9 @@ class Units:
     """Clustering units of words, and the counts of the head words.
 
     Units from 0: the frequent words, the endings, the end (the core, moved on
-    the driver), then the head's other words seen ``least`` times.  Negative:
-    words beyond the head that pass the filter ``bits`` (None: none do), see
-    :meth:`key`."""
+    the driver), then the head's other words seen ``least`` times, then the words
+    of the sorted keys ``more``.  Negative: words beyond these that pass the
+    filter ``bits`` (None: none do), see :meth:`key`."""
 
     def __init__(self, head: list[tuple[bytes, int]], frequent: int, endings: int, least: int):
         self.index = {w: i for i, (w, _) in enumerate(head)}
@@ -135,11 +135,18 @@ class Units:
                                  for i, (w, _) in enumerate(head)], np.int64)
         #: hashes of the units beyond the core
         self.keys = np.array([self.key(w) for w, _ in head[self.frequent:own]], np.int64)
+        self.more = np.empty(0, np.int64)
+
+    def know(self, keys: np.ndarray) -> None:
+        """Give the words of these keys units of their own, after all others."""
+        self.more = np.sort(keys)
+        self.keys = np.concatenate([self.keys, self.more])
+        self.size += len(keys)
 
     def light(self) -> Units:
         """The units without their words, for tasks that only see numbers."""
         out = copy(self)
-        out.index, out.bits, out.counts, out.of_head = {}, None, self.counts[:0], self.of_head[:0]
+        out.index, out.bits, out.counts, out.of_head, out.more = {}, None, self.counts[:0], self.of_head[:0], self.more[:0]
         return out
 
     def of_ending(self, word: bytes) -> int:
@@ -153,26 +160,28 @@ class Units:
     def ending_of_key(self, key: np.ndarray) -> np.ndarray:
         return self.frequent + (-1 - key) % self.endings
 
-    def beyond(self, word: bytes) -> int:
-        """Unit of a word that the head lacks: its key if it passes the filter,
-        else that of its ending."""
-        if self.bits is None:
-            return self.of_ending(word)
-        key = self.key(word)
-        at = (-1 - key) // self.endings % FILTER_BITS
-        return key if self.bits[at >> 3] >> (at & 7) & 1 else int(self.ending_of_key(key))
+    def beyond(self, keys: np.ndarray) -> np.ndarray:
+        """Units of words that the head lacks, by their keys: one of ``more``, the
+        key itself if it passes the filter, else that of the ending."""
+        unit = self.ending_of_key(keys)
+        if len(self.more):
+            at = np.minimum(np.searchsorted(self.more, keys), len(self.more) - 1)
+            unit = np.where(self.more[at] == keys, self.size - len(self.more) + at, unit)
+        if self.bits is not None:
+            at = (-1 - keys) // self.endings % FILTER_BITS
+            passed = (np.frombuffer(self.bits, np.uint8)[at >> 3] >> (at & 7)) & 1 == 1
+            unit = np.where(passed & (unit < self.core), keys, unit)
+        return unit
 
     def of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(unit, number in the head or -1) of words."""
         at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         unit = self.of_head[at] if len(self.of_head) else np.zeros(len(words), np.int64)
-        known: dict[bytes, int] = {}
-        for i in np.flatnonzero(at < 0).tolist():
-            w = words[i]
-            u = known.get(w)
-            if u is None:
-                u = known[w] = self.beyond(w)
-            unit[i] = u
+        other = np.flatnonzero(at < 0)
+        if len(other):
+            place: dict[bytes, int] = {}
+            own = np.array([place.setdefault(words[i], len(place)) for i in other.tolist()])
+            unit[other] = self.beyond(np.fromiter(map(self.key, place), np.int64, len(place)))[own]
         return unit, at
 
 
@@ -448,7 +457,7 @@ class Clustering:
         change in the sums of classes; without a batch, those sums."""
         rows = self.rest if batch is None else self.rest.where(F.col("batch") == batch)
         # the core's classes decide nothing here
-        of_head = self.class_of[self.units.core:]
+        of_head = self.class_of[self.units.core:].astype(np.int16)
         out = written(rows.select("unit", "code", "n", "c").mapInArrow(
             _moves(of_head, self.units.core, self.classes, sums), "unit bigint, c int, sums binary"), "lm-moves")
         change = np.zeros((2, self.width, self.width))
@@ -483,18 +492,35 @@ class Clustering:
 
 
 def _far_words(shared: Broadcast):
-    """(word, n, unit): the hash of a word beyond the head that the filter passes
-    (any, while there is no filter), null for all others."""
+    """(word, n, unit): the hash of a word beyond the head and ``more`` that the
+    filter passes (any, while there is no filter), null for all others."""
     def rows(batches):
         units = shared.value
         for batch in batches:
+            unit = np.zeros(batch.num_rows, np.int64)
             words = batch.column(0).to_pylist()
-            unit = [None if w in units.index or not w else units.key(w) if units.bits is None else min(units.beyond(w), 0) or None
-                    for w in words]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(unit, pa.int64())], ["word", "n", "unit"])
+            other = [i for i, w in enumerate(words) if w and w not in units.index]
+            keys = np.array([units.key(words[i]) for i in other], np.int64)
+            unit[other] = keys if units.bits is None else np.minimum(units.beyond(keys), 0)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(unit, mask=unit >= 0)], ["word", "n", "unit"])
     return rows
 
 
+def most_seen(far: DataFrame, most: int) -> np.ndarray:
+    """Keys (column ``unit``) of at most ``most`` words with the highest counts;
+    words whose counts agree to 0.1 % are taken together or not at all."""
+    level = F.floor(F.log(F.col("n").cast("double")) * 1000).cast("int")
+    above, least = 0, None
+    for lv, n in sorted(((r[0], r[1]) for r in far.groupBy(level.alias("lv")).count().collect()), reverse=True):
+        if above + n > most:
+            break
+        above, least = above + n, lv
+    if least is None:
+        return np.empty(0, np.int64)
+    return far.where(level >= least).select("unit").toArrow().column(0).to_numpy()
+
+
 def _moves(of_head: np.ndarray, core: int, classes: int, sums: np.ndarray | None, step: int = 512):
     """Best class of every unit by the same ``sums``; a last row holds the
     change of the sums (without ``sums``: the task's share of them)."""
@@ -604,7 +630,7 @@ KEYED = "word binary, n bigint, unit bigint"
 
 
 def train(texts: DataFrame, counts: DataFrame, classes: int = 32, frequent: int = 8192, endings: int = 4096,
-          head: int = 1 << 17, rounds: int = 3, least: int = 20) -> tuple[ClassModel, DataFrame, DataFrame | None]:
+          head: int = 1 << 17, rounds: int = 3, least: int = 20, more: int = 1 << 21) -> tuple[ClassModel, DataFrame, DataFrame | None]:
     """``texts``: one column, the training texts; ``counts``: their word counts.
     The model, ``counts`` with the class ``own`` of words beyond the head that have
     units of their own, and these units' classes (unit, c), if there are any."""
@@ -621,7 +647,13 @@ def train(texts: DataFrame, counts: DataFrame, classes: int = 32, frequent: int
                             .where("unit IS NOT NULL").groupBy("unit").agg(F.sum("n").alias("n"), F.count("*").alias("words")),
                             "lm-far")
         shared.destroy()
-        units.bits = far_filter(far_words, endings)
+        units.know(most_seen(far_words, more))
+        if len(units.more) < far_words.count():
+            known_ones = spark.createDataFrame(pa.table({"unit": units.more}))
+            far_words = written(far_words.join(known_ones, "unit", "left_anti"), "lm-far")
+            units.bits = far_filter(far_words, endings)
+        else:
+            far_words = None
     clustering = Clustering(texts, units, classes, far_words, int(tokens or 0))
     for _ in range(rounds):
         clustering.round()
@@ -684,7 +716,9 @@ def _score_rows(shared: Broadcast):
                     own[w] = own.get(w, 0) + 1
                 flat_w = [w for own in rest for w in own]
                 flat_n = [n for own in rest for n in own.values()]
-                flat_c = m.class_of[[m.units.of_ending(w) for w in flat_w]].astype(np.int32) if flat_w else []
+                # a word beyond all broadcasts has the class of its ending until it is joined
+                unit = m.units.of_words(flat_w)[0]
+                flat_c = m.class_of[np.where(unit < 0, m.units.ending_of_key(unit), unit)].astype(np.int32)
                 ends = np.concatenate([[0], np.cumsum([len(own) for own in rest])]).astype(np.int32)
                 rare = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
                     [pa.array(flat_w, pa.binary()), pa.array(flat_n, pa.int64()), pa.array(flat_c, pa.int32())],

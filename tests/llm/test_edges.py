@@ -232,9 +232,11 @@ def test_class_lm_units_grow_with_the_corpus(spark):
     def scores(**params):
         out = class_ngrams.score_documents(docs, F.col("doc_id") % 10 != 0, classes=4, endings=16, rounds=4, **params)
         return {r.doc_id: (r.n_tokens, r.n_known, r.score) for r in out.collect()}
-    near, far = scores(frequent=50), scores(frequent=50, head=100)
-    assert {i: r[:2] for i, r in near.items()} == {i: r[:2] for i, r in far.items()}
-    assert [far[i][2] for i in near] == pytest.approx([near[i][2] for i in near], rel=1e-9)
+    near = scores(frequent=50)
+    for beyond in ({}, {"more": 0}, {"more": 120}):      # by hash, by table, by both
+        far = scores(frequent=50, head=100, **beyond)
+        assert {i: r[:2] for i, r in near.items()} == {i: r[:2] for i, r in far.items()}
+        assert [far[i][2] for i in near] == pytest.approx([near[i][2] for i in near], rel=1e-9)
     blind = scores(frequent=50, least=10 ** 9)
     held = range(0, 400, 10)
     # knowing the other kind halves the choice: log10(2) for each word
@@ -386,7 +388,8 @@ def test_long_text_fingerprint_in_blocks():
     assert simhash_trie.fingerprint(LONG.encode()) == ones
 
 
-def test_class_lm_equals_its_formula(spark):
+@pytest.mark.parametrize("more", [0, 40, 1 << 21])
+def test_class_lm_equals_its_formula(spark, more):
     """Scores from the classes read back: transitions and emissions counted anew,
     with words of the head, beyond it, rare and unseen ones."""
     rng = random.Random(21)
@@ -394,22 +397,26 @@ def test_class_lm_equals_its_formula(spark):
     rows = [(i, " ".join(rng.choice(words[:20 + i]) for _ in range(rng.randint(0, 60))) + f" only{i}") for i in range(240)]
     docs = spark.createDataFrame([*rows, (1000, None), (1001, "never seen words")], "doc_id bigint, text string").repartition(3)
     learn = F.col("doc_id") % 10 != 0
-    params = {"classes": 5, "frequent": 30, "endings": 8, "head": 60, "rounds": 2, "least": 12}
+    params = {"classes": 5, "frequent": 30, "endings": 8, "head": 60, "rounds": 2, "least": 12, "more": more}
     counts = class_ngrams.word_counts(docs.where(learn).select("text")).cache()
     m, classed, far = class_ngrams.train(docs.where(learn).select("text"), counts, **params)
-    assert far is not None and far.count() > 50          # most units lie beyond the head
+    # most units lie beyond the head: in the table, or by their hash, or some of each
+    assert (far is None) == (more > 1000) and (far is None or far.count() > 50) and (len(m.units.more) > 20) == (more > 0)
     own = {r.word: r.own for r in classed.collect() if r.own is not None}
     train = [[*(t or "").lower().encode().split(), b""] for i, t in [*rows, (1001, "never seen words")] if i % 10]
     n = {}
     for t in train:
         for w in t:
             n[w] = n.get(w, 0) + 1
-    assert {bytes(k) for k in own} == {w for w, k in n.items() if w and k >= 12 and w not in m.units.index}
+    hashed = {w for w in n if w and m.units.key(w) in set(m.units.more.tolist())}
+    assert {bytes(k) for k in own} | hashed == {w for w, k in n.items() if w and k >= 12 and w not in m.units.index}
 
     def cls(w):
         if not w:
             return 5
         at = m.units.index.get(w)
+        if w in hashed:
+            return int(m.class_of[m.units.of_words([w])[0][0]])
         return int(m.class_of[m.units.of_head[at]] if at is not None else own.get(w, m.class_of[m.units.of_ending(w)]))
     steps, tokens, kinds = np.zeros((6, 6)), np.zeros(5), np.zeros(5)
     for t in train:
