@@ -215,8 +215,11 @@ def _line_up(units: Units, texts: list[bytes]):
 
 
 NEIGHBOURS = "unit bigint, code array<int>, n array<bigint>"
-#: The same with counts of one task, which fit an int.
-LISTS = "unit bigint, code array<int>, n array<int>"
+BATCHED = NEIGHBOURS + ", batch int"
+#: A task's entries of all units of a bucket; counts of one task fit an int.
+BUCKETS = "bucket int, unit array<int>, code array<int>, n array<int>"
+#: Entries that a merging task takes in before it adds them up.
+HELD_ENTRIES = 2_000_000
 
 
 def _lists(units: np.ndarray, grid: np.ndarray, step: int = 8192):
@@ -241,7 +244,7 @@ def _grid(codes: pa.Array, counts: pa.Array, width: int) -> np.ndarray:
     return grid
 
 
-def _pair_lists(units: np.ndarray, codes: np.ndarray, counts: np.ndarray, kind=np.int64, step: int = 1 << 17):
+def _pair_lists(units: np.ndarray, codes: np.ndarray, counts: np.ndarray, step: int = 1 << 17):
     """Rows (unit, code, n) of entries sorted by unit; about ``step`` entries a batch."""
     first = np.flatnonzero(np.concatenate([[True], units[1:] != units[:-1]])) if len(units) else np.empty(0, np.int64)
     ends = np.append(first[1:], len(units))
@@ -254,7 +257,7 @@ def _pair_lists(units: np.ndarray, codes: np.ndarray, counts: np.ndarray, kind=n
         yield pa.RecordBatch.from_arrays(
             [pa.array(units[first[lo:hi]].astype(np.int64)),
              pa.ListArray.from_arrays(offsets, pa.array(codes[s:e].astype(np.int32))),
-             pa.ListArray.from_arrays(offsets, pa.array(counts[s:e].astype(kind)))], ["unit", "code", "n"])
+             pa.ListArray.from_arrays(offsets, pa.array(counts[s:e].astype(np.int64)))], ["unit", "code", "n"])
 
 
 def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -265,7 +268,19 @@ def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return codes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _bigrams(shared: Broadcast):
+def _bucket_rows(buckets: int, unit: np.ndarray, code: np.ndarray, n: np.ndarray):
+    """One row per bucket (unit modulo ``buckets``) of the entries."""
+    bucket = (unit % buckets).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    first = np.flatnonzero(np.diff(bucket[order], prepend=-1)) if len(order) else np.empty(0, np.int64)
+    offsets = pa.array(np.append(first, len(order)), pa.int32())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(bucket[order][first].astype(np.int32)),
+         *[pa.ListArray.from_arrays(offsets, pa.array(x[order].astype(np.int32))) for x in (unit, code, n)]],
+        ["bucket", "unit", "code", "n"])
+
+
+def _bigrams(shared: Broadcast, buckets: int):
     """Per task: units beside every unit (code: the unit to the left, or size + the
     unit to the right), where both words' units are known."""
     def rows(batches):
@@ -277,9 +292,8 @@ def _bigrams(shared: Broadcast):
             return _summed(np.concatenate([codes, *[p[0] for p in parts]]), np.concatenate([counts, *[p[1] for p in parts]]))
 
         def out():
-            yield from _pair_lists(codes // size, size + codes % size, counts, np.int32)
-            order = np.argsort(codes % size, kind="stable")
-            yield from _pair_lists((codes % size)[order], (codes // size)[order], counts[order], np.int32)
+            yield from _bucket_rows(buckets, codes // size, size + codes % size, counts)
+            yield from _bucket_rows(buckets, codes % size, codes // size, counts)
         for batch in batches:
             for block in text_blocks(batch.column(0)):
                 *_, line = _line_up(units, text_bytes(block))
@@ -302,29 +316,38 @@ def _bigrams(shared: Broadcast):
     return rows
 
 
-def _merge_lists(size: int):
-    """One row (unit, code, n) per unit, of rows that come sorted by unit."""
+def _merge_buckets(size: int):
+    """One row (unit, code, n) per unit.  Entries are added up whenever
+    HELD_ENTRIES have come, so a task holds about its units' distinct ones."""
     def rows(batches):
-        held = [np.empty(0, np.int64)] * 3      # entries of the last unit, which the next batch may go on with
+        keys, counts, parts, pending = np.empty(0, np.int64), np.empty(0, np.int64), [], 0
+
+        def merged():
+            return _summed(np.concatenate([keys, *[p[0] for p in parts]]), np.concatenate([counts, *[p[1] for p in parts]]))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            code, n = batch.column(1), batch.column(2)
-            unit = np.repeat(batch.column(0).to_numpy(), np.diff(code.offsets.to_numpy()))
-            unit = np.concatenate([held[0], unit])
-            code = np.concatenate([held[1], code.flatten().to_numpy().astype(np.int64)])
-            key, n = _summed(unit * (2 * size) + code, np.concatenate([held[2], n.flatten().to_numpy().astype(np.int64)]))
-            unit, code = key // (2 * size), key % (2 * size)
-            cut = np.searchsorted(unit, unit[-1]) if len(unit) else 0
-            yield from _pair_lists(unit[:cut], code[:cut], n[:cut])
-            held = [unit[cut:], code[cut:], n[cut:]]
-        yield from _pair_lists(*held)
+            unit, code, n = (batch.column(i).flatten().to_numpy().astype(np.int64) for i in (1, 2, 3))
+            parts.append((unit * (2 * size) + code, n))
+            pending += len(n)
+            if pending > HELD_ENTRIES:
+                keys, counts = merged()
+                parts, pending = [], 0
+        keys, counts = merged()
+        parts = []
+        yield from _pair_lists(keys // (2 * size), keys % (2 * size), counts)
     return rows
 
 
+def _batch_of(units: Units, unit: np.ndarray) -> np.ndarray:
+    """The batch that a unit moves in (-1: the core, on the driver)."""
+    key = unit.copy()
+    beyond = unit >= units.core
+    key[beyond] = units.keys[unit[beyond] - units.core]
+    return np.where(key < 0, (-1 - key) // units.endings // 1024 % BATCHES, -1).astype(np.int32)
+
+
 def _class_counts(shared: Broadcast, classes: int):
     """How often a class stands left (codes under ``classes + 1``) and right of a
-    unit, from the units beside it."""
+    unit, from the units beside it; and the unit's batch."""
     def rows(batches):
         units, class_of = shared.value
         width = classes + 1
@@ -336,7 +359,8 @@ def _class_counts(shared: Broadcast, classes: int):
             sizes = np.diff(code.offsets.to_numpy())
             at = np.repeat(np.arange(len(sizes)), sizes) * (2 * width) + of_code[code.flatten().to_numpy()]
             grid = np.bincount(at, n.flatten().to_numpy(), len(sizes) * 2 * width).astype(np.int64)
-            yield from _lists(batch.column(0).to_numpy(), grid.reshape(len(sizes), -1))
+            for out in _lists(batch.column(0).to_numpy(), grid.reshape(len(sizes), -1)):
+                yield out.append_column("batch", pa.array(_batch_of(units, out.column(0).to_numpy())))
     return rows
 
 
@@ -386,12 +410,7 @@ def _add_up(shared: Broadcast, width: int):
                 grid = np.concatenate([grid, np.zeros_like(grid)])
             np.add.at(grid, at[own], _grid(batch.column(1), batch.column(2), width))
         for out in _lists(np.fromiter(place, np.int64, len(place)), grid[:len(place)]):
-            unit = out.column(0).to_numpy()
-            key = unit.copy()
-            beyond = unit >= units.core
-            key[beyond] = units.keys[unit[beyond] - units.core]
-            batch = (-1 - key) // units.endings // 1024 % BATCHES
-            yield out.append_column("batch", pa.array(np.where(key < 0, batch, -1).astype(np.int32)))
+            yield out.append_column("batch", pa.array(_batch_of(units, out.column(0).to_numpy())))
     return rows
 
 
@@ -407,9 +426,9 @@ class Clustering:
         # by the word's hash: its key modulo a number hangs on the ending
         self.class_of[units.core:] = (-1 - units.keys) // units.endings % classes
         shared = self.spark.sparkContext.broadcast(units)
-        deal = max(8, tokens >> 21)
-        self.bigrams = written(texts.mapInArrow(_bigrams(shared), LISTS).repartition(deal, "unit")
-                               .sortWithinPartitions("unit").mapInArrow(_merge_lists(units.size), NEIGHBOURS), "lm-bigrams")
+        deal = max(8, tokens >> 20)
+        self.bigrams = written(texts.mapInArrow(_bigrams(shared, min(8 * deal, 1 << 16)), BUCKETS).repartition(deal, "bucket")
+                               .mapInArrow(_merge_buckets(units.size), NEIGHBOURS), "lm-bigrams")
         self.far = self.pairs = self.summed = None
         self.old: list[DataFrame] = []
         far = 0
@@ -425,7 +444,7 @@ class Clustering:
         """Neighbour counts under the present classes: ``seen`` of the core,
         the table ``rest`` of all others."""
         shared = self.spark.sparkContext.broadcast((self.units.light(), self.class_of))
-        rows = self.bigrams.mapInArrow(_class_counts(shared, self.classes), NEIGHBOURS)
+        rows = self.bigrams.mapInArrow(_class_counts(shared, self.classes), BATCHED)
         if self.pairs is not None:
             near = self.pairs
             for side in "lr":
@@ -434,8 +453,9 @@ class Clustering:
             more = near.select("l", "r", "n", "lc", "rc") \
                 .mapInArrow(_closed(shared, self.classes), "unit bigint, code int, n bigint") \
                 .groupBy("unit", "code").agg(F.sum("n").alias("n"))
-            rows = rows.union(more.select("unit", F.array("code"), F.array("n"))).repartition(self.parts, "unit")
-        summed = written(rows.mapInArrow(_add_up(shared, 2 * self.width), NEIGHBOURS + ", batch int"), "lm-neighbours")
+            rows = rows.drop("batch").union(more.select("unit", F.array("code"), F.array("n"))) \
+                .repartition(self.parts, "unit").mapInArrow(_add_up(shared, 2 * self.width), BATCHED)
+        summed = written(rows, "lm-neighbours")
         shared.destroy()
         drop(self.summed)
         self.summed = summed
@@ -717,8 +737,10 @@ def _score_rows(shared: Broadcast):
                 flat_w = [w for own in rest for w in own]
                 flat_n = [n for own in rest for n in own.values()]
                 # a word beyond all broadcasts has the class of its ending until it is joined
-                unit = m.units.of_words(flat_w)[0]
-                flat_c = m.class_of[np.where(unit < 0, m.units.ending_of_key(unit), unit)].astype(np.int32)
+                unit = line[place][~known]
+                rare_class = m.class_of[np.where(unit < 0, m.units.ending_of_key(unit), unit)]
+                class_here = dict(zip((words[i] for i in np.flatnonzero(~known).tolist()), rare_class.tolist()))
+                flat_c = np.fromiter(map(class_here.get, flat_w), np.int32, len(flat_w))
                 ends = np.concatenate([[0], np.cumsum([len(own) for own in rest])]).astype(np.int32)
                 rare = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
                     [pa.array(flat_w, pa.binary()), pa.array(flat_n, pa.int64()), pa.array(flat_c, pa.int32())],

@@ -318,6 +318,24 @@ def test_a_lone_secret_of_each_class(spark):
     assert secret_scan.thresholds([("base62", 2, 1, 1000), ("hex", 0, 9, 1)], 0.1) == {("base62", 2): 50, ("hex", 0): 1}
 
 
+def test_secret_thresholds_have_no_jump_and_find_random_strings():
+    """Classes of every size: random strings are found, with or without many
+    non-random ones beside them, and one more candidate changes little."""
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 3, 5, 10, 30, 99, 100, 101, 300, 3000):
+        for low in (0, 20, 1000):
+            found = []
+            for _ in range(200):
+                bins = np.bincount((rng.random(n) * secret_scan.BINS).astype(int), minlength=secret_scan.BINS)
+                bins[0] += low
+                counts = [("base62", 1, b, int(k)) for b, k in enumerate(bins) if k]
+                found.append(bins[secret_scan.thresholds(counts, 0.1)["base62", 1]:].sum() / n)
+            assert np.mean(found) >= 0.9, (n, low)
+    # candidates with a low p alone: a share of false ones that no class size lets through
+    least = [secret_scan.thresholds([("base62", 1, 1, k)], 0.1)["base62", 1] for k in range(5, 300)]
+    assert set(least) == {secret_scan.BINS}
+
+
 def test_offsets_of_very_many_matches(spark):
     n = 3 * secret_scan.STEP + 7
     df = spark.range(1).select(F.sequence(F.lit(1), F.lit(n)).cast("array<bigint>").alias("a"))
@@ -453,3 +471,32 @@ def test_class_lm_leaves_few_tables(spark):
     assert out.count() == 60
     left = {n.rsplit("-", 1)[0] for n in set(os.listdir(root)) - before}
     assert left <= {"lm-counts", "lm-first", "lm-far", "lm-far-classes", "lm-classed"}
+
+
+def _searched(x, k=5, every=50):
+    ids = np.arange(len(x))
+    best = segment_search.Best(ids[ids % every == 0], x[ids % every == 0], k)
+    for lo in range(0, len(x), 2048):
+        best.meet(ids[lo:lo + 2048], x[lo:lo + 2048])
+    score = x[ids % every == 0] @ x.T
+    score[best.ids[:, None] == ids[None, :]] = -np.inf
+    assert (np.sort(score, axis=1)[:, ::-1][:, :k] == best.score.astype(float)).all()
+    return best.multiplied / best.offered
+
+
+def test_search_bounds_drop_pairs():
+    """Share of pairs that need no product: most for vectors in clusters and for
+    smooth ones, and none is lost; ties and equal vectors included."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(60, 64)) * 200
+    clustered = np.floor(centres[rng.integers(0, 60, 10_000)] + rng.normal(size=(10_000, 64)) * 25)
+    assert _searched(clustered) < 0.2
+    assert _searched(np.floor(np.cumsum(rng.normal(size=(10_000, 64)), axis=1) * 100)) < 0.12
+    assert _searched(np.repeat(np.floor(rng.normal(size=(300, 16)) * 50), 10, axis=0)) <= 1
+    for dims in (1, 2, 3, 5):
+        assert _searched(np.floor(rng.normal(size=(500, dims)) * 40), every=25) <= 1
+
+
+def test_search_bounds_drop_pairs_of_the_given_vectors(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    assert _searched(np.floor(np.array([r.embedding for r in rows], float) * 256)) < 0.9
