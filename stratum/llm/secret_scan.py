@@ -25,10 +25,11 @@ length class and p bin over all documents.  In each length class the random
 ones are estimated from the bins above one half (Storey), and the threshold is
 the lowest p at which the candidates above it exceed the expected random ones
 by a share of at most ``fdr``.  Short strings, which the tests separate badly,
-thus need a higher p than long ones.  A class with fewer than ``FEW`` candidates
-above the lowest bin is too small for the estimate, which would lose a lone
-random string by the chance of its p: there all of these are accepted, so
-``fdr`` holds for larger classes only.  The table of thresholds has at most encodings x length classes rows.
+thus need a higher p than long ones.  The estimate counts ``ASSUMED`` random
+strings besides those seen, so that the lone random string of a small class is
+not lost by the chance of its p, and no class size switches the rule: the more
+candidates a class has, the less these weigh.  The table of thresholds has at
+most encodings x length classes rows.
 
 Defined cases: null text counts as empty; overlapping kinds are all listed;
 equal spans of repeated rows are found in every row; further columns pass
@@ -63,8 +64,9 @@ ENCODINGS = [
 #: Upper ends of the length classes (code points); the last class is open.
 LENGTH_CLASSES = [24, 32, 48, 64, 128]
 BINS = 50
-#: Candidates above the lowest p bin that the Storey estimate needs.
-FEW = 100
+#: Random strings with a p above one half that the Storey estimate takes for
+#: granted in every class.
+ASSUMED = 2
 #: Matches per inner sum in :func:`offsets`.
 STEP = 256
 
@@ -181,15 +183,13 @@ def thresholds(counts: list[tuple[str, int, int, int]], fdr: float) -> dict[tupl
         table_.setdefault((encoding, size), [0] * BINS)[b] += n
     out = {}
     for key, bins in sorted(table_.items()):
-        if sum(bins[1:]) < FEW:
-            out[key] = 1
-            continue
-        random_ones = sum(bins[BINS // 2:]) / (BINS - BINS // 2)  # per bin, were all above one half random
+        # per bin, were all above one half random
+        random_ones = (sum(bins[BINS // 2:]) + ASSUMED) / (BINS - BINS // 2)
         above, best = 0, BINS
         for b in range(BINS - 1, -1, -1):
             above += bins[b]
             expected = random_ones * (BINS - b)
-            if above and random_ones and (above - expected) / above <= fdr:
+            if above and (above - expected) / above <= fdr:
                 best = b
         # never below the bin of the lowest percentile of random strings
         out[key] = max(best, 1)
