@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import table
+from stratum.llm.common import table, written
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 
@@ -65,6 +65,18 @@ def example_spans(conversations: DataFrame) -> DataFrame:
     return conversations.select("conv_id", F.inline(_spans(F.col("sizes"))))
 
 
+def example_replies(conversations: DataFrame, key: str) -> DataFrame:
+    """Prefix-target expansion with the replies: a row per assistant turn, with the
+    column ``key``, its ``example_spans`` columns and ``reply``, the text under its
+    loss mask, unescaped.  Replies are cut before the turns become rows, so a row
+    carries its own reply and not the stream."""
+    cut = F.transform(_spans(F.col("sizes")), lambda s: F.struct(
+        s["example"].alias("example"), s["end"].alias("end"), s["loss_start"].alias("loss_start"),
+        s["loss_end"].alias("loss_end"), unescape(F.substring(
+            F.col("stream"), s["loss_start"] + 1, s["loss_end"] - s["loss_start"])).alias("reply")))
+    return conversations.select(key, F.inline(cut))
+
+
 def _spans(sizes: Column) -> Column:
     """Spans of every assistant turn, from the turns' lengths."""
     step = F.aggregate(
@@ -109,20 +121,23 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, "assistant", CONTROL)],
                                   "conv_id bigint, turn bigint, role string, text string")
-    conv = format_conversations(given.union(extra)).withColumn("spans", _spans(F.col("sizes")))
-    loss = F.transform("spans", lambda s: unescape(
-        F.substring(F.col("stream"), s["loss_start"] + 1, s["loss_end"] - s["loss_start"])))
-    back = conv.select("conv_id", F.char_length("stream").alias("stream_chars"), "spans",
-                       read_turns(F.col("stream")).alias("turns"), F.array_join(loss, "").alias("loss"))
+    conv = written(format_conversations(given.union(extra)).withColumn("row", F.monotonically_increasing_id()),
+                   "chat-streams")
+    # every assistant turn is a row of its own here; what the query tells about the loss comes from these rows
+    replies = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("example", "reply"))), lambda r: r["reply"]), "")
+    examples = example_replies(conv, "row").groupBy("row").agg(
+        replies.alias("loss"), F.count("*").alias("n_examples"), F.sum("end").cast("bigint").alias("example_chars"))
+    back = conv.select("row", "conv_id", F.char_length("stream").alias("stream_chars"),
+                       read_turns(F.col("stream")).alias("turns")).join(examples, "row", "left")
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    examples = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"])
+    loss = F.coalesce("loss", F.lit(""))
     return back.select(
         "conv_id", F.size("turns").cast("bigint").alias("n_turns"),
         F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
-        F.char_length("loss").cast("bigint").alias("loss_chars"),
-        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
+        F.char_length(loss).cast("bigint").alias("loss_chars"),
+        F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
         F.col("stream_chars").cast("bigint").alias("formatted_chars"),
-        F.size("spans").cast("bigint").alias("n_examples"), examples.alias("example_chars"))
+        F.coalesce("n_examples", F.lit(0)).alias("n_examples"), F.coalesce("example_chars", F.lit(0)).alias("example_chars"))
 
 
 OP3_SQL = r"""
