@@ -4,15 +4,18 @@ Vectors are cut into 1, 2, 4, ... equal segments.  With a segment's mean ``m``
 and deviation ``s`` (population, length ``w``), Cauchy-Schwarz bounds the part
 of an inner product that falls into it by ``w * (mx * my + sx * sy)``; summed
 over segments this bounds the whole (equivalently, it bounds the distance
-``|x|^2 + |y|^2 - 2 x.y`` from below), ever tighter with more segments.  A task
-walks its candidates in blocks: from coarse to fine a level's bounds drop the
-candidates that no query can want any more (bound below the query's k-th best
-so far), then exact integer products decide among the survivors.  Bounds keep a
-small margin for rounding, so no result is lost.
+``|x|^2 + |y|^2 - 2 x.y`` from below), ever tighter with more segments, up to
+half as many as components.  A task walks its candidates in blocks.  Of a block
+the most promising ones, by the coarse bound, are multiplied first, which raises
+the queries' k-th best; then, from coarse to fine, a level's bounds drop the
+pairs of query and candidate that are below it; exact integer products are made
+for the pairs that are left.  Bounds keep a small margin for rounding, so no
+result is lost.
 
 Queries are dealt into passes of at most ``pass_queries``; a pass broadcasts
-its queries (bounded) and scans all candidates once.  Tasks return their k best
-per query, and an aggregate merges them.
+its queries (bounded), scans all candidates once and is written, so that one
+pass's queries are held at a time.  Tasks return their k best per query, and an
+aggregate merges them.
 
 Components become ``floor(256 * x)``, ``x`` as double, of any finite size:
 products that doubles would round are made of longs, and those that may not
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.common import table
+from stratum.llm.common import table, written
 
 #: Components under this are searched apart from larger ones.
 LIMIT = 1 << 24
@@ -124,39 +127,77 @@ class Resolution:
 
 
 def levels_for(dims: int) -> list[int]:
+    """Numbers of segments, coarse to fine: 1, 4, 16, ..., half the components."""
     out, s = [], 1
-    while s < dims and s <= 16:
+    while s < dims // 2:
         out.append(s)
         s *= 4
-    return out
+    return out + [dims // 2] if dims >= 2 else out
+
+
+#: Candidates of a block that are multiplied before any bound is asked.
+FIRST = 128
+#: Share of a block's pairs up to which they are multiplied one by one.
+SPARSE = 0.1
 
 
 class Best:
-    """The k best (score, vec_id) so far of each query of one length."""
+    """The k best (score, vec_id) so far of each query of one length.  ``offered``
+    and ``multiplied`` count pairs: all, and those no bound has dropped."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
         self.ids, self.x, self.k = ids, x, k
         self.bounded = highest(x) < BOUNDED
-        self.levels = [Resolution(x, s).rows for s in levels_for(x.shape[1])] if self.bounded else []
+        self.levels = [(s, Resolution(x, s).rows) for s in levels_for(x.shape[1])] if self.bounded else []
         self.norm = np.sqrt((x * x).sum(axis=1)) if self.bounded else None
         self.score = np.full((len(ids), k), -np.inf, np.longdouble)
         self.vec = np.full((len(ids), k), np.iinfo(np.int64).max)
+        self.offered = self.multiplied = 0
 
     def meet(self, ids: np.ndarray, c: np.ndarray) -> None:
         """Offer candidates (ids ascending)."""
-        edge = self.score[:, -1]
-        bounded = self.bounded and highest(c) < BOUNDED
-        for segments, mine in zip(levels_for(c.shape[1]) if bounded else [], self.levels):
-            if not len(ids) or not np.isfinite(edge).all():
-                break
+        self.offered += len(self.ids) * len(ids)
+        if not (self.bounded and self.levels and highest(c) < BOUNDED):
+            self._multiply(ids, c, None)
+            return
+        coarse = (self.levels[0][1] @ Resolution(c, self.levels[0][0]).rows.T).max(axis=0)
+        first = np.zeros(len(ids), bool)
+        first[np.argsort(-coarse, kind="stable")[:FIRST]] = True
+        self._multiply(ids[first], c[first], None)
+        ids, c = ids[~first], c[~first]
+        edge = self.score[:, -1].astype(np.float64)
+        wanted = np.ones((len(self.ids), len(ids)), bool)
+        for segments, mine in self.levels:
+            if not len(ids):
+                return
             bound = mine @ Resolution(c, segments).rows.T
-            room = 1e-9 * self.norm[:, None] * np.sqrt((c * c).sum(axis=1))
-            wanted = (bound + room + 1 >= edge[:, None]).any(axis=0)
-            ids, c = ids[wanted], c[wanted]
-        if not len(ids):
+            bound += 1e-9 * self.norm[:, None] * np.sqrt((c * c).sum(axis=1)) + 1
+            # the edge as a double may have been rounded up
+            wanted &= bound >= edge[:, None] - np.abs(edge[:, None]) * 2.0 ** -50
+            some = wanted.any(axis=0)
+            ids, c, wanted = ids[some], c[some], wanted[:, some]
+        if len(ids):
+            self._multiply(ids, c, wanted)
+
+    def _multiply(self, ids: np.ndarray, c: np.ndarray, wanted: np.ndarray | None) -> None:
+        """Exact products of the wanted pairs (None: all), and the new k best."""
+        n = len(self.ids) * len(ids) if wanted is None else int(wanted.sum())
+        self.multiplied += n
+        if not n:
             return
-        score = products(self.x, c)
+        small = max(highest(self.x), 1) * max(highest(c), 1) * max(c.shape[1], 1) < 2.0 ** 53
+        if wanted is not None and small and n <= SPARSE * wanted.size:
+            q, r = np.nonzero(wanted)
+            score = np.full(wanted.shape, -np.inf, np.longdouble)
+            for lo in range(0, n, 1 << 16):
+                i, j = q[lo:lo + (1 << 16)], r[lo:lo + (1 << 16)]
+                score[i, j] = np.einsum("ij,ij->i", self.x[i], c[j])
+        else:
+            score = products(self.x, c)
+            if wanted is not None:
+                score = np.where(wanted, score, -np.inf)
         score = np.where(self.ids[:, None] == ids[None, :], -np.inf, score)
+        edge = self.score[:, -1]
         hopeful = np.flatnonzero((score >= edge[:, None]).any(axis=1))
         for q in hopeful.tolist():
             at = np.flatnonzero(score[q] >= edge[q])
@@ -209,7 +250,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, pass_queries: int = 4096) ->
         blocks = [(i, x) for i, x in matrices(got.column(0).combine_chunks(), got.column(1).combine_chunks(), 1024)] \
             if got.num_rows else []
         shared = spark.sparkContext.broadcast(blocks)
-        found = all_.mapInArrow(_search(shared, k), "query_id bigint, vec_id bigint, score bigint, fits boolean")
+        found = written(all_.mapInArrow(_search(shared, k), "query_id bigint, vec_id bigint, score bigint, fits boolean"),
+                        "search-pass")
+        shared.destroy()
         parts = found if parts is None else parts.union(found)
     too_high = ~F.col("fits") & (F.col("score") > 0)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), too_high.desc(), F.col("fits").desc(), "vec_id")
