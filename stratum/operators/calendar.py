@@ -49,5 +49,5 @@ def date_dimension(spark: SparkSession, start: str | dt.date, end: str | dt.date
     """Calendar between two fixed dates, ``end`` exclusive."""
     s = dt.date.fromisoformat(str(start))
     e = dt.date.fromisoformat(str(end))
-    bounds = spark.range(1).select(F.lit(s).alias("start"), F.lit(e).alias("end"))
+    bounds = spark.range(int(e > s)).select(F.lit(s).alias("start"), F.lit(e).alias("end"))
     return date_dimension_from(bounds, holidays=holidays, **kw)

@@ -11,15 +11,21 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_CHARS = 64 << 20
 
 
-def mark_validated(df: DataFrame, keys: list[str], rows: int, chars: int = 0) -> DataFrame:
+def mark_validated(df: DataFrame, keys: list[str], rows: int, chars: int = 0, widest: int | None = None) -> DataFrame:
     """Record on the DataFrame object that ``keys`` were proven unique over
     ``rows`` rows of ``chars`` characters in all (seeds validated at load
-    time), so later lookups skip the check job.  The mark does not survive
-    transformations."""
+    time), so later lookups skip the check job; ``widest``: characters of the
+    longest cell.  The mark does not survive transformations."""
     df._stratum_validated = (tuple(keys), int(rows), int(chars))
+    df._stratum_widest = int(chars if widest is None else widest)
     return df
 
 
+def widest_cell(df: DataFrame) -> int:
+    """Characters of the longest cell of a validated frame, at most."""
+    return df._stratum_widest
+
+
 def validated_size(df: DataFrame, keys: list[str]) -> tuple[int, int] | None:
     mark = getattr(df, "_stratum_validated", None)
     if mark and tuple(keys) == mark[0]:

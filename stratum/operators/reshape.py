@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.functions.exact import exact_sum, money_sum
+
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -20,7 +22,9 @@ def pivot_sum(column: Column | str, values: Iterable, then: Column | str, *, suf
     Unlike ``GroupedData.pivot`` a group that has rows but none of value ``v``
     gets ``else_value`` (0), not NULL.  ``where`` restricts the rows that
     take part (a fused ``WHERE``): a group with no qualifying row gets NULL
-    in every column.  Values are summed as they are, with all their digits.
+    in every column.  Values are summed as they are, with all their digits;
+    ``agg="exact"`` (amounts: ``"money"``) sums them so that no order of the
+    rows changes a bit.
     Output names are ``prefix + v + suffix``.
     """
     col, val = _c(column), _c(then)
@@ -29,7 +33,8 @@ def pivot_sum(column: Column | str, values: Iterable, then: Column | str, *, suf
         e = F.when(col == F.lit(v), val).otherwise(F.lit(else_value))
         if where is not None:
             e = F.when(where, e)
-        out.append(getattr(F, agg)(e).alias(f"{prefix}{v}{suffix}"))
+        made = {"exact": exact_sum, "money": money_sum}.get(agg) or getattr(F, agg)
+        out.append(made(e).alias(f"{prefix}{v}{suffix}"))
     return out
 
 

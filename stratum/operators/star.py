@@ -7,17 +7,19 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.functions.exact import exact_avg
+
 
 def centroid(df: DataFrame, key: str | list[str], means: Mapping[str, str],
-             picks: Mapping[str, str] | None = None, *, count_as: str | None = None) -> DataFrame:
+             picks: Mapping[str, str] | None = None, *, count_as: str | None = None, exact: bool = False) -> DataFrame:
     """Per-key averages (``{out: col}``) plus ``max`` picks (``{out: col}``).
 
     Outliers and digits are kept; ``max`` of a text column is a lexicographic
     pick.  One aggregate, partially evaluated before the shuffle, so a hot key
-    is no problem.
+    is no problem.  ``exact``: means that no order of the rows changes.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    aggs: list[Column] = [F.avg(F.col(col)).alias(out) for out, col in means.items()]
+    aggs: list[Column] = [(exact_avg if exact else F.avg)(F.col(col)).alias(out) for out, col in means.items()]
     for out, col in (picks or {}).items():
         aggs.append(F.max(F.col(col)).alias(out))
     if count_as:

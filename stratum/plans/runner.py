@@ -1,6 +1,8 @@
 """Build the warehouse: models in order, checks after each layer, gating.
 
-``run`` is an ordered loop over :data:`stratum.plans.warehouse.MODELS`:
+``run`` goes through :data:`stratum.plans.warehouse.MODELS` layer by layer;
+within a layer independent models are built at the same time (``workers`` threads
+submit jobs, in a fair pool each), a model after those of its layer that it reads:
 
 * ``table`` models are written (full replace) and re-read, which also cuts
   the lineage for everything downstream;
@@ -22,9 +24,12 @@ checked one.  Freshness is separate and never blocks.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import time
 import uuid
+from collections import defaultdict
 from collections.abc import Iterable
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,18 +63,25 @@ class BuildContext:
         self.shared: set[str] = set()    # views that are written once for the run
         self.scratch: list[str] = []
         self.seen: dict[str, tuple] = {}  # row-level checks counted while their model was written
+        self.locks: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)  # one builder per model
+        self.guard = threading.Lock()
         self.failed: set[str] = set()    # sources (``source.x``) and models whose checks failed
         self.skipped: set[str] = set()   # models that read one of those, directly or not
 
+    def lock(self, name: str) -> threading.RLock:
+        with self.guard:
+            return self.locks[name]
+
     def source(self, name: str) -> DataFrame:
         if f"source.{name}" in self.failed:
             raise Blocked(f"source.{name}")
         return read_source(self.spark, self.cfg, ALL_SOURCES[name])
 
     def seed(self, name: str) -> DataFrame:
-        if name not in self.seeds:
-            self.seeds[name] = load_seed(self.spark, SEEDS[name], self.cfg.seeds_dir)
-        return self.seeds[name]
+        with self.lock(f"seed.{name}"):
+            if name not in self.seeds:
+                self.seeds[name] = load_seed(self.spark, SEEDS[name], self.cfg.seeds_dir)
+            return self.seeds[name]
 
     def path(self, m: Model) -> str:
         return self.cfg.model_path(m.layer, m.name)
@@ -77,6 +89,10 @@ class BuildContext:
     def ref(self, name: str) -> DataFrame:
         if name in self.failed or name in self.skipped:
             raise Blocked(name)
+        with self.lock(name):
+            return self._frame(name)
+
+    def _frame(self, name: str) -> DataFrame:
         if name in self.frames:
             return self.frames[name]
         m = MODEL_INDEX[name]
@@ -187,7 +203,7 @@ def _build_incremental(ctx: BuildContext, m: Model, full_refresh: bool) -> dict:
 
 def run(spark: SparkSession, cfg: PipelineConfig, select: Iterable[str] | None = None,
         exclude: Iterable[str] | None = None, full_refresh: bool = False, gate: bool = True,
-        source_checks: bool = True) -> RunResult:
+        source_checks: bool = True, workers: int = 6) -> RunResult:
     """Build the selected models.  ``full_refresh`` rebuilds incremental
     models from scratch (other models are always rebuilt).
 
@@ -211,22 +227,33 @@ def run(spark: SparkSession, cfg: PipelineConfig, select: Iterable[str] | None =
             # a model that none of its layer reads may have its orphans counted at the layer's end
             read_here = {r for m in own for r in graph[m.name].models}
             reports, orphans = [], []
-            for m in own:
+
+            def build(m: Model, earlier: dict[str, Future]) -> None:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", m.name)
+                # only models of the layer that were started before are waited for, so none wait for each other
+                for name in earlier.keys() & (graph[m.name].models | set(graph[m.name].checks)):
+                    earlier[name].result()
                 t0 = time.perf_counter()
                 try:
                     _build(ctx, m, res, full_refresh)
                 except Blocked:
                     ctx.skipped.add(m.name)
                     res.skipped.append(m.name)
-                    continue
+                    return
                 res.built.append(m.name)
                 rep, later = _check(ctx, m, defer=m.name not in read_here)
-                orphans += later
+                orphans.extend(later)
                 if rep is not None and gate:  # decided before anything reads the model
-                    bad += _publish(spark, cfg, res, f"{layer}/{m.name}", rep, ctx)
+                    bad.extend(_publish(spark, cfg, res, f"{layer}/{m.name}", rep, ctx))
                 elif rep is not None:
                     reports.append(rep)
                 res.seconds[m.name] = round(time.perf_counter() - t0, 3)
+            with ThreadPoolExecutor(max(1, workers)) as pool:
+                started: dict[str, Future] = {}
+                for m in own:
+                    started[m.name] = pool.submit(build, m, dict(started))
+            for f in started.values():
+                f.result()
             if orphans:
                 rep = orphan_report(orphans)
                 if gate:
@@ -240,7 +267,11 @@ def run(spark: SparkSession, cfg: PipelineConfig, select: Iterable[str] | None =
                 _publish(spark, cfg, res, layer, rep, None)
     finally:
         ctx.close()
+    order = {m.name: i for i, m in enumerate(MODELS)}
+    res.built.sort(key=order.get)
+    res.skipped.sort(key=order.get)
     if bad:
+        bad.sort()
         raise QualityError(f"failed checks: {', '.join(bad)}; not built: {', '.join(res.skipped) or 'none'}")
     return res
 

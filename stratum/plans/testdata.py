@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from stratum.functions.casts import day_diff, to_int
 from stratum.functions.keys import NULL_TOKEN, surrogate_key
 from stratum.functions.text import clean_lower, clean_upper, normalize_text
-from stratum.operators.calendar import date_dimension_from
+from stratum.operators.calendar import date_dimension
 from stratum.operators.freshness import FreshnessPolicy, freshness
 from stratum.operators.joins import salted_left_join
 from stratum.operators.latest import latest_per_key
@@ -537,13 +537,13 @@ HOLIDAY_MONTH_DAYS = [(1, 1), (4, 21), (5, 1), (9, 7), (10, 12), (11, 2), (11, 1
 
 
 def date_dimension_q(spark, d):
-    o = table(spark, d, "orders")
-    bounds = o.agg(F.to_date(F.min("o_orderdate")).alias("start"),
-                   F.date_add(F.to_date(F.max("o_orderdate")), 1).alias("end"))
-    years = bounds.select(F.explode(F.sequence(F.year("start"), F.year(F.date_sub("end", 1)))).alias("y"))
-    holidays = years.select(F.explode(F.array(*[F.make_date(F.col("y"), F.lit(m), F.lit(dd))
-                                                for m, dd in HOLIDAY_MONTH_DAYS])).alias("holiday_date"))
-    return date_dimension_from(bounds, holidays=holidays)
+    # the first and the last day are two values: the calendar is built from
+    # them as constants, so orders is read once
+    first, last = table(spark, d, "orders").agg(F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))).first()
+    first, last = (first, last) if first else (dt.date(1970, 1, 1), dt.date(1969, 12, 31))  # no order: no day
+    holidays = spark.createDataFrame([(dt.date(y, m, dd),) for y in range(first.year, last.year + 1)
+                                      for m, dd in HOLIDAY_MONTH_DAYS], "holiday_date date")
+    return date_dimension(spark, first, last + dt.timedelta(days=1), holidays=holidays)
 
 
 DATE_DIMENSION_SQL = f"""

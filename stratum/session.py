@@ -43,6 +43,7 @@ def build_session(master: str | None = None, app: str = "stratum",
     conf = dict(DEFAULTS)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    conf["spark.scheduler.mode"] = "FAIR"  # models built at the same time share the executors
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

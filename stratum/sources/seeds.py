@@ -82,13 +82,15 @@ def load_seed(spark: SparkSession, spec: SeedSpec, seeds_dir: str | None) -> Dat
     else:
         raise FileNotFoundError(f"Missing seed: {path or spec.filename}")
     n, dup, chars = key_stats(df, [spec.key])
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]).first().asDict()
+    longest = F.greatest(*[F.coalesce(F.max(F.length(F.col(c).cast("string"))), F.lit(0)) for c in df.columns])
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns], longest.alias("__widest")).first().asDict()
+    widest = nulls.pop("__widest")
     if dup > 1 or nulls[spec.key]:
         raise SeedError(f"seed {spec.name}: key {spec.key} must be unique and not null")
     empty = sorted(c for c, k in nulls.items() if k)
     if empty:  # a NULL would silently fall through the coalesce of a lookup
         raise SeedError(f"seed {spec.name}: {', '.join(empty)} must not be null")
-    return mark_validated(df, [spec.key], n, chars)
+    return mark_validated(df, [spec.key], n, chars, widest)
 
 
 def seed_frame(spark: SparkSession, rows: list[tuple], schema: str, key: str) -> DataFrame:
@@ -99,5 +101,5 @@ def seed_frame(spark: SparkSession, rows: list[tuple], schema: str, key: str) ->
     keys = [r[i] for r in rows]
     if len(set(keys)) != len(keys) or any(k is None for k in keys):
         raise SeedError(f"seed rows: key {key} must be unique and not null")
-    chars = sum(len(str(v)) for r in rows for v in r)
-    return mark_validated(spark.createDataFrame(rows, schema), [key], len(rows), chars)
+    cells = [len(str(v)) for r in rows for v in r]
+    return mark_validated(spark.createDataFrame(rows, schema), [key], len(rows), sum(cells), max(cells, default=0))

@@ -140,3 +140,38 @@ def test_centroid_and_rekey(spark):
     o = spark.createDataFrame([("o1", "b1"), ("o2", "b9")], "order_id string, basket string")
     m = spark.createDataFrame([("b1", "u1")], "basket string, customer string")
     assert [tuple(r) for r in rekey(o, m, "basket", "customer").collect()] == [("o1", "u1")]
+
+
+def test_composed_cascade_equals_its_steps(spark):
+    """Two joins against composed maps give what three joins in a row give, on
+    chains, misses, nulls and keys that several maps share."""
+    import random
+
+    from stratum.functions.text import normalize_name
+    from stratum.operators.lookup import composed, correct_names, lookup_override
+    from stratum.sources.seeds import seed_frame
+    rng = random.Random(12)
+    names = [f"N{i}" for i in range(40)]
+    typo = seed_frame(spark, [(n, rng.choice(names)) for n in rng.sample(names, 18)], "original_city string, fixed_city string",
+                      "original_city")
+    zips = seed_frame(spark, [(str(i), rng.choice([*names, "ELSEWHERE"])) for i in range(6)],
+                      "zip_code_prefix string, city_associated string", "zip_code_prefix")
+    muni = seed_frame(spark, [(n, rng.choice([*names, n])) for n in rng.sample(names, 20)], "locality string, municipality string",
+                      "locality")
+    df = spark.createDataFrame([(i, rng.choice([*names, "n3", " N7 ", None]), rng.choice([None, *map(str, range(12))]))
+                                for i in range(600)], "id int, name string, zip string")
+    steps = df.withColumn("city", normalize_name(F.col("name")))
+    steps = lookup_override(steps, "city", typo, "original_city", "fixed_city")
+    steps = lookup_override(steps, "city", zips, "zip_code_prefix", "city_associated", match="zip")
+    steps = lookup_override(steps, "city", muni, "locality", "municipality")
+    once = correct_names(df, "name", "zip", typo, zips, muni)
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, steps.collect()), key=str)
+    # both maps are proven small and unique, so no job checks them, and they are broadcast
+    maps = composed(typo, zips, muni, "original_city", "fixed_city", "zip_code_prefix", "city_associated", "locality",
+                    "municipality")
+    for m, key in zip(maps, ("name", "place")):
+        (_,), rows, chars = m._stratum_validated
+        got = m.collect()
+        assert len({r[0] for r in got}) == len(got) <= rows and sum(len(v) for r in got for v in r) <= chars
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rightHint=(strategy=broadcast)") == 2
