@@ -157,6 +157,11 @@ class Units:
         own = xxhash.xxh64_intdigest(word) % ((1 << 62) // self.endings)
         return -1 - (own * self.endings + self.of_ending(word) - self.frequent)
 
+    def keys_of(self, words) -> np.ndarray:
+        """:meth:`key` of many words."""
+        digest, endings, owns = xxhash.xxh64_intdigest, self.endings, (1 << 62) // self.endings
+        return np.array([-1 - (digest(w) % owns * endings + digest(w[-4:]) % endings) for w in words], np.int64)
+
     def ending_of_key(self, key: np.ndarray) -> np.ndarray:
         return self.frequent + (-1 - key) % self.endings
 
@@ -181,7 +186,7 @@ class Units:
         if len(other):
             place: dict[bytes, int] = {}
             own = np.array([place.setdefault(words[i], len(place)) for i in other.tolist()])
-            unit[other] = self.beyond(np.fromiter(map(self.key, place), np.int64, len(place)))[own]
+            unit[other] = self.beyond(self.keys_of(place))[own]
         return unit, at
 
 
@@ -520,7 +525,7 @@ def _far_words(shared: Broadcast):
             unit = np.zeros(batch.num_rows, np.int64)
             words = batch.column(0).to_pylist()
             other = [i for i, w in enumerate(words) if w and w not in units.index]
-            keys = np.array([units.key(words[i]) for i in other], np.int64)
+            keys = units.keys_of(words[i] for i in other)
             unit[other] = keys if units.bits is None else np.minimum(units.beyond(keys), 0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(unit, mask=unit >= 0)], ["word", "n", "unit"])
@@ -731,15 +736,16 @@ def _score_rows(shared: Broadcast):
                 base = np.bincount(doc[known], log_n - m.base_below, n_docs) + end_log
                 known_n = np.bincount(doc[known], minlength=n_docs)
                 rest: list[dict] = [{} for _ in sizes]
-                for i in np.flatnonzero(~known).tolist():
-                    own, w = rest[doc[i]], words[i]
+                rare_at = np.flatnonzero(~known)
+                for i, d in zip(rare_at.tolist(), doc[rare_at].tolist()):
+                    own, w = rest[d], words[i]
                     own[w] = own.get(w, 0) + 1
                 flat_w = [w for own in rest for w in own]
                 flat_n = [n for own in rest for n in own.values()]
                 # a word beyond all broadcasts has the class of its ending until it is joined
-                unit = line[place][~known]
+                unit = line[place[rare_at]]
                 rare_class = m.class_of[np.where(unit < 0, m.units.ending_of_key(unit), unit)]
-                class_here = dict(zip((words[i] for i in np.flatnonzero(~known).tolist()), rare_class.tolist()))
+                class_here = dict(zip((words[i] for i in rare_at.tolist()), rare_class.tolist()))
                 flat_c = np.fromiter(map(class_here.get, flat_w), np.int32, len(flat_w))
                 ends = np.concatenate([[0], np.cumsum([len(own) for own in rest])]).astype(np.int32)
                 rare = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
