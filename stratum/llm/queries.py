@@ -40,6 +40,5 @@ ORACLE = {
     "op9_line_dedup": line_runs.OP9_SQL,
     "op10_topk": segment_search.OP10_SQL,
     "op11_repair": conversation_repair.OP11_SQL,
-    "op12_quality_rules": quality_votes.op12_quality_rules,
     "op13_spelling": spelling_groups.OP13_SQL,
 }
