@@ -12,7 +12,9 @@ Semantics follow the SQL engine the warehouse models were written for:
   reproduces it.
 
 The character maps are derived from :mod:`unicodedata` by rule at import
-time, they are not stored tables.
+time, they are not stored tables.  A string as long in bytes as in characters is
+plain ASCII, for which Java's own trim and case mapping give the same results at
+a small part of the cost of the maps; only other strings go through them.
 """
 
 from __future__ import annotations
@@ -91,23 +93,37 @@ def _placeholders(n: int) -> str:
     return "".join(chr(0xF000 + i) for i in range(n))
 
 
+def _by_script(c: Column, ascii_only: Column, any_script: Column) -> Column:
+    """``ascii_only`` where ``c`` is plain ASCII, else ``any_script``."""
+    return F.when(F.octet_length(c) == F.length(c), ascii_only).otherwise(any_script)
+
+
+def _trim_any(c: Column) -> Column:
+    return F.btrim(c, F.lit(space_separators()))
+
+
+def _case_any(c: Column, kind: str) -> Column:
+    src, dst = _full_case_expanders(kind)
+    ph = _placeholders(len(src))
+    return F.translate((F.upper if kind == "upper" else F.lower)(F.translate(c, src, ph)), ph, dst)
+
+
 def trim_spaces(c: Column | str) -> Column:
     """``trim`` that removes leading/trailing Unicode space separators."""
-    return F.btrim(_col(c), F.lit(space_separators()))
+    c = _col(c)
+    return _by_script(c, F.trim(c), _trim_any(c))
 
 
 def upper_simple(c: Column | str) -> Column:
     """``upper`` with one-to-one case mapping (``ß`` -> ``ẞ``, ligatures kept)."""
-    src, dst = _full_case_expanders("upper")
-    ph = _placeholders(len(src))
-    return F.translate(F.upper(F.translate(_col(c), src, ph)), ph, dst)
+    c = _col(c)
+    return _by_script(c, F.upper(c), _case_any(c, "upper"))
 
 
 def lower_simple(c: Column | str) -> Column:
     """``lower`` with one-to-one case mapping (``İ`` -> ``i``)."""
-    src, dst = _full_case_expanders("lower")
-    ph = _placeholders(len(src))
-    return F.translate(F.lower(F.translate(_col(c), src, ph)), ph, dst)
+    c = _col(c)
+    return _by_script(c, F.lower(c), _case_any(c, "lower"))
 
 
 def strip_accents(c: Column | str) -> Column:
@@ -170,7 +186,7 @@ def _standardise(c: Column, upper_first: bool) -> Column:
     # runs only on the rare rows that still need it.
     matching, replace = _fold_and_delete(upper_first)
     y = F.translate(c, matching, replace)
-    return F.when(F.octet_length(y) == F.length(y), y).otherwise(keep_upper_alnum(y))
+    return _by_script(c, keep_upper_alnum(F.upper(c) if upper_first else c), _by_script(y, y, keep_upper_alnum(y)))
 
 
 def normalize_name(c: Column | str) -> Column:
@@ -185,12 +201,14 @@ def normalize_name(c: Column | str) -> Column:
 
 def clean_upper(c: Column | str) -> Column:
     """``upper(trim(x))`` with the SQL engine's semantics."""
-    return upper_simple(trim_spaces(c))
+    c = _col(c)
+    return _by_script(c, F.upper(F.trim(c)), _case_any(_trim_any(c), "upper"))
 
 
 def clean_lower(c: Column | str) -> Column:
     """``lower(trim(x))`` with the SQL engine's semantics."""
-    return lower_simple(trim_spaces(c))
+    c = _col(c)
+    return _by_script(c, F.lower(F.trim(c)), _case_any(_trim_any(c), "lower"))
 
 
 def normalize_text(c: Column | str) -> Column:
@@ -202,7 +220,8 @@ def normalize_text(c: Column | str) -> Column:
     ligatures included, as the SQL engine's simple case mapping leaves them
     outside the kept set).
     """
-    return _standardise(trim_spaces(c), upper_first=True)
+    c = _col(c)
+    return _by_script(c, keep_upper_alnum(F.upper(F.trim(c))), _standardise(_trim_any(c), upper_first=True))
 
 
 def _col(c: Column | str) -> Column:

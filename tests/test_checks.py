@@ -162,3 +162,40 @@ def test_checks_against_a_blocked_parent_are_reported_skipped(spark, drop, monke
         runner.run(spark, dataclasses.replace(drop, target_base=f"{tmp}/wh2"), gate=True)
     got = {(r.table_name, r.check_name): r.violations for r in skipped}
     assert got[("slv_stg_market__order_items", "relationships_order_id_slv_stg_market__orders")] is None
+
+
+def test_planted_faults_come_from_one_pass_over_the_table(spark, monkeypatch, tmp):
+    """The rows of the SQL form, repeated and null keys too, but the table's
+    plan stands in the plan once: second copies are no second computation."""
+    from stratum.plans import quality_queries
+
+    keys = [f"p{i}" for i in (0, 1, 89, 89, 178, 500)] + [None]
+    spark.createDataFrame([(k, "c") for k in keys], "product_id string, category_name string").write.parquet(f"{tmp}/products")
+    products = spark.read.parquet(f"{tmp}/products")
+    written = []
+    monkeypatch.setattr(quality_queries, "observed", lambda df, checks: (written.append(df) or df, None))
+
+    class Plain:
+        source = seed = None
+
+        def ref(self, name):
+            return products
+    ctx = quality_queries._Planted(spark, Plain())
+    got = ctx.ref("dim_products")
+    want = spark.sql(quality_queries.planted_sql("dim_products", "{rows}", products.columns), rows=products)
+    assert rows_of(got) == rows_of(want) and got.count() == len(keys) + 4  # 0, 89 twice and 178 come twice
+    assert got.dtypes == want.dtypes
+    assert written[0]._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_planted_faults_equal_the_sql_form(spark):
+    from stratum.plans import quality_queries
+
+    orders = spark.range(600).selectExpr(
+        "concat('o', id) AS order_id", "concat('c', id % 50) AS customer_id", "DATE '1995-01-01' AS order_date_id", "'SHIPPED' AS status",
+        "TIMESTAMP_NTZ '1995-02-01 00:00:00' AS delivered_customer_date", "31 AS days_to_deliver", "1.0D AS credit_card_value")
+    orders = orders.unionByName(orders.where("order_id = 'o131'")).unionByName(
+        orders.limit(1).withColumn("order_id", F.lit(None).cast("string")))
+    got = quality_queries.planted(orders, "fct_orders")
+    want = spark.sql(quality_queries.planted_sql("fct_orders", "{rows}", orders.columns), rows=orders)
+    assert rows_of(got) == rows_of(want) and got.dtypes == want.dtypes

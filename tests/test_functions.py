@@ -78,3 +78,25 @@ def test_surrogate_key_matches_sql(spark):
         "SELECT md5(coalesce(CAST(? AS VARCHAR), ?) || '-' || coalesce(CAST(? AS VARCHAR), ?))",
         [k, tok, n, tok]).fetchone()[0] for k, n in rows]
     assert got == want
+
+
+def test_ascii_takes_no_map_and_gives_the_same(spark):
+    """Plain ASCII goes past the character maps; every such character, and one
+    that is not, gives what the maps give."""
+    vals = [f"{pad}{chr(i)}{mid}{chr(i)}{pad}" for i in range(1, 128) for pad in ("", " ", "  ") for mid in ("aZ 9", "é")]
+    vals += ["", " ", "   ", "\u00a0", " \u3000 ", None]
+    c = F.col("s")
+    trimmed = text._trim_any(c)
+    fold, to = text._fold_and_delete(True)
+    pairs = [(text.trim_spaces(c), trimmed), (text.upper_simple(c), text._case_any(c, "upper")),
+             (text.lower_simple(c), text._case_any(c, "lower")), (text.clean_upper(c), text._case_any(trimmed, "upper")),
+             (text.clean_lower(c), text._case_any(trimmed, "lower")),
+             (text.normalize_name(c), text.keep_upper_alnum(text.strip_accents(c))),
+             (text.normalize_text(c), text.keep_upper_alnum(F.translate(trimmed, fold, to)))]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    wrong = df.where(F.lit(False))
+    for fast, full in pairs:
+        wrong = wrong.union(df.where(~fast.eqNullSafe(full)))
+    assert wrong.collect() == []
+    plan = df.select(text.clean_upper(c))._jdf.queryExecution().analyzed().toString()
+    assert "octet_length" in plan
